@@ -30,6 +30,10 @@ LAST_AT_RE = r"(?s)\A(.*)@([^@]*)\z"
 
 INT_MAX = 2147483647
 
+# The same whitespace set as single characters, for ``translate``.
+WS_CHARS = "".join(chr(c) for c in (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                                    *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -120,9 +124,15 @@ def clean_query(c, tickers_first: bool = False) -> Column:
 # --------------------------------------------------------------------------
 
 def tokens(c, lower: bool = True) -> Column:
-    """Whitespace tokens (``str.split()``), optionally lower-cased."""
+    """Whitespace tokens (``str.split()``), optionally lower-cased.
+
+    Every Unicode whitespace character is first mapped to a space with
+    ``translate`` (a character map, no regex), then the text is split on
+    spaces and empty pieces are dropped.
+    """
     t = F.lower(_c(c)) if lower else _c(c)
-    return F.filter(F.split(t, WS_RUN_RE), lambda x: x != F.lit(""))
+    t = F.translate(t, WS_CHARS, " " * len(WS_CHARS))
+    return F.filter(F.split(t, " "), lambda x: x != F.lit(""))
 
 
 def token_set(c) -> Column:

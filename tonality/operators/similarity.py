@@ -1,16 +1,15 @@
 """Set-similarity and vector nearest-neighbour joins.
 
 Overlap join (token-set overlap coefficient > t)
-    Prefix filtering instead of all pairs. Tokens are ordered globally by
-    (document frequency, token). A pair can only pass when the smaller set's
-    first ``m - floor(t*m)`` tokens (its *prefix*) hit the other set, so the
-    candidate join is an equi-join on token between prefix tokens of one side
-    and all tokens of the other, restricted to "prefix side is the smaller
-    set". Rare tokens come first in every prefix, so hot tokens ("the") almost
+    Prefix filtering instead of all pairs. A pair can only pass when the
+    smaller set's first ``m - floor(t*m)`` tokens (its *prefix*, under any
+    fixed token order) hit the other set, so the candidate join is an
+    equi-join on token between prefix tokens of one side and all tokens of
+    the other, restricted to "prefix side is the smaller set". Prefixes are
+    ordered by frequency on the other side, so hot tokens ("the") almost
     never drive the candidate join; where they do, AQE's skew join splits the
-    hot partition. Candidates are de-duplicated before the token arrays are
-    joined back for the exact check, so arrays never travel through the token
-    shuffle.
+    hot partition. Candidates are de-duplicated and materialised before the
+    texts of candidate ids are joined back for the exact check.
 
 Exact k-NN (squared L2)
     A blocked nested loop without materialising pairs: queries are hashed into
@@ -32,66 +31,122 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tonality.functions.text import overlap_coefficient, similarity_score, token_set
+from tonality.functions.text import token_set
 
 _EPS = 1e-9
 
 
 def token_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, token, set_size) — one row per distinct lower-cased token."""
+    """(sid, set_size, token) — one row per distinct lower-cased token."""
     sets = df.select(F.col(id_col).alias("sid"), token_set(F.col(text_col)).alias("toks"))
-    return (sets.select("sid", F.size("toks").alias("set_size"), F.explode("toks").alias("token")))
+    # explode_outer and a non-nullable size: with an inner explode, or a
+    # nullable size used in a join condition, the optimizer infers filters on
+    # the token expression and evaluates it again (even inside the scan)
+    return (sets.select("sid", F.coalesce(F.size("toks"), F.lit(0)).alias("set_size"),
+                        F.explode_outer("toks").alias("token"))
+                .where(F.col("token").isNotNull()))
 
 
-def _with_prefix(rows: DataFrame, freq: DataFrame, threshold: float) -> DataFrame:
-    """Flag the prefix tokens of every set under the global (df, token) order."""
+def _with_prefix(rows: DataFrame, order: DataFrame, threshold: float) -> DataFrame:
+    """Keep the prefix tokens of every set under the (df, token) order.
+
+    ``order`` maps token -> df (tokens it lacks sort first, df 0). The smallest
+    number of shared tokens a match needs is floor(t*m)+1, so the prefix is
+    m - floor(t*m) long (the -eps keeps it on the safe, longer side).
+    """
     w = Window.partitionBy("sid").orderBy(F.col("df"), F.col("token"))
-    # smallest number of shared tokens a match needs is floor(t*m)+1; the prefix
-    # is m - floor(t*m) long (the -eps keeps it on the safe, longer side)
     plen = F.col("set_size") - F.floor(F.col("set_size") * F.lit(threshold) - F.lit(_EPS))
-    return (rows.join(freq, "token")
+    return (rows.join(order, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
                 .withColumn("pos", F.row_number().over(w))
-                .withColumn("is_prefix", F.col("pos") <= plen)
+                .where(F.col("pos") <= plen)
                 .drop("df", "pos"))
 
 
-def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (q_sid, c_sid) pairs that survive the prefix filter."""
-    freq = (q_rows.select("token").unionByName(c_rows.select("token"))
-            .groupBy("token").agg(F.count(F.lit(1)).alias("df")))
-    q = _with_prefix(q_rows, freq, threshold)
-    c = _with_prefix(c_rows, freq, threshold)
-    qa = q.select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token", "is_prefix")
-    ca = c.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token", "is_prefix")
-    # the smaller side's prefix must hit the other side
-    a = (qa.where("is_prefix").drop("is_prefix")
-           .join(ca.drop("is_prefix"), "token")
-           .where(F.col("q_size") <= F.col("c_size")))
-    b = (ca.where("is_prefix").drop("is_prefix")
-           .join(qa.drop("is_prefix"), "token")
-           .where(F.col("c_size") < F.col("q_size")))
+def _frequencies(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: cuts the
+    lineage (a lost executor does not recompute the inputs) and lets later
+    steps count and reuse a small intermediate without recomputing it."""
+    from tonality.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when a count proves it has at most ``max_rows`` rows,
+    else ``df`` unchanged (the join then shuffles). Count a materialised
+    frame, or the count recomputes its plan."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
+                       broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Distinct (q_sid, c_sid) pairs that survive the prefix filter.
+
+    The smaller set of a pair must hit the other set with one of its first
+    ``m - floor(t*m)`` tokens. Any fixed token order is valid for this, so each
+    side is ordered by frequency on the *other* side (rare hits first):
+
+    * query sets, ordered by corpus frequency, join all corpus tokens
+      (pairs where the query is the smaller set);
+    * only corpus sets smaller than the largest query can be the smaller set
+      of a pair, so only those get a prefix (ordered by query frequency) and
+      join all query tokens.
+
+    The query-side prefix table is materialised and broadcast when a count
+    shows it is small, so the corpus tokens are probed in place instead of
+    shuffled.
+    """
+    q_max = q_rows.agg(F.max("set_size")).first()[0] or 0
+    q_pre = materialize(_with_prefix(q_rows, _frequencies(c_rows), threshold)
+                        .select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token"))
+    a = (c_rows.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
+               .join(checked_broadcast(q_pre, broadcast_rows), "token")
+               .where(F.col("q_size") <= F.col("c_size")))
+    c_small = c_rows.where(F.col("set_size") < F.lit(q_max))
+    c_pre = _with_prefix(c_small, _frequencies(q_rows), threshold)
+    q_all = q_rows.select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token")
+    b = (c_pre.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
+              .join(q_all, "token")
+              .where(F.col("c_size") < F.col("q_size")))
     return a.select("q_sid", "c_sid").unionByName(b.select("q_sid", "c_sid")).distinct()
 
 
 def overlap_join(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str,
                  q_text: str = "text", c_text: str = "text", threshold: float = 0.8,
-                 score: str = "overlap") -> DataFrame:
+                 score: str = "overlap", broadcast_rows: int = 2_000_000) -> DataFrame:
     """All (query, context) pairs whose token-set score is > threshold.
 
     ``score='overlap'`` is |A∩B|/min(|A|,|B|) (0 for an empty side);
     ``score='similarity'`` adds 1e-6 to the denominator. Output columns:
     ``q_id, c_id, n_shared, score``.
+
+    The candidates are materialised; only texts of candidate ids are
+    tokenised again for the exact check (semi-joined map-side when the id
+    sets are small), each once.
     """
     q_rows = token_rows(queries, q_id, q_text)
     c_rows = token_rows(contexts, c_id, c_text)
-    cand = overlap_candidates(q_rows, c_rows, threshold)
-    q_sets = queries.select(F.col(q_id).alias("q_sid"), token_set(F.col(q_text)).alias("q_toks"))
-    c_sets = contexts.select(F.col(c_id).alias("c_sid"), token_set(F.col(c_text)).alias("c_toks"))
-    fn = overlap_coefficient if score == "overlap" else similarity_score
-    out = (cand.join(q_sets, "q_sid").join(c_sets, "c_sid")
-               .select(F.col("q_sid").alias(q_id), F.col("c_sid").alias(c_id),
-                       F.size(F.array_intersect("q_toks", "c_toks")).alias("n_shared"),
-                       fn(F.col("q_toks"), F.col("c_toks")).alias("score")))
+    cand = materialize(overlap_candidates(q_rows, c_rows, threshold, broadcast_rows))
+    q_ids = checked_broadcast(cand.select("q_sid").distinct(), broadcast_rows)
+    c_ids = checked_broadcast(cand.select("c_sid").distinct(), broadcast_rows)
+    q_sets = (queries.select(F.col(q_id).alias("q_sid"), F.col(q_text).alias("_t"))
+              .join(q_ids, "q_sid", "left_semi").select("q_sid", token_set("_t").alias("q_toks")))
+    c_sets = (contexts.select(F.col(c_id).alias("c_sid"), F.col(c_text).alias("_t"))
+              .join(c_ids, "c_sid", "left_semi").select("c_sid", token_set("_t").alias("c_toks")))
+    pairs = cand.join(q_sets, "q_sid").join(c_sets, "c_sid").select(
+        "q_sid", "c_sid", F.size("q_toks").alias("_nq"), F.size("c_toks").alias("_nc"),
+        F.size(F.array_intersect("q_toks", "c_toks")).alias("n_shared"))
+    m = F.least("_nq", "_nc")
+    if score == "overlap":
+        sc = F.when(m > 0, F.col("n_shared") / m).otherwise(F.lit(0.0))
+    else:
+        sc = F.col("n_shared") / (m + F.lit(1e-6))
+    out = pairs.select(F.col("q_sid").alias(q_id), F.col("c_sid").alias(c_id), "n_shared", sc.alias("score"))
     return out.where(F.col("score") > F.lit(threshold))
 
 

@@ -18,14 +18,21 @@ from tonality.functions import text as T
 from tonality.functions.labels import parse_prediction
 from tonality.operators import retrieval as RT
 from tonality.operators import sampling as S
+from tonality.sources import io
 
 AS_OF = "2024-01-31"
 TIME_UNITS = ("days", "d", "weeks", "w", "months", "m", "years", "y")
 FIXED_PHRASES = ("today", "yesterday", "last week", "last month", "last year")
 
 
+# Text-heavy tables: rebalanced after the scan when it yields too few
+# partitions (see ``io.balanced``).
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return io.balanced(df, key=TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def _sentiment(toxic, quality):

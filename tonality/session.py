@@ -9,15 +9,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every session of this engine should carry. AQE re-plans joins and
-# shuffle partition counts at run time and splits skewed join partitions; the
-# time zone is pinned so timestamp_ntz columns compare identically everywhere.
+# shuffle partition counts at run time and splits skewed join partitions. A
+# join side is broadcast only when its size is known: either AQE measured it
+# after a shuffle stage ran, or the operator counted it (explicit hints on
+# bounded tables). The time zone is pinned so timestamp_ntz columns compare
+# identically everywhere.
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # no broadcast from a size *estimate*; AQE broadcasts only what it measured
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -28,6 +28,23 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     return r.format(fmt).load(path)
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` partitions (default: the
+    session's default parallelism) when the input has fewer.
+
+    A file with one row group is read by a single task however large it is;
+    text-heavy row work after it (tokenising, regexes) would then run on one
+    core. Inputs that already have enough partitions — any real table at
+    scale — are returned unchanged, so this never adds a shuffle there.
+    Hashing on ``key`` (an id column) keeps the placement deterministic
+    without the sort a round-robin repartition needs for that.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key) if key else df.repartition(n)
+
+
 def read_dataset(spark: SparkSession, spec: R.DatasetSpec) -> DataFrame:
     """S1 + P1: materialise one registered dataset as ``id, text, label``
     (label still raw) plus ``dataset``, ``label_type`` and ``train_ratio``."""
