@@ -24,7 +24,7 @@ from tonality import registry as R
 from tonality.functions import prompts as P
 from tonality.functions import text as T
 from tonality.operators import evaluation as E
-from tonality.operators.similarity import knn_exact, overlap_join
+from tonality.operators.similarity import checked_broadcast, knn_exact, materialize, overlap_join
 
 
 def sq_l2(a, b) -> Column:
@@ -47,23 +47,26 @@ def retrieve_two_stage(queries: DataFrame, kb: DataFrame, q_id: str, q_text: str
     ``k`` nearest whose overlap with the query is > ``threshold``. ``rank`` is
     the position among the query's matches in distance order; ``top_k``
     optionally keeps only the first ``top_k`` (K2; off by default, as in the
-    original code)."""
+    original code).
+
+    A pair is returned iff it passes the overlap threshold *and* lies among
+    the query's ``k`` nearest, so the cheap prefix-filtered overlap join runs
+    first and exact k-NN only for queries that have an overlap match.
+    """
     n_kb = n_kb if n_kb is not None else kb.count()
-    qv = queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("qv"))
-    cv = kb.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("cv"))
+    qt = queries.select(F.col(q_id).alias("q_id"), F.col(q_text).alias("qt"))
+    ct = kb.select(F.col(c_id).alias("c_id"), F.col(c_text).alias("ct"))
+    m = materialize(overlap_join(qt, ct, "q_id", "c_id", "qt", "ct", threshold).select("q_id", "c_id", "score"))
     if k >= n_kb:
-        m = overlap_join(queries.select(F.col(q_id).alias("q_id"), F.col(q_text).alias("qt")),
-                         kb.select(F.col(c_id).alias("c_id"), F.col(c_text).alias("ct")),
-                         "q_id", "c_id", "qt", "ct", threshold)
-        m = (m.join(qv, "q_id").join(cv, "c_id")
-              .select("q_id", "c_id", sq_l2("qv", "cv").alias("distance"), "score"))
+        # the vector stage keeps everything: distances only for the matches
+        qv = queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("qv"))
+        cv = kb.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("cv"))
+        m = m.join(qv, "q_id").join(cv, "c_id").select("q_id", "c_id", sq_l2("qv", "cv").alias("distance"), "score")
     else:
-        cand = knn_exact(queries, kb, q_id, c_id, q_vec, c_vec, k, n_contexts=n_kb).drop("rank")
-        qs = queries.select(F.col(q_id).alias("q_id"), T.token_set(F.col(q_text)).alias("qs"))
-        cs = kb.select(F.col(c_id).alias("c_id"), T.token_set(F.col(c_text)).alias("cs"))
-        m = (cand.join(qs, "q_id").join(cs, "c_id")
-                 .select("q_id", "c_id", "distance", T.overlap_coefficient("qs", "cs").alias("score"))
-                 .where(F.col("score") > F.lit(threshold)))
+        matched = queries.join(checked_broadcast(m.select(F.col("q_id").alias(q_id)).distinct(), 1_000_000),
+                               q_id, "left_semi")
+        near = knn_exact(matched, kb, q_id, c_id, q_vec, c_vec, k, n_contexts=n_kb).drop("rank")
+        m = near.join(checked_broadcast(m, 2_000_000), ["q_id", "c_id"])
     w = Window.partitionBy("q_id").orderBy("distance", "c_id")
     m = m.withColumn("rank", F.row_number().over(w))
     if top_k is not None:
@@ -142,14 +145,10 @@ def source_fanout(queries: DataFrame, cleaned_col: str, window_col: str, as_of:
 def title_similarity_join(queries: DataFrame, candidates: DataFrame, q_id: str, q_text: str,
                           c_id: str, c_title: str, threshold_col: str = "threshold") -> DataFrame:
     """J1 + F3: (query, candidate) pairs whose similarity score (C6) is
-    strictly above the candidate's source threshold. One prefix-filtered
-    join per distinct threshold (a handful of values)."""
-    out = None
-    for t in sorted({s.threshold for s in R.SOURCES}):
-        c = candidates.where(F.col(threshold_col) == F.lit(t))
-        j = overlap_join(queries, c, q_id, c_id, q_text, c_title, threshold=t, score="similarity")
-        out = j if out is None else out.unionByName(j)
-    return out
+    strictly above the candidate's own source threshold — one
+    prefix-filtered join with a per-candidate threshold."""
+    return overlap_join(queries, candidates, q_id, c_id, q_text, c_title, score="similarity",
+                        threshold_col=threshold_col)
 
 
 def url_blocklist(df: DataFrame, link_col: str = "url", source_col: str = "source",

@@ -36,18 +36,19 @@ from tonality.functions.text import token_set
 _EPS = 1e-9
 
 
-def token_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(sid, set_size, token) — one row per distinct lower-cased token."""
-    sets = df.select(F.col(id_col).alias("sid"), token_set(F.col(text_col)).alias("toks"))
+def token_rows(df: DataFrame, id_col: str, text_col: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(sid, set_size, token, *extra) — one row per distinct lower-cased token;
+    ``extra`` names columns of ``df`` carried along."""
+    sets = df.select(F.col(id_col).alias("sid"), token_set(F.col(text_col)).alias("toks"), *extra)
     # explode_outer and a non-nullable size: with an inner explode, or a
     # nullable size used in a join condition, the optimizer infers filters on
     # the token expression and evaluates it again (even inside the scan)
     return (sets.select("sid", F.coalesce(F.size("toks"), F.lit(0)).alias("set_size"),
-                        F.explode_outer("toks").alias("token"))
+                        F.explode_outer("toks").alias("token"), *extra)
                 .where(F.col("token").isNotNull()))
 
 
-def _with_prefix(rows: DataFrame, order: DataFrame, threshold: float) -> DataFrame:
+def _with_prefix(rows: DataFrame, order: DataFrame, threshold) -> DataFrame:
     """Keep the prefix tokens of every set under the (df, token) order.
 
     ``order`` maps token -> df (tokens it lacks sort first, df 0). The smallest
@@ -55,7 +56,8 @@ def _with_prefix(rows: DataFrame, order: DataFrame, threshold: float) -> DataFra
     m - floor(t*m) long (the -eps keeps it on the safe, longer side).
     """
     w = Window.partitionBy("sid").orderBy(F.col("df"), F.col("token"))
-    plen = F.col("set_size") - F.floor(F.col("set_size") * F.lit(threshold) - F.lit(_EPS))
+    t = threshold if hasattr(threshold, "cast") else F.lit(threshold)
+    plen = F.col("set_size") - F.floor(F.col("set_size") * t - F.lit(_EPS))
     return (rows.join(order, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
                 .withColumn("pos", F.row_number().over(w))
                 .where(F.col("pos") <= plen)
@@ -97,18 +99,25 @@ def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
       of a pair, so only those get a prefix (ordered by query frequency) and
       join all query tokens.
 
-    The query-side prefix table is materialised and broadcast when a count
-    shows it is small, so the corpus tokens are probed in place instead of
-    shuffled.
+    ``c_rows`` may carry a per-row ``threshold`` column; corpus prefixes then
+    use their own threshold and query prefixes the smallest one (a longer
+    prefix, so a superset of the candidates). The query-side prefix table is
+    materialised and broadcast when a count shows it is small, so the corpus
+    tokens are probed in place instead of shuffled.
     """
-    q_max = q_rows.agg(F.max("set_size")).first()[0] or 0
-    q_pre = materialize(_with_prefix(q_rows, _frequencies(c_rows), threshold)
+    per_row = "threshold" in c_rows.columns
+    q_t = (c_rows.agg(F.min("threshold")).first()[0] if per_row else threshold)
+    q_t = threshold if q_t is None else q_t
+    q_pre = materialize(_with_prefix(q_rows, _frequencies(c_rows), q_t)
                         .select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token"))
+    # every non-empty query set has a prefix row, so this is the largest query
+    n_pre, q_max = q_pre.agg(F.count(F.lit(1)), F.max("q_size")).first()
+    q_max = q_max or 0
     a = (c_rows.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
-               .join(checked_broadcast(q_pre, broadcast_rows), "token")
+               .join(F.broadcast(q_pre) if n_pre <= broadcast_rows else q_pre, "token")
                .where(F.col("q_size") <= F.col("c_size")))
     c_small = c_rows.where(F.col("set_size") < F.lit(q_max))
-    c_pre = _with_prefix(c_small, _frequencies(q_rows), threshold)
+    c_pre = _with_prefix(c_small, _frequencies(q_rows), F.col("threshold") if per_row else threshold)
     q_all = q_rows.select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token")
     b = (c_pre.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
               .join(q_all, "token")
@@ -118,36 +127,46 @@ def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
 
 def overlap_join(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str,
                  q_text: str = "text", c_text: str = "text", threshold: float = 0.8,
-                 score: str = "overlap", broadcast_rows: int = 2_000_000) -> DataFrame:
+                 score: str = "overlap", broadcast_rows: int = 2_000_000,
+                 threshold_col: str | None = None) -> DataFrame:
     """All (query, context) pairs whose token-set score is > threshold.
 
     ``score='overlap'`` is |A∩B|/min(|A|,|B|) (0 for an empty side);
     ``score='similarity'`` adds 1e-6 to the denominator. Output columns:
-    ``q_id, c_id, n_shared, score``.
+    ``q_id, c_id, n_shared, score``. With ``threshold_col`` every context row
+    brings its own threshold (strict ``>`` against it).
 
     The candidates are materialised; only texts of candidate ids are
     tokenised again for the exact check (semi-joined map-side when the id
     sets are small), each once.
     """
     q_rows = token_rows(queries, q_id, q_text)
-    c_rows = token_rows(contexts, c_id, c_text)
+    if threshold_col:
+        c_rows = token_rows(contexts.withColumn("threshold", F.col(threshold_col).cast("double")), c_id, c_text,
+                            ("threshold",))
+    else:
+        c_rows = token_rows(contexts, c_id, c_text)
     cand = materialize(overlap_candidates(q_rows, c_rows, threshold, broadcast_rows))
-    q_ids = checked_broadcast(cand.select("q_sid").distinct(), broadcast_rows)
-    c_ids = checked_broadcast(cand.select("c_sid").distinct(), broadcast_rows)
+    n_q, n_c = cand.agg(F.countDistinct("q_sid"), F.countDistinct("c_sid")).first()
+    q_ids = cand.select("q_sid").distinct()
+    c_ids = cand.select("c_sid").distinct()
+    q_ids = F.broadcast(q_ids) if n_q <= broadcast_rows else q_ids
+    c_ids = F.broadcast(c_ids) if n_c <= broadcast_rows else c_ids
     q_sets = (queries.select(F.col(q_id).alias("q_sid"), F.col(q_text).alias("_t"))
               .join(q_ids, "q_sid", "left_semi").select("q_sid", token_set("_t").alias("q_toks")))
-    c_sets = (contexts.select(F.col(c_id).alias("c_sid"), F.col(c_text).alias("_t"))
-              .join(c_ids, "c_sid", "left_semi").select("c_sid", token_set("_t").alias("c_toks")))
+    t_col = [F.col(threshold_col).cast("double").alias("_thr")] if threshold_col else [F.lit(float(threshold)).alias("_thr")]
+    c_sets = (contexts.select(F.col(c_id).alias("c_sid"), F.col(c_text).alias("_t"), *t_col)
+              .join(c_ids, "c_sid", "left_semi").select("c_sid", "_thr", token_set("_t").alias("c_toks")))
     pairs = cand.join(q_sets, "q_sid").join(c_sets, "c_sid").select(
-        "q_sid", "c_sid", F.size("q_toks").alias("_nq"), F.size("c_toks").alias("_nc"),
+        "q_sid", "c_sid", "_thr", F.size("q_toks").alias("_nq"), F.size("c_toks").alias("_nc"),
         F.size(F.array_intersect("q_toks", "c_toks")).alias("n_shared"))
     m = F.least("_nq", "_nc")
     if score == "overlap":
         sc = F.when(m > 0, F.col("n_shared") / m).otherwise(F.lit(0.0))
     else:
         sc = F.col("n_shared") / (m + F.lit(1e-6))
-    out = pairs.select(F.col("q_sid").alias(q_id), F.col("c_sid").alias(c_id), "n_shared", sc.alias("score"))
-    return out.where(F.col("score") > F.lit(threshold))
+    out = pairs.select(F.col("q_sid").alias(q_id), F.col("c_sid").alias(c_id), "n_shared", sc.alias("score"), "_thr")
+    return out.where(F.col("score") > F.col("_thr")).drop("_thr")
 
 
 # --------------------------------------------------------------------------
@@ -161,18 +180,22 @@ KNN_SCHEMA = T.StructType([
 ])
 
 
-def _block_topk(k: int, exclude_self: bool, chunk: int = 64):
-    """Per (query block, context block): exact squared L2, best k per query."""
+def _block_topk(k: int, exclude_self: bool, chunk: int = 64, ranked: bool = False):
+    """Per (query block, context block): exact squared L2, best k per query
+    (with their final ``rank`` when ``ranked``: one context block only)."""
 
     def fn(key, qdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
         if len(qdf) == 0 or len(cdf) == 0:
-            return pd.DataFrame({"q_id": [], "c_id": [], "distance": []}).astype(
+            empty = pd.DataFrame({"q_id": [], "c_id": [], "distance": []}).astype(
                 {"q_id": "int64", "c_id": "int64", "distance": "float64"})
+            if ranked:
+                empty["rank"] = pd.Series([], dtype="int32")
+            return empty
         qv = np.asarray(np.stack(qdf["qv"].to_numpy()), dtype=np.float64)
         cv = np.asarray(np.stack(cdf["cv"].to_numpy()), dtype=np.float64)
         qids = qdf["q_id"].to_numpy(dtype=np.int64)
         cids = cdf["c_id"].to_numpy(dtype=np.int64)
-        out_q, out_c, out_d = [], [], []
+        out_q, out_c, out_d, out_r = [], [], [], []
         for s in range(0, len(qv), chunk):
             diff = qv[s:s + chunk, None, :] - cv[None, :, :]
             d = np.einsum("ijk,ijk->ij", diff, diff)
@@ -183,6 +206,11 @@ def _block_topk(k: int, exclude_self: bool, chunk: int = 64):
                 idx = np.argpartition(d, kk - 1, axis=1)[:, :kk]
             else:
                 idx = np.broadcast_to(np.arange(d.shape[1]), d.shape)
+            if ranked:
+                # order each query's k by (distance, context id)
+                sel = np.take_along_axis(d, idx, axis=1)
+                order = np.lexsort((cids[idx], sel), axis=1)
+                idx = np.take_along_axis(idx, order, axis=1)
             rows = np.repeat(np.arange(d.shape[0]), idx.shape[1])
             cols = idx.reshape(-1)
             dist = d[rows, cols]
@@ -190,8 +218,13 @@ def _block_topk(k: int, exclude_self: bool, chunk: int = 64):
             out_q.append(qids[s:s + chunk][rows[keep]])
             out_c.append(cids[cols[keep]])
             out_d.append(dist[keep])
-        return pd.DataFrame({"q_id": np.concatenate(out_q), "c_id": np.concatenate(out_c),
-                             "distance": np.concatenate(out_d)})
+            if ranked:
+                out_r.append(np.tile(np.arange(1, idx.shape[1] + 1), d.shape[0])[keep])
+        res = pd.DataFrame({"q_id": np.concatenate(out_q), "c_id": np.concatenate(out_c),
+                            "distance": np.concatenate(out_d)})
+        if ranked:
+            res["rank"] = np.concatenate(out_r).astype("int32")
+        return res
 
     return fn
 
@@ -215,6 +248,12 @@ def knn_exact(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str, q_v
     c = (contexts.select(F.col(c_id).cast("long").alias("c_id"), F.col(c_vec).alias("cv"))
          .withColumn("cb", F.pmod(F.xxhash64("c_id"), F.lit(cb)))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)).cast("array<long>"))))
+    if cb == 1:
+        # one context block: each group already holds a query's full candidate
+        # list, so the block ranks it and no merge window is needed
+        schema = T.StructType(KNN_SCHEMA.fields + [T.StructField("rank", T.IntegerType())])
+        return (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
+                .applyInPandas(_block_topk(k, exclude_self, ranked=True), schema))
     scored = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
                .applyInPandas(_block_topk(k, exclude_self), KNN_SCHEMA))
     w = Window.partitionBy("q_id").orderBy("distance", "c_id")

@@ -139,13 +139,13 @@ _MATCH_SQL = (f"SELECT q_id, c_id, distance, score, row_number() OVER (PARTITION
 @register("retrieve_two_stage", Q.with_("fx_rag") +
           f"SELECT q_id, c_id, rank, round(score, 6) AS score, round(distance, 6) AS distance FROM ({_MATCH_SQL})")
 def retrieve_two_stage(spark, sf):
-    m = flows.rag_matches(spark, sf)
+    m = flows.rag_matches(*flows.rag_sides(spark, sf))
     return m.select("q_id", "c_id", "rank", r6(F.col("score")).alias("score"), r6(F.col("distance")).alias("distance"))
 
 
 @register("topk_contexts", Q.with_("fx_rag") + f"SELECT q_id, c_id, rank FROM ({_MATCH_SQL}) WHERE rank <= 3")
 def topk_contexts(spark, sf):
-    return RT.topk_contexts(flows.rag_matches(spark, sf), 3).select("q_id", "c_id", "rank")
+    return RT.topk_contexts(flows.rag_matches(*flows.rag_sides(spark, sf)), 3).select("q_id", "c_id", "rank")
 
 
 _CTX_SQL = (f"SELECT m.q_id, string_agg({Q.context_entry('c.text', 'c.sentiment')}, {Q.q(chr(10) * 2)} ORDER BY m.rank) "
@@ -155,7 +155,7 @@ _CTX_SQL = (f"SELECT m.q_id, string_agg({Q.context_entry('c.text', 'c.sentiment'
 @register("assemble_context", Q.with_("fx_rag") + _CTX_SQL)
 def assemble_context(spark, sf):
     qs, kb = flows.rag_sides(spark, sf)
-    return RT.assemble_context(flows.rag_matches(spark, sf), kb, "id", "text", "sentiment")
+    return RT.assemble_context(flows.rag_matches(qs, kb), kb, "id", "text", "sentiment")
 
 
 _PROMPT_SQL = (f"SELECT q.id AS q_id, {Q.rag_prompt('coalesce(x.context, ' + chr(39) * 2 + ')', 'q.instruction')} AS prompt, "
@@ -165,7 +165,8 @@ _PROMPT_SQL = (f"SELECT q.id AS q_id, {Q.rag_prompt('coalesce(x.context, ' + chr
 
 @register("rag_prompt", Q.with_("fx_rag") + _PROMPT_SQL)
 def rag_prompt(spark, sf):
-    return flows.rag_prompt_table(spark, sf)
+    qs, kb = flows.rag_sides(spark, sf)
+    return flows.rag_prompt_table(qs, kb, flows.rag_matches(qs, kb))
 
 
 _VOTE_SQL = ("SELECT q.id AS q_id, coalesce(v.sentiment, 'unknown') AS vote, coalesce(v.votes, 0) AS votes "
@@ -177,7 +178,8 @@ _VOTE_SQL = ("SELECT q.id AS q_id, coalesce(v.sentiment, 'unknown') AS vote, coa
 
 @register("context_vote", Q.with_("fx_rag") + _VOTE_SQL)
 def context_vote(spark, sf):
-    return flows.rag_votes(spark, sf)
+    qs, kb = flows.rag_sides(spark, sf)
+    return flows.rag_votes(qs, kb, flows.rag_matches(qs, kb))
 
 
 @register("overlap_join", f"SELECT q_id, c_id, n_shared, round(score, 6) AS score FROM (SELECT b.item_id AS q_id, "

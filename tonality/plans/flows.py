@@ -23,6 +23,7 @@ from tonality.operators import sampling as S
 from tonality.operators import scoring as SC
 from tonality.plans import fixtures as FX
 from tonality.schemas import KB_SCHEMA
+from tonality.operators.similarity import materialize
 from tonality.session import scratch_path
 from tonality.sources import io
 
@@ -61,34 +62,33 @@ def instruction_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rag_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(queries = test split, knowledge base = train split) of fx_rag."""
+    """(queries = test split, knowledge base = train split) of fx_rag, each
+    materialised once: both are read many times by the retrieval plan."""
     r = FX.fx_rag(spark, sf_dir)
-    return r.where(F.col("split") == "test"), r.where(F.col("split") == "train")
+    return (materialize(r.where(F.col("split") == "test")), materialize(r.where(F.col("split") == "train")))
 
 
-def rag_matches(spark: SparkSession, sf_dir: str, top_k: int | None = None) -> DataFrame:
-    qs, kb = rag_sides(spark, sf_dir)
-    # the retrieval query is the whole instruction, template included
+def rag_matches(qs: DataFrame, kb: DataFrame, top_k: int | None = None) -> DataFrame:
+    """Two-stage retrieval; the retrieval query is the whole instruction,
+    template included."""
     return RT.retrieve_two_stage(qs, kb, "id", "instruction", "embedding", "id", "text", "embedding",
                                  k=R.KNN_CANDIDATES, threshold=R.OVERLAP_THRESHOLD, top_k=top_k)
 
 
-def rag_prompt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    qs, kb = rag_sides(spark, sf_dir)
-    ctx = RT.assemble_context(rag_matches(spark, sf_dir), kb, "id", "text", "sentiment")
+def rag_prompt_table(qs: DataFrame, kb: DataFrame, matches: DataFrame) -> DataFrame:
+    ctx = RT.assemble_context(matches, kb, "id", "text", "sentiment")
     return RT.rag_prompts(qs, ctx, "id", "instruction")
 
 
-def rag_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    qs, kb = rag_sides(spark, sf_dir)
-    return RT.context_vote(qs, rag_matches(spark, sf_dir), kb, "id", "id", "sentiment")
+def rag_votes(qs: DataFrame, kb: DataFrame, matches: DataFrame) -> DataFrame:
+    return RT.context_vote(qs, matches, kb, "id", "id", "sentiment")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieve -> vote -> metrics: per-class precision/recall/F1 of the
     context vote against each query's own label."""
-    qs, _ = rag_sides(spark, sf_dir)
-    votes = rag_votes(spark, sf_dir)
+    qs, kb = rag_sides(spark, sf_dir)
+    votes = rag_votes(qs, kb, rag_matches(qs, kb))
     pairs = votes.join(qs.select(F.col("id").alias("q_id"), F.col("sentiment").alias("expected_output")), "q_id")
     pc = E.per_class_metrics(E.confusion_counts(pairs, "expected_output", "vote"))
     return pc.select("label", "tp", "support", "predicted",
@@ -97,7 +97,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_prompts(spark: SparkSession, sf_dir: str, scorer=SC.context_vote_scorer) -> DataFrame:
     """RAG prompts through the batch-scoring hook, output parsed to a label."""
-    prompts = rag_prompt_table(spark, sf_dir)
+    qs, kb = rag_sides(spark, sf_dir)
+    prompts = rag_prompt_table(qs, kb, rag_matches(qs, kb))
     scored = SC.batch_score(prompts, "prompt", scorer, R.INFER_BATCH)
     return scored.withColumn("predicted_label", L.parse_prediction("model_output"))
 
