@@ -187,3 +187,19 @@ def test_title_and_links(spark):
     r = df.select(H.page_title("html").alias("t"), H.anchors("html").alias("a")).first()
     assert r["t"] == "T & co"
     assert [(a["pos"], a["title"], a["link"]) for a in r["a"]] == [(1, "Rel link", "/rel"), (2, "Abs", "https://abs/x")]
+
+
+def test_unicode_whitespace_explicit(spark):
+    assert col_values(spark, ["\t x ", " 　y "], T.ustrip) == ["x", "y"]
+    assert col_values(spark, ["a  b\tc\x1c"], T.collapse_ws) == ["a b c"]
+    assert col_values(spark, ["A b c"], lambda c: F.array_sort(T.token_set(c))) == [["a", "b", "c"]]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "B", " ", " ", " ", "　", "\x1c", "́", "$", "X"]),
+                         max_size=20).map("".join), min_size=1, max_size=10))
+def test_exotic_whitespace_properties(spark, texts):
+    assert col_values(spark, texts, T.ustrip) == [t.strip() for t in texts]
+    assert col_values(spark, texts, T.clean_query_text) == [py_clean_query(t) for t in texts]
+    assert col_values(spark, texts, lambda c: F.array_sort(T.token_set(c))) == [
+        sorted(set(t.lower().split())) for t in texts]
