@@ -153,7 +153,7 @@ def kb_records(spark, sf):
 
 
 @register("pad_truncate", Q.with_("fx_text") +
-          "SELECT id, least(len(tk), 512) AS n_tokens, array_to_string(list_concat(tk[1:512], "
+          "SELECT id, CAST(least(len(tk), 512) AS INTEGER) AS n_tokens, array_to_string(list_concat(tk[1:512], "
           "list_transform(range(greatest(512 - len(tk), 0)), lambda i: '<pad>')), ' ') AS tokens, "
           "array_to_string(list_concat(list_transform(range(least(len(tk), 512)), lambda i: '1'), "
           "list_transform(range(greatest(512 - len(tk), 0)), lambda i: '0')), '') AS attention_mask FROM "
@@ -166,7 +166,7 @@ def pad_truncate(spark, sf):
 
 
 @register("pad_multiple", Q.with_("fx_text") +
-          "SELECT batch_id, max(n) AS max_tokens, CAST(ceil(max(n) / 8) * 8 AS INTEGER) AS padded_length, "
+          "SELECT batch_id, CAST(max(n) AS INTEGER) AS max_tokens, CAST(ceil(max(n) / 8) * 8 AS INTEGER) AS padded_length, "
           "count(*) AS batch_rows FROM (SELECT CAST(floor((row_number() OVER (ORDER BY id) - 1) / 4) AS BIGINT) "
           "AS batch_id, len(list_filter(string_split_regex(" + Q.train_prompt('instruction', 'output') +
           f", {Q.q(T.WS_RUN_RE)}), lambda t: t <> '')) AS n FROM ({_RECORDS_SQL}) WHERE output <> 'unknown') "
@@ -203,12 +203,20 @@ def collapse_ws(spark, sf):
     return FX.table(spark, sf, "documents").select("doc_id", T.collapse_ws("text").alias("collapsed"))
 
 
-@register("time_window", Q.with_("fx_time") + f"SELECT event_id, phrase, {Q.time_window('phrase')} AS window_days FROM fx_time")
+# Registered outputs write "no time phrase" as window_days = -1 (the column
+# functions return null) so the column is a plain non-null int everywhere.
+NO_WINDOW = -1
+
+
+@register("time_window", Q.with_("fx_time") +
+          f"SELECT event_id, phrase, coalesce({Q.time_window('phrase')}, {NO_WINDOW}) AS window_days FROM fx_time")
 def time_window(spark, sf):
-    return FX.fx_time(spark, sf).select("event_id", "phrase", T.time_window("phrase").alias("window_days"))
+    return FX.fx_time(spark, sf).select("event_id", "phrase",
+                                        F.coalesce(T.time_window("phrase"), F.lit(NO_WINDOW)).alias("window_days"))
 
 
-_CQ_SQL = (f"SELECT src, id, cleaned_query, {Q.time_window('cleaned_query', lower=False)} AS window_days FROM "
+_CQ_SQL = (f"SELECT src, id, cleaned_query, coalesce({Q.time_window('cleaned_query', lower=False)}, {NO_WINDOW}) "
+           f"AS window_days FROM "
            f"(SELECT 'events' AS src, event_id AS id, {Q.clean_query_text('phrase')} AS cleaned_query FROM fx_time "
            f"UNION ALL SELECT 'region' AS src, id, {Q.clean_query_text('phrase')} AS cleaned_query FROM fx_ticker "
            f"UNION ALL SELECT 'benchmark' AS src, item_id AS id, {Q.clean_query_text('text')} AS cleaned_query "
@@ -224,7 +232,8 @@ def clean_query(spark, sf):
                                                      F.col("text").alias("q"))]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     cq = T.clean_query("q")
-    return u.select("src", "id", cq["cleaned"].alias("cleaned_query"), cq["window_days"].alias("window_days"))
+    return u.select("src", "id", cq["cleaned"].alias("cleaned_query"),
+                    F.coalesce(cq["window_days"], F.lit(NO_WINDOW)).alias("window_days"))
 
 
 _CHAT_SETS = (f"SELECT conv_id, turn, {Q.token_set('user_text')} AS a, {Q.token_set('assistant_text')} AS b "
@@ -247,7 +256,8 @@ def overlap_coefficient(spark, sf):
 
 
 @register("token_intersection", Q.with_("fx_chat") +
-          f"SELECT conv_id, turn, len(a) AS n_a, len(b) AS n_b, {Q.n_shared('a', 'b')} AS n_shared FROM ({_CHAT_SETS})")
+          f"SELECT conv_id, turn, CAST(len(a) AS INTEGER) AS n_a, CAST(len(b) AS INTEGER) AS n_b, "
+          f"CAST({Q.n_shared('a', 'b')} AS INTEGER) AS n_shared FROM ({_CHAT_SETS})")
 def token_intersection(spark, sf):
     return _chat_sets(spark, sf).select("conv_id", "turn", F.size("a").alias("n_a"), F.size("b").alias("n_b"),
                                         T.token_intersection("a", "b").alias("n_shared"))
@@ -261,7 +271,7 @@ def similarity_filter(spark, sf):
     return s.where(F.col("s") > F.lit(0.2)).select("conv_id", "turn", r6(F.col("s")).alias("score"))
 
 
-@register("token_set", f"SELECT doc_id, len(ts) AS n_tokens, array_to_string(list_sort(ts), ' ') AS tokens "
+@register("token_set", f"SELECT doc_id, CAST(len(ts) AS INTEGER) AS n_tokens, array_to_string(list_sort(ts), ' ') AS tokens "
                        f"FROM (SELECT doc_id, {Q.token_set('text')} AS ts FROM documents)")
 def token_set(spark, sf):
     d = FX.table(spark, sf, "documents").select("doc_id", T.token_set("text").alias("ts"))
@@ -269,11 +279,12 @@ def token_set(spark, sf):
 
 
 @register("cutoff_date", Q.with_("fx_time") +
-          f"SELECT event_id, w AS window_days, strftime(DATE '{FX.AS_OF}' - w, '%Y-%m-%d') AS cutoff FROM "
+          f"SELECT event_id, coalesce(w, {NO_WINDOW}) AS window_days, strftime(DATE '{FX.AS_OF}' - w, '%Y-%m-%d') AS cutoff FROM "
           f"(SELECT event_id, {Q.time_window('phrase')} AS w FROM fx_time)")
 def cutoff_date(spark, sf):
     t = FX.fx_time(spark, sf).select("event_id", T.time_window("phrase").alias("w"))
-    return t.select("event_id", F.col("w").alias("window_days"), T.cutoff_date("w", FX.AS_OF).alias("cutoff"))
+    return t.select("event_id", F.coalesce("w", F.lit(NO_WINDOW)).alias("window_days"),
+                    T.cutoff_date("w", FX.AS_OF).alias("cutoff"))
 
 
 @register("rsplit_label", Q.with_("fx_kb", "fx_lines") +
@@ -309,7 +320,7 @@ def article_text(spark, sf):
 
 
 _LINKS_SQL = (f"SELECT page_id, source, base_url, pos, link, {Q.inner_text('title')} AS title FROM "
-              f"(SELECT page_id, source, base_url, unnest(range(1, len(links) + 1)) AS pos, unnest(links) AS link, "
+              f"(SELECT page_id, source, base_url, CAST(unnest(range(1, len(links) + 1)) AS INTEGER) AS pos, unnest(links) AS link, "
               f"unnest(titles) AS title FROM (SELECT page_id, source, base_url, "
               f"regexp_extract_all({Q.rx_replace('html', H.NOISE_RE)}, {Q.q(H.ANCHOR_RE)}, 1) AS links, "
               f"regexp_extract_all({Q.rx_replace('html', H.NOISE_RE)}, {Q.q(H.ANCHOR_RE)}, 2) AS titles FROM fx_pages))")
@@ -351,7 +362,7 @@ def nonempty_context(spark, sf):
     return ne(FX.fx_pages(spark, sf).select("page_id", H.article_text("html", "url").alias("context"))).select("page_id")
 
 
-@register("scan_pages", Q.with_("fx_pages") + "SELECT page_id, url, source_order, source, length(html) AS html_chars FROM fx_pages")
+@register("scan_pages", Q.with_("fx_pages") + "SELECT page_id, url, source_order, source, CAST(length(html) AS INTEGER) AS html_chars FROM fx_pages")
 def scan_pages(spark, sf):
     return FX.fx_pages(spark, sf).select("page_id", "url", "source_order", "source",
                                          F.length("html").alias("html_chars"))

@@ -105,7 +105,7 @@ def batch_ids(spark, sf):
 # 2.4 joins and retrieval
 # ==========================================================================
 
-_KNN_SQL = ("SELECT q_id, c_id, rank, round(distance, 6) AS distance FROM (SELECT q.vec_id AS q_id, c.vec_id AS c_id, "
+_KNN_SQL = ("SELECT q_id, c_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance FROM (SELECT q.vec_id AS q_id, c.vec_id AS c_id, "
             f"{Q.sq_l2('q.embedding', 'c.embedding')} AS distance, row_number() OVER (PARTITION BY q.vec_id ORDER BY "
             f"{Q.sq_l2('q.embedding', 'c.embedding')}, c.vec_id) AS rank FROM fx_vec q JOIN fx_vec c "
             f"ON q.vec_id <> c.vec_id) WHERE rank <= {R.KNN_CANDIDATES}")
@@ -125,7 +125,7 @@ _RANK_SQL = ("SELECT q.id AS q_id, c.id AS c_id, "
 
 
 @register("retrieval_rank", Q.with_("fx_rag") +
-          f"SELECT q_id, c_id, knn_rank AS rank FROM ({_RANK_SQL}) WHERE knn_rank <= {R.KNN_CANDIDATES}")
+          f"SELECT q_id, c_id, CAST(knn_rank AS INTEGER) AS rank FROM ({_RANK_SQL}) WHERE knn_rank <= {R.KNN_CANDIDATES}")
 def retrieval_rank(spark, sf):
     qs, kb = flows.rag_sides(spark, sf)
     k = SIM.knn_exact(qs, kb, "id", "id", "embedding", "embedding", R.KNN_CANDIDATES)
@@ -137,19 +137,20 @@ _MATCH_SQL = (f"SELECT q_id, c_id, distance, score, row_number() OVER (PARTITION
 
 
 @register("retrieve_two_stage", Q.with_("fx_rag") +
-          f"SELECT q_id, c_id, rank, round(score, 6) AS score, round(distance, 6) AS distance FROM ({_MATCH_SQL})")
+          f"SELECT q_id, c_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score, round(distance, 6) AS distance "
+          f"FROM ({_MATCH_SQL})")
 def retrieve_two_stage(spark, sf):
     m = flows.rag_matches(*flows.rag_sides(spark, sf))
     return m.select("q_id", "c_id", "rank", r6(F.col("score")).alias("score"), r6(F.col("distance")).alias("distance"))
 
 
-@register("topk_contexts", Q.with_("fx_rag") + f"SELECT q_id, c_id, rank FROM ({_MATCH_SQL}) WHERE rank <= 3")
+@register("topk_contexts", Q.with_("fx_rag") + f"SELECT q_id, c_id, CAST(rank AS INTEGER) AS rank FROM ({_MATCH_SQL}) WHERE rank <= 3")
 def topk_contexts(spark, sf):
     return RT.topk_contexts(flows.rag_matches(*flows.rag_sides(spark, sf)), 3).select("q_id", "c_id", "rank")
 
 
 _CTX_SQL = (f"SELECT m.q_id, string_agg({Q.context_entry('c.text', 'c.sentiment')}, {Q.q(chr(10) * 2)} ORDER BY m.rank) "
-            f"AS context, count(*) AS n_contexts FROM ({_MATCH_SQL}) m JOIN fx_rag c ON c.id = m.c_id GROUP BY m.q_id")
+            f"AS context, CAST(count(*) AS INTEGER) AS n_contexts FROM ({_MATCH_SQL}) m JOIN fx_rag c ON c.id = m.c_id GROUP BY m.q_id")
 
 
 @register("assemble_context", Q.with_("fx_rag") + _CTX_SQL)
@@ -159,7 +160,7 @@ def assemble_context(spark, sf):
 
 
 _PROMPT_SQL = (f"SELECT q.id AS q_id, {Q.rag_prompt('coalesce(x.context, ' + chr(39) * 2 + ')', 'q.instruction')} AS prompt, "
-               f"coalesce(x.n_contexts, 0) AS n_contexts FROM fx_rag q LEFT JOIN ({_CTX_SQL}) x ON x.q_id = q.id "
+               f"CAST(coalesce(x.n_contexts, 0) AS INTEGER) AS n_contexts FROM fx_rag q LEFT JOIN ({_CTX_SQL}) x ON x.q_id = q.id "
                f"WHERE q.split = 'test'")
 
 
@@ -183,7 +184,7 @@ def context_vote(spark, sf):
 
 
 @register("overlap_join", f"SELECT q_id, c_id, n_shared, round(score, 6) AS score FROM (SELECT b.item_id AS q_id, "
-                          f"d.doc_id AS c_id, {Q.n_shared('qs', 'cs')} AS n_shared, {Q.overlap('qs', 'cs')} AS score "
+                          f"d.doc_id AS c_id, CAST({Q.n_shared('qs', 'cs')} AS INTEGER) AS n_shared, {Q.overlap('qs', 'cs')} AS score "
                           f"FROM (SELECT item_id, {Q.token_set('text')} AS qs FROM benchmark) b, (SELECT doc_id, "
                           f"{Q.token_set('text')} AS cs FROM documents) d) WHERE score > 0.8")
 def overlap_join(spark, sf):
@@ -232,7 +233,7 @@ def retrieved_records(spark, sf):
 
 
 @register("source_stats", Q.with_("cleaned_queries", "page_titles") +
-          f"SELECT s.source, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER () AS total, "
+          f"SELECT s.source, coalesce(c.n, 0) AS n, CAST(sum(coalesce(c.n, 0)) OVER () AS BIGINT) AS total, "
           f"{Q.pct('coalesce(c.n, 0)', 'sum(coalesce(c.n, 0)) OVER ()', 2)} AS pct FROM {Q.sources_values()} s "
           f"LEFT JOIN (SELECT source, count(*) AS n FROM ({_ENRICHED_NE}) GROUP BY source) c ON c.source = s.source")
 def source_stats(spark, sf):
@@ -317,7 +318,7 @@ def _counts(spark, sf):
 
 
 @register("label_distribution", Q.with_("fx_text") +
-          f"SELECT output AS label, count(*) AS n, sum(count(*)) OVER () AS total, "
+          f"SELECT output AS label, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total, "
           f"{Q.pct('count(*)', 'sum(count(*)) OVER ()', 1)} AS pct FROM ({_RECORDS_SQL}) WHERE output <> 'unknown' "
           f"GROUP BY output")
 def label_distribution(spark, sf):
@@ -325,14 +326,14 @@ def label_distribution(spark, sf):
 
 
 @register("prediction_distribution", Q.with_("fx_pred") +
-          f"SELECT predicted_label AS label, count(*) AS n, sum(count(*)) OVER () AS total, "
+          f"SELECT predicted_label AS label, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total, "
           f"{Q.pct('count(*)', 'sum(count(*)) OVER ()', 1)} AS pct FROM fx_pred GROUP BY predicted_label")
 def prediction_distribution(spark, sf):
     return E.distribution(FX.fx_predictions(spark, sf), "predicted_label", 1)
 
 
 @register("sentiment_distribution", Q.with_("fx_kb", "fx_lines") +
-          "SELECT d.label, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER () AS total, "
+          "SELECT d.label, coalesce(c.n, 0) AS n, CAST(sum(coalesce(c.n, 0)) OVER () AS BIGINT) AS total, "
           f"{Q.pct('coalesce(c.n, 0)', 'sum(coalesce(c.n, 0)) OVER ()', 2)} AS pct FROM "
           "(SELECT * FROM (VALUES ('negative'), ('neutral'), ('positive')) t(label)) d LEFT JOIN "
           f"(SELECT {Q.rsplit_label('line')} AS s, count(*) AS n FROM fx_lines WHERE length({Q.ustrip('line')}) > 0 "
