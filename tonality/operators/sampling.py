@@ -48,29 +48,47 @@ def exact_rank(df: DataFrame, order_cols: list, bucket: Column, partition_cols:
              .drop(BUCKET_COL, "_off"))
 
 
+ROWS_PER_BUCKET = 1_000_000
+
+
+def auto_bucket_digits(n_rows: int, per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Hex digits of hash prefix so that a bucket holds about ``per_bucket``
+    rows: at least 3 (4096 buckets), at most 6 (16.7M buckets)."""
+    digits = 3
+    while digits < 6 and n_rows / 16 ** digits > per_bucket:
+        digits += 1
+    return digits
+
+
 def hash_rank(df: DataFrame, id_col: str, partition_cols=(), seed: int = R.SEED,
-              bucket_digits: int = 3, name: str = "rank") -> DataFrame:
+              bucket_digits: int | None = None, name: str = "rank") -> DataFrame:
     """Exact rank by the seeded hash (then id) within ``partition_cols``.
 
-    ``bucket_digits`` hex digits give 16**digits buckets per group (3 -> 4096);
-    raise it for groups of billions of rows.
+    ``bucket_digits`` hex digits give 16**digits buckets (3 -> 4096). By default
+    it is sized from a count of ``df`` so a bucket stays near a million rows
+    however large the input grows (a row in its bucket is sorted by one task).
     """
+    if bucket_digits is None:
+        bucket_digits = auto_bucket_digits(df.count())
     d = df.withColumn(HASH_COL, seeded_hash(id_col, seed))
     out = exact_rank(d, [F.col(HASH_COL), F.col(id_col)], F.substring(HASH_COL, 1, bucket_digits),
                      partition_cols, name)
     return out.drop(HASH_COL)
 
 
-def range_rank(df: DataFrame, order_col: str, partition_cols=(), n_buckets: int = 1024,
+def range_rank(df: DataFrame, order_col: str, partition_cols=(), n_buckets: int | None = None,
                name: str = "rank") -> DataFrame:
     """Exact rank by a numeric column (unique within a group) in its natural order.
 
     Bucket bounds are approximate quantiles of the column (one sampling pass,
     ``n_buckets`` numbers to the driver), so buckets stay even whatever the
-    distribution of the ids.
+    distribution of the ids. By default ``n_buckets`` is sized from a count so
+    a bucket holds about a million rows (at least 1024, at most 131072).
     """
     from pyspark.ml.feature import Bucketizer
 
+    if n_buckets is None:
+        n_buckets = int(min(1 << 17, max(1024, df.count() // ROWS_PER_BUCKET + 1)))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     splits = sorted(set(df.approxQuantile(order_col, probs, 0.001)))
     c = F.col(order_col)

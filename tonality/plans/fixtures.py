@@ -142,12 +142,12 @@ def fx_pages(spark, sf_dir) -> DataFrame:
 
 
 def fx_lines(spark, sf_dir) -> DataFrame:
-    """Phrase-file lines: ``line_id, line`` (``text@sentiment`` plus blanks)."""
+    """Phrase-file lines: ``line_id, line`` (``text@sentiment``, each followed
+    by a whitespace-only line)."""
     kb = fx_kb(spark, sf_dir)
     lines = kb.select((F.col("ctx_id") * 2).alias("line_id"),
                       F.concat(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("@"), F.col("sentiment")).alias("line"))
-    blanks = kb.where(F.col("ctx_id") % 4 == 0).select((F.col("ctx_id") * 2 + 1).alias("line_id"),
-                                                      F.lit(" \t ").alias("line"))
+    blanks = kb.select((F.col("ctx_id") * 2 + 1).alias("line_id"), F.lit(" \t ").alias("line"))
     return lines.unionByName(blanks)
 
 

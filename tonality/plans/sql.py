@@ -207,7 +207,7 @@ FX: dict[str, tuple[tuple[str, ...], str]] = {
                      f"FROM pages p JOIN {sources_values()} s ON s.source_order = p.page_id % 9 + 1"),
     "fx_lines": (("fx_kb",), "SELECT ctx_id * 2 AS line_id, replace(text, chr(10), ' ') || '@' || sentiment AS line "
                              "FROM fx_kb UNION ALL SELECT ctx_id * 2 + 1 AS line_id, ' ' || chr(9) || ' ' AS line "
-                             "FROM fx_kb WHERE ctx_id % 4 = 0"),
+                             "FROM fx_kb"),
     "fx_chat": ((), "SELECT u.conv_id, u.turn, u.text AS user_text, a.text AS assistant_text "
                     "FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 "
                     "AND a.role = 'assistant' WHERE u.role = 'user'"),
