@@ -93,8 +93,9 @@ def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
     ``m - floor(t*m)`` tokens. Any fixed token order is valid for this, so each
     side is ordered by frequency on the *other* side (rare hits first):
 
-    * query sets, ordered by corpus frequency, join all corpus tokens
-      (pairs where the query is the smaller set);
+    * query sets, ordered by corpus frequency (counted only for tokens of
+      the query vocabulary), join all corpus tokens (pairs where the query
+      is the smaller set);
     * only corpus sets smaller than the largest query can be the smaller set
       of a pair, so only those get a prefix (ordered by query frequency) and
       join all query tokens.
@@ -108,7 +109,11 @@ def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
     per_row = "threshold" in c_rows.columns
     q_t = (c_rows.agg(F.min("threshold")).first()[0] if per_row else threshold)
     q_t = threshold if q_t is None else q_t
-    q_pre = materialize(_with_prefix(q_rows, _frequencies(c_rows), q_t)
+    # corpus frequencies are only needed for tokens that occur in queries
+    q_vocab = materialize(q_rows.select("token").distinct())
+    q_vocab = F.broadcast(q_vocab) if q_vocab.count() <= broadcast_rows else q_vocab
+    c_freq = _frequencies(c_rows.join(q_vocab, "token", "left_semi"))
+    q_pre = materialize(_with_prefix(q_rows, c_freq, q_t)
                         .select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token"))
     # every non-empty query set has a prefix row, so this is the largest query
     n_pre, q_max = q_pre.agg(F.count(F.lit(1)), F.max("q_size")).first()
