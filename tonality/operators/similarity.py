@@ -145,12 +145,15 @@ def overlap_join(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str,
     tokenised again for the exact check (semi-joined map-side when the id
     sets are small), each once.
     """
-    q_rows = token_rows(queries, q_id, q_text)
+    # the token rows of both sides feed three consumers (frequencies, probe,
+    # small-set prefixes): tokenise once and read the materialised rows
+    q_rows = materialize(token_rows(queries, q_id, q_text))
     if threshold_col:
         c_rows = token_rows(contexts.withColumn("threshold", F.col(threshold_col).cast("double")), c_id, c_text,
                             ("threshold",))
     else:
         c_rows = token_rows(contexts, c_id, c_text)
+    c_rows = materialize(c_rows)
     cand = materialize(overlap_candidates(q_rows, c_rows, threshold, broadcast_rows))
     n_q, n_c = cand.agg(F.countDistinct("q_sid"), F.countDistinct("c_sid")).first()
     q_ids = cand.select("q_sid").distinct()
