@@ -50,9 +50,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (no context there)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     try:
@@ -68,13 +77,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. Only local runs without that setting (tests, bench) get a fresh
     folder under the system temp directory.
     """
+    sc = _context(spark)
     d = checkpoint_dir(spark)
     if not d:
         d = tempfile.mkdtemp(prefix="tonality-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        else:
+            spark.conf.set("spark.checkpoint.dir", d)
+    elif sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
