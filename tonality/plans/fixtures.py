@@ -27,7 +27,8 @@ FIXED_PHRASES = ("today", "yesterday", "last week", "last month", "last year")
 
 # Text-heavy tables: rebalanced after the scan when it yields too few
 # partitions (see ``io.balanced``).
-TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+# (value: the unique key the rows are hashed on)
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": ["conv_id", "turn"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -64,8 +64,8 @@ def instruction_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rag_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(queries = test split, knowledge base = train split) of fx_rag, each
     materialised once: both are read many times by the retrieval plan."""
-    r = FX.fx_rag(spark, sf_dir)
-    return (materialize(r.where(F.col("split") == "test")), materialize(r.where(F.col("split") == "train")))
+    r = materialize(FX.fx_rag(spark, sf_dir))
+    return r.where(F.col("split") == "test"), r.where(F.col("split") == "train")
 
 
 def rag_matches(qs: DataFrame, kb: DataFrame, top_k: int | None = None) -> DataFrame:

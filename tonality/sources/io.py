@@ -28,7 +28,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     return r.format(fmt).load(path)
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
+def balanced(df: DataFrame, min_partitions: int | None = None, key: str | list[str] | None = None) -> DataFrame:
     """Spread rows over at least ``min_partitions`` partitions (default: the
     session's default parallelism) when the input has fewer.
 
@@ -36,7 +36,7 @@ def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None =
     text-heavy row work after it (tokenising, regexes) would then run on one
     core. Inputs that already have enough partitions — any real table at
     scale — are returned unchanged, so this never adds a shuffle there.
-    Hashing on ``key`` (an id column) keeps the placement deterministic
+    Hashing on ``key`` (unique id columns) keeps the placement deterministic
     without the sort a round-robin repartition needs for that.
     """
     try:
@@ -46,7 +46,9 @@ def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None =
         return df
     if have >= n:
         return df
-    return df.repartition(n, key) if key else df.repartition(n)
+    if not key:
+        return df.repartition(n)
+    return df.repartition(n, *([key] if isinstance(key, str) else key))
 
 
 def read_dataset(spark: SparkSession, spec: R.DatasetSpec) -> DataFrame:
