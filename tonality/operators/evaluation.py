@@ -74,10 +74,21 @@ def split_report(df: DataFrame, dataset_col: str = "dataset", split_col: str = "
 # --------------------------------------------------------------------------
 
 def confusion_counts(df: DataFrame, true_col: str = "expected_output",
-                     pred_col: str = "predicted_label") -> DataFrame:
-    """The one aggregation everything else uses: (true, pred, n)."""
-    return (df.groupBy(F.col(true_col).alias("true_label"), F.col(pred_col).alias("pred_label"))
-              .agg(F.count(F.lit(1)).alias("n")))
+                     pred_col: str = "predicted_label", materialized: bool = True) -> DataFrame:
+    """The one aggregation everything else uses: (true, pred, n).
+
+    The result has at most (#labels)² rows. It is materialised into the
+    checkpoint folder (one pass over the predictions) so that every metric,
+    matrix and chart built from it reads those few rows instead of
+    re-running the aggregation over the input; ``materialized=False`` keeps
+    it lazy (streaming).
+    """
+    counts = (df.groupBy(F.col(true_col).alias("true_label"), F.col(pred_col).alias("pred_label"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    if not materialized:
+        return counts
+    from tonality.operators.similarity import materialize
+    return materialize(counts)
 
 
 def label_domain(counts: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def parse_predictions(stream: DataFrame, output_col: str = "model_output") -> Da
 def running_confusion_counts(predictions: DataFrame, true_col: str = "expected_output",
                              pred_col: str = "predicted_label") -> DataFrame:
     """Streaming confusion counts (use output mode ``complete`` or ``update``)."""
-    return E.confusion_counts(predictions, true_col, pred_col)
+    return E.confusion_counts(predictions, true_col, pred_col, materialized=False)
 
 
 def write_available_now(stream: DataFrame, path: str, fmt: str = "parquet",
