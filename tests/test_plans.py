@@ -46,5 +46,14 @@ def test_no_estimated_broadcast(spark):
 
 
 def test_aggregates_are_partial(spark):
-    p = plan(catalog.QUERIES["confusion_matrix"](spark, SF_SMALL))
-    assert "partial_count" in p
+    from tonality.operators import evaluation as E
+    preds = FX.fx_predictions(spark, SF_SMALL)
+    assert "partial_count" in plan(E.confusion_counts(preds, materialized=False))
+
+
+def test_metrics_read_the_materialised_counts(spark):
+    # every metric after the one aggregation reads the checkpointed counts,
+    # never the predictions' Parquet files again
+    for name in ("confusion_matrix", "chart_data", "per_class_metrics"):
+        p = plan(catalog.QUERIES[name](spark, SF_SMALL))
+        assert "Scan ExistingRDD" in p and "FileScan parquet" not in p, name
