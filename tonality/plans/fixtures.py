@@ -25,10 +25,11 @@ TIME_UNITS = ("days", "d", "weeks", "w", "months", "m", "years", "y")
 FIXED_PHRASES = ("today", "yesterday", "last week", "last month", "last year")
 
 
-# Text-heavy tables: rebalanced after the scan when it yields too few
-# partitions (see ``io.balanced``).
+# Tables with regex-heavy row work: rebalanced after the scan when it yields
+# too few partitions (see ``io.balanced``); filters still reach the scan.
 # (value: the unique key the rows are hashed on)
-TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": ["conv_id", "turn"]}
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": ["conv_id", "turn"],
+               "events": "event_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
