@@ -192,9 +192,11 @@ def metrics_document(counts: DataFrame) -> DataFrame:
     micro = micro_metrics(counts).select(F.struct("precision", "recall", "f1").alias("micro_metrics"))
     acc = accuracy(counts).select("accuracy", "error_rate")
     parts = [acc, per_class, macro, micro, matrix]
-    # every part is a single aggregated row: zip them on a constant key
-    keyed = [p.withColumn("_k", F.lit(1)) for p in parts]
-    return reduce(lambda a, b: a.join(b, "_k"), keyed).drop("_k")
+    # every part is one aggregated row: stack them (missing columns null) and
+    # keep the one non-null value of each column — no join needed
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cols = [c for p in parts for c in p.columns]
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
 def chart_data(counts: DataFrame) -> DataFrame:

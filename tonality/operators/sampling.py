@@ -142,13 +142,10 @@ def balance_undersample(df: DataFrame, id_col: str, label_col: str = "sentiment"
     the quarantine, see :func:`tonality.operators.retrieval.quarantine`).
     """
     d = df.where(F.col(label_col).isin(*R.LABELS))
+    n_anchor = d.where(F.col(label_col) == anchor).count()  # one number to the driver
     ranked = hash_rank(d, id_col, [label_col], seed, name="_class_rank")
-    n_anchor = (d.where(F.col(label_col) == anchor).agg(F.count(F.lit(1)).alias("_n_anchor")))
-    # one-row aggregate: joined on a constant key, not a cross join
-    kept = (ranked.withColumn("_k", F.lit(1))
-                  .join(F.broadcast(n_anchor.withColumn("_k", F.lit(1))), "_k")
-                  .where((F.col(label_col) == anchor) | (F.col("_class_rank") <= F.col("_n_anchor"))))
-    return kept.drop("_k", "_n_anchor", "_class_rank", "_group_n")
+    kept = ranked.where((F.col(label_col) == anchor) | (F.col("_class_rank") <= F.lit(n_anchor)))
+    return kept.drop("_class_rank", "_group_n")
 
 
 def shuffle_rows(df: DataFrame, id_col: str, seed: int = R.SEED, pos_col: str = "pos") -> DataFrame:

@@ -25,6 +25,8 @@ ENGINE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the frames that read them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
