@@ -76,12 +76,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; create a scratch one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only local runs without that setting (tests, bench) get a fresh
-    folder under the system temp directory.
+    as is (and must be set). Only local-mode runs without that setting (tests,
+    bench) get a fresh folder under the system temp directory.
     """
     sc = _context(spark)
     d = checkpoint_dir(spark)
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a shared folder for checkpoints "
+                               "(a machine-local temporary folder would not survive executor loss)")
         d = tempfile.mkdtemp(prefix="tonality-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)
