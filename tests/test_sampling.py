@@ -79,3 +79,11 @@ def test_shuffle_and_sample(spark):
     order = sorted(range(50), key=lambda i: (h(i), i))
     assert [pos[i] for i in order] == list(range(1, 51))
     assert [r["id"] for r in S.sample_n(df, "id", 10).collect()] == order[:10]
+
+
+def test_ranks_on_empty_and_tiny_inputs(spark):
+    empty = spark.range(0).withColumnRenamed("id", "k")
+    assert S.batch_ids(empty, "k", 32).count() == 0
+    assert S.shuffle_rows(spark.range(0), "id").count() == 0
+    one = spark.range(1).withColumnRenamed("id", "k")
+    assert [(r["position"], r["batch_id"]) for r in S.batch_ids(one, "k", 32).collect()] == [(1, 0)]

@@ -93,9 +93,12 @@ def range_rank(df: DataFrame, order_col: str, partition_cols=(), n_buckets: int
     splits = sorted(set(df.approxQuantile(order_col, probs, 0.001)))
     c = F.col(order_col)
     d = df.withColumn("_ord_d", c.cast("double"))
-    # binary search over the split points, JVM-side; bucket is monotone in the value
-    d = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ord_d",
-                   outputCol="_ord_b", handleInvalid="keep").transform(d)
+    if splits:
+        # binary search over the split points, JVM-side; bucket is monotone in the value
+        d = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ord_d",
+                       outputCol="_ord_b", handleInvalid="keep").transform(d)
+    else:  # empty input: nothing to split
+        d = d.withColumn("_ord_b", F.lit(0.0))
     return exact_rank(d, [c], F.col("_ord_b"), partition_cols, name).drop("_ord_d", "_ord_b")
 
 
