@@ -79,3 +79,19 @@ def test_knn_exact_equals_numpy(spark, k, block):
         mine = sorted(by_q[int(qi)])
         assert [c for _, c, _ in mine] == order
         assert [rk for rk, _, _ in mine] == list(range(1, len(order) + 1))
+
+
+def test_joins_on_empty_sides(spark):
+    from tonality.operators.retrieval import retrieve_two_stage
+    q = spark.createDataFrame([(1, "a b c")], "q long, text string")
+    c = spark.createDataFrame([(7, "a b c d")], "c long, text string")
+    none_q = q.limit(0)
+    none_c = c.limit(0)
+    assert SIM.overlap_join(none_q, c, "q", "c").count() == 0
+    assert SIM.overlap_join(q, none_c, "q", "c").count() == 0
+    assert [(r["q"], r["c"], r["n_shared"]) for r in SIM.overlap_join(q, c, "q", "c").collect()] == [(1, 7, 3)]
+    qv = spark.createDataFrame([(1, "a b c", [0.0, 1.0])], "q long, text string, v array<float>")
+    cv = spark.createDataFrame([(7, "a b c d", [1.0, 1.0]), (8, "x y", [0.0, 0.0])], "c long, text string, v array<float>")
+    m = retrieve_two_stage(qv, cv, "q", "text", "v", "c", "text", "v", k=1).collect()
+    assert [(r["q_id"], r["c_id"], r["rank"]) for r in m] == [(1, 7, 1)]
+    assert retrieve_two_stage(qv.limit(0), cv, "q", "text", "v", "c", "text", "v", k=1).count() == 0
