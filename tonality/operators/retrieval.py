@@ -35,6 +35,17 @@ def sq_l2(a, b) -> Column:
                                   (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda acc, v: acc + v)
 
 
+def restrict_to(df: DataFrame, key: str, keys_from: DataFrame, key_in: str | None = None,
+                max_rows: int = 2_000_000) -> DataFrame:
+    """Rows of ``df`` whose ``key`` occurs in ``keys_from`` — a semi-join, with
+    the distinct keys broadcast when a count shows they are few, so a large
+    ``df`` is filtered in place before any expensive per-row work (Catalyst
+    never moves a projection below a join by itself). ``keys_from`` should be
+    materialised, or the count recomputes it."""
+    keys = keys_from.select(F.col(key_in or key).alias(key)).distinct()
+    return df.join(checked_broadcast(keys, max_rows), key, "left_semi")
+
+
 # --------------------------------------------------------------------------
 # J3 / J4 / K2 / A15 / P10 / X4
 # --------------------------------------------------------------------------
@@ -71,7 +82,8 @@ def retrieve_two_stage(queries: DataFrame, kb: DataFrame, q_id: str, q_text: str
     m = m.withColumn("rank", F.row_number().over(w))
     if top_k is not None:
         m = m.where(F.col("rank") <= top_k)
-    return m
+    # at most k rows per query: materialised for the consumers (assembly, votes)
+    return materialize(m)
 
 
 def topk_contexts(matches: DataFrame, k: int = 3) -> DataFrame:
@@ -83,7 +95,8 @@ def assemble_context(matches: DataFrame, kb: DataFrame, c_id: str, c_text: str,
     """Per query, the retrieved contexts rendered as
     ``Text: ..\\nSentiment: ..`` and joined by a blank line, in rank order.
     Groups are bounded by ``k`` (the vector stage)."""
-    ctx = kb.select(F.col(c_id).alias("c_id"), F.col(c_text).alias("_t"), F.col(c_sentiment).alias("_s"))
+    ctx = restrict_to(kb.select(F.col(c_id).alias("c_id"), F.col(c_text).alias("_t"), F.col(c_sentiment).alias("_s")),
+                      "c_id", matches)
     rendered = matches.join(ctx, "c_id").select("q_id", "rank", P.context_entry("_t", "_s").alias("entry"))
     return (rendered.groupBy("q_id")
             .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("_e"))
@@ -103,7 +116,8 @@ def context_vote(queries: DataFrame, matches: DataFrame, kb: DataFrame, q_id: st
                  c_sentiment: str) -> DataFrame:
     """Majority sentiment of a query's retrieved contexts (ties by label
     order); ``unknown`` when nothing was retrieved."""
-    s = matches.join(kb.select(F.col(c_id).alias("c_id"), F.col(c_sentiment).alias("sentiment")), "c_id")
+    s = matches.join(restrict_to(kb.select(F.col(c_id).alias("c_id"), F.col(c_sentiment).alias("sentiment")),
+                                 "c_id", matches), "c_id")
     votes = s.groupBy("q_id", "sentiment").agg(F.count(F.lit(1)).alias("votes"))
     w = Window.partitionBy("q_id").orderBy(F.col("votes").desc(), F.col("sentiment"))
     best = votes.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")

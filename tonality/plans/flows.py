@@ -147,8 +147,10 @@ def title_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches -> blocklist -> article text -> non-empty, as retrieved rows."""
-    m = RT.url_blocklist(title_matches(spark, sf_dir), "url", "source")
-    pages = FX.table(spark, sf_dir, "pages").select("page_id", H.article_text("html", "url").alias("context"))
+    m = materialize(RT.url_blocklist(title_matches(spark, sf_dir), "url", "source"))
+    # article text only for matched pages: filter the pages first, then parse
+    pages = RT.restrict_to(FX.table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", m)
+    pages = pages.select("page_id", H.article_text("html", "url").alias("context"))
     return RT.nonempty_context(m.join(pages, "page_id"), "context")
 
 
