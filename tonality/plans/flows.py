@@ -140,9 +140,12 @@ def title_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned benchmark queries against page titles, per-source threshold."""
     q = FX.cleaned_queries(spark, sf_dir)
     c = FX.page_titles(spark, sf_dir)
-    j = RT.title_similarity_join(q, c, "qid", "cleaned_query", "page_id", "title")
-    return (j.join(q.select("qid", "query", "cleaned_query"), "qid")
-             .join(c.select("page_id", "url", "source", "source_order", "title"), "page_id"))
+    j = materialize(RT.title_similarity_join(q, c, "qid", "cleaned_query", "page_id", "title"))
+    # attach query and page columns for matched ids only (titles are not
+    # re-extracted for every page)
+    return (j.join(RT.restrict_to(q.select("qid", "query", "cleaned_query"), "qid", j), "qid")
+             .join(RT.restrict_to(c.select("page_id", "url", "source", "source_order", "title"), "page_id", j),
+                   "page_id"))
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
