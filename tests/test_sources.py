@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tonality.operators import evaluation as E
 from tonality.operators.retrieval import kb_records

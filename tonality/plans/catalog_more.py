@@ -3,11 +3,9 @@ sources and the end-to-end flows (registered into ``catalog.QUERIES``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonality import registry as R
-from tonality.functions import html as H
 from tonality.functions import labels as L
 from tonality.functions import text as T
 from tonality.operators import evaluation as E

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from tonality import registry as R
 from tonality.functions import html as H
-from tonality.functions import prompts as P
 from tonality.functions import text as T
 from tonality.plans import fixtures as FX
 
