@@ -70,8 +70,8 @@ def retrieve_two_stage(queries: DataFrame, kb: DataFrame, q_id: str, q_text: str
     m = materialize(overlap_join(qt, ct, "q_id", "c_id", "qt", "ct", threshold).select("q_id", "c_id", "score"))
     if k >= n_kb:
         # the vector stage keeps everything: distances only for the matches
-        qv = queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("qv"))
-        cv = kb.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("cv"))
+        qv = restrict_to(queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("qv")), "q_id", m)
+        cv = restrict_to(kb.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("cv")), "c_id", m)
         m = m.join(qv, "q_id").join(cv, "c_id").select("q_id", "c_id", sq_l2("qv", "cv").alias("distance"), "score")
     else:
         matched = queries.join(checked_broadcast(m.select(F.col("q_id").alias(q_id)).distinct(), 1_000_000),
