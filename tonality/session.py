@@ -30,6 +30,25 @@ ENGINE_CONF = {
 }
 
 
+# Sizing for the cluster target (about 100 TB of input, ~1000 executors).
+# Scans: 256 MB splits keep each task's input, and the rows decoded from it,
+# inside an executor core's memory share. Shuffles: 16k initial partitions at
+# ~256 MB each cover about 4 TB of shuffled data; the shuffles here move
+# pruned columns, token rows or partial aggregates and stay below that, and
+# AQE coalesces smaller ones at run time. A shuffle of whole texts (joining
+# the raw documents) would need more partitions; store such tables bucketed by
+# their key instead, so the join needs no shuffle. Skewed join partitions
+# above 1 GB (and 5x the median) are split by AQE.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tonality", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine defaults.
@@ -40,7 +59,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    for k, v in ENGINE_CONF.items():
+    conf = dict(ENGINE_CONF)
+    if not master or not master.startswith("local"):
+        conf.update(CLUSTER_CONF)  # deployed on a cluster: size for the big input
+    for k, v in conf.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
