@@ -57,3 +57,12 @@ def test_metrics_read_the_materialised_counts(spark):
     for name in ("confusion_matrix", "chart_data", "per_class_metrics"):
         p = plan(catalog.QUERIES[name](spark, SF_SMALL))
         assert "Scan ExistingRDD" in p and "FileScan parquet" not in p, name
+
+
+def test_cluster_sizing_only_outside_local_mode():
+    from tonality.session import CLUSTER_CONF, session_conf
+    assert "spark.sql.files.maxPartitionBytes" not in session_conf("local[8]")
+    for master in (None, "yarn", "spark://host:7077"):
+        conf = session_conf(master)
+        assert all(conf[k] == v for k, v in CLUSTER_CONF.items())
+        assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"

@@ -49,6 +49,14 @@ CLUSTER_CONF = {
 }
 
 
+def session_conf(master: str | None) -> dict:
+    """Engine defaults, plus the cluster sizing unless running in local mode."""
+    conf = dict(ENGINE_CONF)
+    if not master or not master.startswith("local"):
+        conf.update(CLUSTER_CONF)  # deployed on a cluster: size for the big input
+    return conf
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tonality", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine defaults.
@@ -59,10 +67,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    conf = dict(ENGINE_CONF)
-    if not master or not master.startswith("local"):
-        conf.update(CLUSTER_CONF)  # deployed on a cluster: size for the big input
-    for k, v in conf.items():
+    for k, v in session_conf(master).items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
