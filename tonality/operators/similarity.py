@@ -110,7 +110,7 @@ def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
     q_t = (c_rows.agg(F.min("threshold")).first()[0] if per_row else threshold)
     q_t = threshold if q_t is None else q_t
     # corpus frequencies are only needed for tokens that occur in queries
-    q_vocab = materialize(q_rows.select("token").distinct())
+    q_vocab = q_rows.select("token").distinct()  # q_rows is materialised: cheap to recount
     q_vocab = F.broadcast(q_vocab) if q_vocab.count() <= broadcast_rows else q_vocab
     c_freq = _frequencies(c_rows.join(q_vocab, "token", "left_semi"))
     q_pre = materialize(_with_prefix(q_rows, c_freq, q_t)
