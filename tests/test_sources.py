@@ -87,3 +87,12 @@ def test_balanced_only_when_needed(spark):
     assert io.balanced(df, 4, key="id").rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(8)
     assert io.balanced(many, 4) is many
+
+
+def test_write_lines_is_really_latin1(spark, tmp_out):
+    df = spark.createDataFrame([("Café gains@positive",), ("Straße@neutral",)], "line string")
+    io.write_lines(df, "line", tmp_out, "ISO-8859-1")
+    raw = b"".join(open(os.path.join(tmp_out, f), "rb").read() for f in os.listdir(tmp_out) if f.startswith("part-"))
+    assert b"Caf\xe9 gains@positive" in raw and b"Stra\xdfe@neutral" in raw
+    back = sorted((r["text"], r["sentiment"]) for r in io.read_phrasebank(spark, tmp_out).collect())
+    assert back == [("Café gains", "positive"), ("Straße", "neutral")]

@@ -472,6 +472,13 @@ def sink_jsonl(spark, sf):
     return flows.jsonl_roundtrip(spark, p)
 
 
+@register("scan_phrasebank", Q.with_("fx_kb", "fx_lines") +
+          f"SELECT {Q.rsplit_text('line')} AS text, {Q.rsplit_label('line')} AS sentiment FROM fx_lines "
+          f"WHERE length({Q.ustrip('line')}) > 0")
+def scan_phrasebank(spark, sf):
+    return flows.phrasebank_roundtrip(spark, FX.fx_lines(spark, sf))
+
+
 @register("scan_json_array", Q.with_("fx_kb") +
           f"SELECT text, sentiment, {Q.q(R.KB_METADATA_SOURCE)} AS meta_source, {Q.q(R.KB_METADATA_TYPE)} AS meta_type FROM fx_kb")
 def scan_json_array(spark, sf):

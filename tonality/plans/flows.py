@@ -169,6 +169,12 @@ def jsonl_roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
     return io.read_jsonl(spark, path, schema)
 
 
+def phrasebank_roundtrip(spark: SparkSession, lines: DataFrame, col: str = "line") -> DataFrame:
+    path = scratch_path(spark, "phrases-latin1")
+    io.write_lines(lines, col, path, "ISO-8859-1")
+    return io.read_phrasebank(spark, path, "ISO-8859-1")
+
+
 def json_array_roundtrip(spark: SparkSession, kb: DataFrame) -> DataFrame:
     path = scratch_path(spark, "json-array")
     io.write_json_arrays(kb, path, rows_per_file=1000)

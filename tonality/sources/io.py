@@ -95,7 +95,8 @@ def read_phrasebank(spark: SparkSession, path: str, encoding: str = "ISO-8859-1"
     """S4 + F2 + P19: ``text@label`` lines in a single-byte encoding. The text
     reader yields raw bytes re-decoded from ``encoding``; blank lines are
     dropped, the split is on the last ``@``."""
-    lines = spark.read.option("lineSep", "\n").text(path)
+    # default line separators (\r, \n, \r\n) = Python's universal newlines
+    lines = spark.read.text(path)
     # The text source hands over each line's raw bytes; re-decode them.
     value = F.decode(F.col("value").cast("binary"), encoding)
     df = lines.select(value.alias("line"))
@@ -135,6 +136,13 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 10000, mode
     arrays.write.mode(mode).partitionBy("_chunk").text(path)
 
 
+def write_lines(df: DataFrame, col: str, path: str, encoding: str = "ISO-8859-1", mode: str = "overwrite") -> None:
+    """One text line per row in a single-byte ``encoding``: the encoded bytes
+    are handed to the text writer unchanged (characters the encoding cannot
+    represent raise an error)."""
+    df.select(F.encode(F.col(col), encoding).cast("string").alias("value")).write.mode(mode).text(path)
+
+
 def write_metrics_document(doc: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The one-row metrics document as a JSON text file."""
     doc.select(F.to_json(F.struct(*doc.columns)).alias("value")).coalesce(1).write.mode(mode).text(path)
