@@ -126,7 +126,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
