@@ -4,13 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonality.llm import simhash
+from tonality.llm import bpe, langid, licenses, simhash
 from tonality.llm.common import table
 
 
+def byte_bpe_path() -> str:
+    """The public byte-level vocabulary that the encoding queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=2, seed=42)
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup,)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op5_bpe_codec, op8_simhash_near_dedup, op9_language_id, op10_license_scan,
+)}
 ORACLE: dict[str, str] = {}
