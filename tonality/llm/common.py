@@ -56,3 +56,16 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.unionByName(roots)
+
+
+def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """(doc_id, <label>): about ``rows`` labelled ids of each label value, chosen by hash; all where there are fewer.
+
+    Bounded by rows x label values, so it may be broadcast. Null ids and null labels are left out.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label)).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).distinct()
+    n = {r[label]: r["count"] for r in known.groupBy(label).count().collect()}
+    if not n:
+        return known
+    share = F.create_map(*[x for k, c in n.items() for x in (F.lit(k), F.lit(rows / c))])
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col(label)] * (1 << 20))

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonality.llm import bpe, langid, licenses, simhash
+from tonality.llm import bpe, langid, licenses, ordinal, quality, simhash, toxicity
 from tonality.llm.common import table
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def byte_bpe_path() -> str:
     """The public byte-level vocabulary that the encoding queries use."""
     import public_tokenizers
@@ -19,6 +23,14 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=2, seed=42)
 
@@ -32,6 +44,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op5_bpe_codec, op8_simhash_near_dedup, op9_language_id, op10_license_scan,
+    op4_quality_rules, op5_bpe_codec, op6_quality_classifier, op7_toxicity, op8_simhash_near_dedup, op9_language_id, op10_license_scan,
 )}
 ORACLE: dict[str, str] = {}
