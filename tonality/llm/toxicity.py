@@ -23,7 +23,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonality.llm.common import held_out, labelled_sample
+from tonality.llm.common import held_out, labelled_sample, materialise
 
 WORD = re.compile(r"[^\W_]+(?:['’@$*\-][^\W_]+)*")
 WINDOW = 6  # words on either side of a match
@@ -199,10 +199,15 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, terms: int
     import numpy as np
 
     sample = labelled_sample(labels, "toxic", fit_rows)
-    sizes = {int(r["toxic"]): r["count"] for r in sample.groupBy("toxic").count().collect()}
+    texts = _texts(docs).where("text is not null").join(F.broadcast(sample.withColumn("toxic", F.col("toxic").cast("int"))), "doc_id").select("toxic", "text")
+    # One text of each group of copies teaches: copies share the least hash of their word triples.
+    triples = texts.select("toxic", "text", F.expr("transform(split(lower(text), '\\s+'), w -> xxhash64(w))").alias("h"))
+    for k in (1, 1):
+        triples = triples.withColumn("h", F.expr(f"zip_with(slice(h, 1, greatest(size(h) - {k}, 1)), slice(h, {k + 1}, size(h)), (x, y) -> xxhash64(x, y))"))
+    texts = materialise(triples.select("toxic", "text", F.array_min("h").alias("h")).dropDuplicates(["toxic", "h"]).select("toxic", "text"), "toxic-sample")
+    sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Scorer({})
-    texts = _texts(docs).where("text is not null").join(F.broadcast(sample.withColumn("toxic", F.col("toxic").cast("int"))), "doc_id").select("toxic", "text")
 
     def words(batches):
         import pyarrow as pa
@@ -246,8 +251,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, terms: int
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([count[k] for k in keys], pa.int64())], names=["word", "toxic", "n"])
 
     seen = {r["word"]: (r["bad"], r["good"]) for r in texts.mapInArrow(near, "word string, toxic int, n long").groupBy("word").agg(*both).collect()}
-    # A term never met misspelt is believed at half its own weight.
-    fuzzy = lambda t, w: min(w, odds(*seen[t])) if t in seen else 0.5 * w
+    # A term never met misspelt is believed at three quarters of its own weight.
+    fuzzy = lambda t, w: min(w, odds(*seen[t])) if t in seen else 0.75 * w
     model = Scorer({t: (w, fuzzy(t, w)) for t, w in lexicon.items()})
     second = docs.sparkSession.sparkContext.broadcast(model)
 
