@@ -39,6 +39,12 @@ def test_encodes_and_decodes_like_the_library(lib, own):
         assert "".join(out.feed([i]) for i in ids) + out.end() == lib.decode(ids, skip_special_tokens=False)
 
 
+def test_stretches_give_the_same_tokens(lib, own, monkeypatch):
+    monkeypatch.setattr(B, "STRETCH", 3)
+    for t in samples():
+        assert own.encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids, t
+
+
 def test_every_character_splits_like_the_library(lib, own):
     chars = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
     step = 500

@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 300_000  # words remembered by each of two generations
+STRETCH = 1 << 16  # characters encoded at a time
+CACHE = 500_000  # words remembered by each of two generations
 
 
 def byte_letters() -> dict[str, int]:
@@ -58,13 +59,15 @@ class Bpe:
             self.parts.setdefault(whole, (*pair, n))
         self.longest = max(map(len, self.ids))
         self.lookahead = self._lookahead()
+        reached = self._reached()
+        self.ids = {b: i for b, i in self.ids.items() if i in reached}
         self._lengths: dict[bytes, list[int]] = {}
         for b in self.ids:
             self._lengths.setdefault(b[-3:], []).append(len(b))
         self._tails: dict[bytes, list[int]] = {}
         self._stable: dict[tuple[int, int], bool] = {}
-        self._reached: dict[int, bool] = {}
         self._split = regex.compile(SPLIT)
+        self._cut = regex.compile(r"(?<=\S) (?=\S)").search
         self._marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -96,40 +99,36 @@ class Bpe:
     def stable(self, a: int, b: int) -> bool:
         """No merge joins a piece of ``a``'s right edge to one of ``b``'s left edge while both exist."""
         known = self._stable.get((a, b))
-        if known is not None:
-            return known
+        if known is None:
+            if len(self._stable) > 1 << 20:
+                self._stable.clear()
+            known = self._stable[a, b] = self._meet(a, b)
+        return known
+
+    def _meet(self, a: int, b: int, own: bool = False) -> bool:
+        """No merge crosses between ``a`` and ``b`` before both are complete, nor after unless ``own`` allows it."""
         # Undo, latest first, the merges that made the two edge pieces; between two such
         # merges the same two pieces meet at the boundary until the later merge's rank.
-        left, right, until, ok = a, b, float("inf"), True
+        left, right, until = a, b, float("inf")
         while True:
-            if self.rank.get((left, right), until) < until:
-                ok = False
-                break
+            if self.rank.get((left, right), until) < until and not (own and (left, right) == (a, b)):
+                return False
             made_l, made_r = self.parts.get(left), self.parts.get(right)
             if made_l is None and made_r is None:
-                break
+                return True
             # on equal ranks the leftmost pair merges first, so the right piece's own merge comes later
             if made_r is None or made_l is not None and made_l[2] > made_r[2]:
                 left, until = made_l[1], made_l[2]
             else:
                 right, until = made_r[0], made_r[2] + 0.5
-        if len(self._stable) > 1 << 20:
-            self._stable.clear()
-        self._stable[a, b] = ok
-        return ok
-
-    def reached(self, t: int) -> bool:
-        """Merging the token's own bytes gives the token."""
-        known = self._reached.get(t)
-        if known is None:
-            word = [self.ids[bytes([x])] for x in self.bytes[t]]
-            while len(word) > 1:
-                n, at = min((self.rank.get(p, 1 << 40), i) for i, p in enumerate(zip(word, word[1:])))
-                if n == 1 << 40:
-                    break
-                word[at:at + 2] = [self.ids[self.bytes[word[at]] + self.bytes[word[at + 1]]]]
-            known = self._reached[t] = word == [t]
-        return known
+
+    def _reached(self) -> set[int]:
+        """Tokens that merging their own bytes gives: both parts are, and no other merge crosses between the parts first."""
+        out = {i for i, b in self.bytes.items() if len(b) == 1}
+        for whole, (a, b, n) in sorted(self.parts.items(), key=lambda x: x[1][2]):
+            if a in out and b in out and self.rank[a, b] == n and self._meet(a, b, own=True):
+                out.add(whole)
+        return out
 
     def _tail(self, tail: bytes) -> list[int]:
         """Lengths, longest first, of the tokens that may end in these last three bytes (fewer at a word's start)."""
@@ -153,9 +152,8 @@ class Bpe:
                         ok = known((before, t))
                         if not (self.stable(before, t) if ok is None else ok):
                             continue
-                    if self.reached(t):
-                        ends.append(t)
-                        break
+                    ends.append(t)
+                    break
             if len(ends) > check:
                 live = set(range(len(ends) - longest, len(ends)))
                 while len(live) > 1:
@@ -190,21 +188,26 @@ class Bpe:
         return got
 
     def pieces(self, text: str):
-        """Packed ids of a text, piece by piece."""
+        """Packed ids of a text, a stretch of words at a time."""
         at = 0
         for m in self._marks.finditer(text) if self._marks else ():
-            yield from self._plain(text, at, m.start())
+            yield from self._plain(text[at:m.start()])
             yield self.special[m.group()].to_bytes(4, "little")
             at = m.end()
-        yield from self._plain(text, at, len(text))
+        yield from self._plain(text[at:] if at else text)
 
-    def _plain(self, text: str, a: int, b: int):
-        # A special token ends the text for the look-ahead of the pattern, so cut it out when there is one.
-        if (a, b) != (0, len(text)):
-            text = text[a:b]
-        for m in self._split.finditer(text):
-            w = m.group()
-            yield self._young.get(w) or self._packed(w)
+    def _plain(self, text: str):
+        """Between special tokens. A single space between two others always starts a word, so stretches end there."""
+        at = 0
+        while at < len(text):
+            cut = self._cut(text, at + STRETCH)
+            to = cut.start() if cut else len(text)
+            words = self._split.findall(text, at, to) if to == len(text) else self._split.findall(text[at:to])
+            packed = list(map(self._young.get, words))
+            if None in packed:
+                packed = [p or self._packed(w) for p, w in zip(packed, words)]
+            yield b"".join(packed)
+            at = to
 
     def encode(self, text: str) -> array:
         return array("I", b"".join(self.pieces(text)))
@@ -228,22 +231,13 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def digest(bpe: Bpe, text: str | None, batch: int = 4096) -> tuple[int, str, str]:
-    """(tokens, SHA-256 of the ids, SHA-256 of the decoded text); ids are never held whole."""
-    n, of_ids, of_text, out, held = 0, hashlib.sha256(), hashlib.sha256(), ByteText(bpe.bytes), []
-
-    def flush():
-        packed = b"".join(held)
-        held.clear()
+def digest(bpe: Bpe, text: str | None) -> tuple[int, str, str]:
+    """(tokens, SHA-256 of the ids, SHA-256 of the decoded text); ids are held for one stretch of words only."""
+    n, of_ids, of_text, out = 0, hashlib.sha256(), hashlib.sha256(), ByteText(bpe.bytes)
+    for packed in bpe.pieces(text or ""):
+        n += len(packed) // 4
         of_ids.update(packed)
         of_text.update(out.feed(array("I", packed)).encode())
-        return len(packed) // 4
-
-    for p in bpe.pieces(text or ""):
-        held.append(p)
-        if len(held) >= batch:
-            n += flush()
-    n += flush()
     of_text.update(out.end().encode())
     return n, of_ids.hexdigest(), of_text.hexdigest()
 
