@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonality.llm import bpe, decontam, langid, licenses, linededup, ordinal, quality, simhash, toxicity
+from tonality.llm import bpe, decontam, exactspans, langid, licenses, linededup, ordinal, quality, simhash, toxicity
 from tonality.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactspans.repeated_spans(table(spark, sf_dir, "documents"), size=400).drop("spans")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.classes(table(spark, sf_dir, "documents"), edits=2, min_chars=20)
 
@@ -52,6 +56,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_benchmark_decontamination, op3_line_dedup, op4_quality_rules, op5_bpe_codec, op6_quality_classifier, op7_toxicity, op8_simhash_near_dedup, op9_language_id, op10_license_scan,
+    op1_benchmark_decontamination, op2_suffix_array_dedup, op3_line_dedup, op4_quality_rules, op5_bpe_codec, op6_quality_classifier, op7_toxicity, op8_simhash_near_dedup, op9_language_id, op10_license_scan,
 )}
 ORACLE: dict[str, str] = {}
