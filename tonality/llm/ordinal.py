@@ -170,6 +170,26 @@ def score(docs: DataFrame, model: CumulativeLink | None, cut: float) -> DataFram
     return texts.mapInArrow(run, "doc_id long, expected_grade double, tail double")
 
 
+def select(docs: DataFrame, model: CumulativeLink | None, cut: float, least: float) -> DataFrame:
+    """The rows of ``docs`` whose P(grade >= ``cut``) is ``least`` or more, with every column; no shuffle.
+
+    The score of a text depends on the text alone, so each batch is filtered where it is.
+    """
+    if model is None:
+        return docs
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+
+        above = [k for k, g in enumerate(shared.value.grades) if g >= cut]
+        for b in batches:
+            keep = [bool(above) and shared.value.tail(t.as_py())[above[0]] >= least for t in b.column(at)]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def ratings(labels: DataFrame) -> DataFrame:
     """Grades from the labels: 0 unwanted, 1 well written but toxic, 2 well written."""
     return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when((F.col("quality") == 1) & (F.col("toxic") == 1), 1).when(F.col("quality") == 1, 2).alias("grade"))

@@ -106,3 +106,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, seed: in
     first = lone.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = lone.join(first, "component").select("fp", "component_id")
     return rows.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
+    """The documents without those whose component has a smaller id; every column stays.
+
+    Rows of one id stay or go together; rows with a null id stay.
+    """
+    found = near_duplicates(docs, words, max_bits).where("doc_id is not null")
+    gone = found.groupBy("doc_id").agg(F.min("component_id").alias("c")).where("c < doc_id").select(F.col("doc_id").alias("gone_id"))
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
