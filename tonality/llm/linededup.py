@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tonality.llm.common import connected_components, materialise
 
-BROADCAST_ROWS = 300_000  # candidate line hashes (16 bytes each) sent to every task; beyond it the join shuffles
+BROADCAST_ROWS = 1_000_000  # longs sent to every executor; beyond it the join shuffles
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -37,29 +37,25 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows.where("doc_id is not null").select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("2"), "line").alias("b"))
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment ``i`` (from 0): the first ones are the shorter ones."""
-    n = edits + 1
-    size, extra = F.floor(length / n).cast("int"), (length % n).cast("int")
-    late = F.greatest(F.lit(0), F.lit(i) - (n - extra))
-    return 1 + i * size + late, size + F.when(F.lit(i) >= n - extra, 1).otherwise(0)
-
-
 def keys(entries: DataFrame, edits: int) -> DataFrame:
-    """(key, a, b, indexed): keys of every line's own segments (indexed) and of its probes of other places and lengths."""
-    size = F.length("line")
+    """(key, a, indexed): keys of every line's own segments (indexed) and of its probes of other places and lengths."""
+    n = edits + 1
+    # size and, for each length that may be matched, the segments' size and how many are one longer (the last ones)
+    cut = [(F.col("size") - short).alias(f"size{short}") for short in range(n)]
+    even = entries.select("a", "line", F.length("line").alias("size")).select("a", "line", "size", *cut)
+    even = even.select("*", *[F.floor(F.col(f"size{k}") / n).cast("int").alias(f"width{k}") for k in range(n)], *[(F.col(f"size{k}") % n).alias(f"extra{k}") for k in range(n)])
     made = []
-    for short in range(edits + 1):  # the indexed line may be that much shorter
-        length = size - short
-        for i in range(edits + 1):
-            start, width = _segment(length, i, edits)
+    for short in range(n):  # the indexed line may be that much shorter
+        for i in range(n):
+            late = f"greatest(0, {i} - ({n} - extra{short}))"
+            width = f"(width{short} + if({i} >= {n} - extra{short}, 1, 0))"
             low, high = max(-i, short - (edits - i)), min(i, short + (edits - i))
             for shift in range(low, high + 1):
-                own = short == 0 and shift == 0
-                at = start + shift
-                fits = (at >= 1) & (at + width - 1 <= size) & (width >= 1)
-                made.append(F.struct(F.when(fits, F.xxhash64(F.lit(i), length, F.col("line").substr(at, width))).alias("key"), F.lit(own).alias("indexed")))
-    return entries.select("a", "b", F.inline(F.array(*made))).where("key is not null").select("key", "a", "b", "indexed")
+                at = f"({1 + shift} + {i} * width{short} + {late})"
+                hashed = f"xxhash64({i}, size{short}, substring(line, {at}, {width}))"
+                fits = f"{at} >= 1 and {at} + {width} - 1 <= size and {width} >= 1"
+                made.append(f"struct(if({fits}, {hashed}, null) as key, {str(short == 0 and shift == 0).lower()} as indexed)")
+    return even.select("a", F.expr(f"inline(array({', '.join(made)}))")).where("key is not null").select("key", "a", "indexed")
 
 
 def within(a: str, b: str, edits: int) -> Column:
@@ -96,6 +92,11 @@ def within(a: str, b: str, edits: int) -> Column:
     return F.expr(f"transform(array({strip}), t -> transform(array({cutoff}), u -> {whole})[0])[0]")
 
 
+def _sized(hashes: DataFrame) -> DataFrame:
+    """A one-column frame of longs, marked for broadcast if its counted rows are few; else Spark shuffles the join."""
+    return F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
+
+
 def marks(line: Column) -> Column:
     """64 bits, each the parity of the words that hash to it: an edit changes at most three."""
     return F.aggregate(F.split(line, " ", -1), F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(w), F.lit(64)))))
@@ -104,17 +105,15 @@ def marks(line: Column) -> Column:
 def links(rows: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """(a1, b1, a2, b2): links between different lines within ``edits`` edits, each once."""
     long = rows.where(F.length("line") >= min_chars)
-    # copies of a line give equal rows, which the partial aggregation folds before the shuffle
-    made = keys(long, edits).groupBy("key", "a", "b").agg(F.max("indexed").alias("indexed")).repartition("key")
-    shared = (made.groupBy("key").agg(F.max("indexed").alias("hit"), F.min("a").alias("lo"), F.max("a").alias("hi"))
-              .where("hit and lo <> hi").select("key"))
-    hits = materialise(made.join(shared.hint("shuffle_hash"), "key", "left_semi"), "line-hits")
-    need = materialise(hits.select("a", "b").distinct(), "line-need")
-    texts = long.select("a", "b", "line")
-    wanted = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
-    texts = materialise(texts.join(wanted, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.first("line").alias("line"))
-                        .withColumn("m", marks(F.col("line"))), "line-texts")
-    marked = hits.join(texts.select("a", "b", "m"), ["a", "b"])
+    made = keys(long, edits)
+    # copies of a line give equal keys, which the partial aggregation folds before the one shuffle of keys
+    shared = materialise(made.groupBy("key").agg(F.max("indexed").alias("hit"), F.min("a").alias("lo"), F.max("a").alias("hi"))
+                         .where("hit and lo <> hi").select("key"), "line-shared")
+    hits = materialise(made.join(_sized(shared), "key", "left_semi").distinct(), "line-hits")
+    need = materialise(hits.select("a").distinct(), "line-need")
+    texts = long.select("a", "b", "line").join(_sized(need), "a", "left_semi").groupBy("a", "b").agg(F.first("line").alias("line"))
+    texts = materialise(texts.withColumn("m", marks(F.col("line"))), "line-texts")
+    marked = hits.join(texts.select("a", "b", "m"), "a")
     left = marked.where("indexed").select("key", F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("m").alias("m1"))
     right = marked.select("key", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("m").alias("m2"))
     pairs = (left.join(right, "key").where(((F.col("a1") != F.col("a2")) | (F.col("b1") != F.col("b2"))) & (F.bit_count(F.col("m1").bitwiseXOR(F.col("m2"))) <= 3 * edits))
