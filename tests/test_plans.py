@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapCoGroupsInPandas", "MapInPandas")
 # the only queries allowed to run Python code: the k-NN block scorer and the
 # batch-scoring hook
-PYTHON_OK = {"knn_exact", "retrieval_rank", "retrieve_two_stage", "topk_contexts", "assemble_context",
+PYTHON_OK = {"knn_exact", "retrieval_rank", "retrieve_two_stage", "retrieve_two_stage_k", "topk_contexts", "assemble_context",
              "rag_prompt", "context_vote", "flagship", "batch_score", "retrieve_embedded"}
 
 

@@ -81,6 +81,24 @@ def test_knn_exact_equals_numpy(spark, k, block):
         assert [rk for rk, _, _ in mine] == list(range(1, len(order) + 1))
 
 
+def test_knn_ties_go_to_the_smallest_ids(spark):
+    c = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(300, 0, -1)], "c long, v array<float>").repartition(5)
+    q = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 2.0])], "q long, w array<float>")
+    for block in (2048, 16):
+        got = SIM.knn_exact(q, c, "q", "c", "w", "v", 3, block_rows=block).collect()
+        assert sorted((r.q_id, r.rank, r.c_id) for r in got) == [(i, k, k) for i in (1, 2) for k in (1, 2, 3)]
+    assert SIM.knn_exact(q, c.limit(0), "q", "c", "w", "v", 3).count() == 0
+    assert SIM.knn_exact(q, c.limit(2), "q", "c", "w", "v", 3).count() == 4
+
+
+def test_two_stage_cut(spark):
+    from tonality.operators.retrieval import retrieve_two_stage
+    qv = spark.createDataFrame([(1, "a b c", [0.0, 0.0])], "q long, text string, v array<float>")
+    cv = spark.createDataFrame([(i, "a b c", [float(i), 0.0]) for i in range(9)] + [(9, "x", [0.5, 0.0])], "c long, text string, v array<float>")
+    ids = lambda **o: [r.c_id for r in retrieve_two_stage(qv, cv, "q", "text", "v", "c", "text", "v", **o).orderBy("rank").collect()]
+    assert ids() == list(range(9)) and ids(k=4) == [0, 1, 2] and ids(top_k=2) == [0, 1]
+
+
 def test_joins_on_empty_sides(spark):
     from tonality.operators.retrieval import retrieve_two_stage
     q = spark.createDataFrame([(1, "a b c")], "q long, text string")

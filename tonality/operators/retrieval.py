@@ -1,18 +1,11 @@
 """Retrieval of supporting context and the news-source flow (J3, J5, J7, F3-F7,
 U2, A14, A15, K2, X4).
 
-Two-stage retrieval keeps the original semantics — the ``k`` nearest
-contexts by vector distance, then every one of them whose token overlap with
-the query is > 0.8, in distance order — but plans it two ways:
-
-* ``k >= |KB|``: the vector stage selects everything, so the result is the
-  overlap join itself (prefix-filtered, no pairs materialised); distances are
-  computed only for the matches, to order them.
-* ``k < |KB|``: exact blocked k-NN first (see ``similarity.knn_exact``), then
-  the overlap check on the at most ``k`` candidates per query.
-
-Either way a query has at most ``k`` matches, which bounds every per-query
-group downstream (context assembly, votes).
+Two-stage retrieval returns every context whose token overlap with the query is
+> 0.8, in order of vector distance. It runs the prefix-filtered overlap join
+first and computes distances only for its matches. The original restricts the
+matches to the nearest contexts, a number that covers its whole knowledge
+base; here ``k`` does that when given, by exact pruned k-NN, and is off by default.
 """
 
 from __future__ import annotations
@@ -51,38 +44,28 @@ def restrict_to(df: DataFrame, key: str, keys_from: DataFrame, key_in: str | Non
 # --------------------------------------------------------------------------
 
 def retrieve_two_stage(queries: DataFrame, kb: DataFrame, q_id: str, q_text: str, q_vec: str,
-                       c_id: str, c_text: str, c_vec: str, k: int = R.KNN_CANDIDATES,
-                       threshold: float = R.OVERLAP_THRESHOLD, top_k: int | None = None,
-                       n_kb: int | None = None) -> DataFrame:
-    """``q_id, c_id, distance, rank, score`` for every context among the
-    ``k`` nearest whose overlap with the query is > ``threshold``. ``rank`` is
-    the position among the query's matches in distance order; ``top_k``
-    optionally keeps only the first ``top_k`` (K2; off by default, as in the
-    original code).
-
-    A pair is returned iff it passes the overlap threshold *and* lies among
-    the query's ``k`` nearest, so the cheap prefix-filtered overlap join runs
-    first and exact k-NN only for queries that have an overlap match.
+                       c_id: str, c_text: str, c_vec: str, k: int | None = None,
+                       threshold: float = R.OVERLAP_THRESHOLD, top_k: int | None = None) -> DataFrame:
+    """``q_id, c_id, distance, rank, score`` for every context whose
+    overlap with the query is > ``threshold``. With ``k``, only those among the
+    query's ``k`` nearest contexts (ties by id). ``rank`` is the position among
+    the query's matches in distance order; ``top_k`` optionally keeps only the
+    first ``top_k`` (K2; off by default, as in the original code).
     """
-    n_kb = n_kb if n_kb is not None else kb.count()
     qt = queries.select(F.col(q_id).alias("q_id"), F.col(q_text).alias("qt"))
     ct = kb.select(F.col(c_id).alias("c_id"), F.col(c_text).alias("ct"))
     m = materialize(overlap_join(qt, ct, "q_id", "c_id", "qt", "ct", threshold).select("q_id", "c_id", "score"))
-    if k >= n_kb:
-        # the vector stage keeps everything: distances only for the matches
-        qv = restrict_to(queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("qv")), "q_id", m)
-        cv = restrict_to(kb.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("cv")), "c_id", m)
-        m = m.join(qv, "q_id").join(cv, "c_id").select("q_id", "c_id", sq_l2("qv", "cv").alias("distance"), "score")
-    else:
-        matched = queries.join(checked_broadcast(m.select(F.col("q_id").alias(q_id)).distinct(), 1_000_000),
-                               q_id, "left_semi")
-        near = knn_exact(matched, kb, q_id, c_id, q_vec, c_vec, k, n_contexts=n_kb).drop("rank")
-        m = near.join(checked_broadcast(m, 2_000_000), ["q_id", "c_id"])
+    qv = restrict_to(queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("qv")), "q_id", m)
+    cv = restrict_to(kb.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("cv")), "c_id", m)
+    if k is not None:  # exact k-NN, only for queries that have an overlap match
+        near = knn_exact(qv, kb, "q_id", c_id, "qv", c_vec, k).select("q_id", "c_id")
+        m = materialize(m.join(near, ["q_id", "c_id"], "left_semi"))
+    m = m.join(qv, "q_id").join(cv, "c_id").select("q_id", "c_id", sq_l2("qv", "cv").alias("distance"), "score")
     w = Window.partitionBy("q_id").orderBy("distance", "c_id")
     m = m.withColumn("rank", F.row_number().over(w))
     if top_k is not None:
         m = m.where(F.col("rank") <= top_k)
-    # at most k rows per query: materialised for the consumers (assembly, votes)
+    # materialised for the consumers (assembly, votes)
     return materialize(m)
 
 
@@ -94,7 +77,7 @@ def topk_contexts(matches: DataFrame, k: int = 3) -> DataFrame:
 def assemble_context(matches: DataFrame, kb: DataFrame, c_id: str, c_text: str, c_sentiment: str) -> DataFrame:
     """Per query, the retrieved contexts rendered as
     ``Text: ..\\nSentiment: ..`` and joined by a blank line, in rank order.
-    Groups are bounded by ``k`` (the vector stage)."""
+    A group holds a query's overlap matches."""
     ctx = restrict_to(kb.select(F.col(c_id).alias("c_id"), F.col(c_text).alias("_t"), F.col(c_sentiment).alias("_s")),
                       "c_id", matches)
     rendered = matches.join(ctx, "c_id").select("q_id", "rank", P.context_entry("_t", "_s").alias("entry"))

@@ -12,13 +12,11 @@ Overlap join (token-set overlap coefficient > t)
     texts of candidate ids are joined back for the exact check.
 
 Exact k-NN (squared L2)
-    A blocked nested loop without materialising pairs: queries are hashed into
-    ``QB`` blocks and contexts into ``CB`` blocks, each row is replicated to
-    the blocks of the other side, and each (query block, context block) group
-    is scored with numpy inside ``cogroup().applyInPandas`` emitting only its
-    best ``k`` per query. A final ``row_number() <= k`` per query (Spark's
-    WindowGroupLimit) merges the at most ``CB*k`` survivors per query. Block
-    sizes are fixed, so no group grows with the data.
+    Pivot cells with the triangle inequality: a query visits only the cells
+    that can hold one of its ``k`` nearest, each (cell, block) group is scored
+    with numpy inside ``cogroup().applyInPandas`` and emits at most ``k`` rows a
+    query, and a ``row_number() <= k`` per query merges them. Large cells are
+    split on both sides, so no group grows with the data.
 """
 
 from __future__ import annotations
@@ -29,7 +27,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tonality.functions.text import token_set
 
@@ -181,88 +178,122 @@ def overlap_join(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str,
 # exact k-NN
 # --------------------------------------------------------------------------
 
-KNN_SCHEMA = T.StructType([
-    T.StructField("q_id", T.LongType()),
-    T.StructField("c_id", T.LongType()),
-    T.StructField("distance", T.DoubleType()),
-])
+KNN_SCHEMA = "q_id long, c_id long, distance double"
+MAX_CELLS = 1024
 
 
-def _block_topk(k: int, exclude_self: bool, chunk: int = 64, ranked: bool = False):
-    """Per (query block, context block): exact squared L2, best k per query
-    (with their final ``rank`` when ``ranked``: one context block only)."""
+def _vectors(column):
+    return np.asarray(np.stack(column.to_numpy()), dtype=np.float64)
+
+
+def _to_pivots(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Euclidean distance of every row to every pivot, a bounded slice at a time."""
+    out = np.empty((len(v), len(pivots)))
+    step = max(1, (1 << 22) // max(1, pivots.size))
+    for s in range(0, len(v), step):
+        diff = v[s:s + step, None, :] - pivots[None, :, :]
+        out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+    return out
+
+
+def _assign_cells(contexts: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Every context with its nearest pivot and the distance to it."""
+    def run(frames):
+        for f in frames:
+            if len(f):
+                d = _to_pivots(_vectors(f["cv"]), pivots)
+                f = f.assign(cell=d.argmin(axis=1).astype("int32"), to_pivot=d.min(axis=1))
+                yield f[["c_id", "cv", "cell", "to_pivot"]]
+
+    return contexts.mapInPandas(run, "c_id long, cv array<float>, cell int, to_pivot double")
+
+
+def _reach_cells(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, count: np.ndarray, k: int) -> DataFrame:
+    """(q_id, qv, cell, bound): the cells that can hold one of a query's ``k`` nearest.
+
+    The cells taken in order of (distance to pivot + radius) hold ``k`` contexts
+    within the last one's sum, which bounds the k-th distance. A cell whose
+    contexts are all farther, by the triangle inequality, is skipped.
+    """
+    def run(frames):
+        for f in frames:
+            if not len(f):
+                continue
+            d = _to_pivots(_vectors(f["qv"]), pivots)
+            far = d + radius
+            order = np.argsort(far, axis=1)
+            enough = (np.cumsum(count[order], axis=1) >= k).argmax(axis=1)
+            reached = np.cumsum(count[order], axis=1)[:, -1] >= k
+            bound = np.where(reached, np.take_along_axis(far, order, axis=1)[np.arange(len(f)), enough], np.inf) * (1 + 1e-9) + 1e-12
+            q, cell = np.nonzero((d - radius <= bound[:, None]) & (count > 0))
+            yield pd.DataFrame({"q_id": f["q_id"].to_numpy()[q], "qv": f["qv"].to_numpy()[q], "cell": cell.astype("int32"), "bound": bound[q]})
+
+    return queries.mapInPandas(run, "q_id long, qv array<float>, cell int, bound double")
+
+
+def _block_topk(k: int, exclude_self: bool):
+    """Per group of queries and contexts: exact squared L2, at most the best ``k`` per query, ties by context id."""
 
     def fn(key, qdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qdf) == 0 or len(cdf) == 0:
-            empty = pd.DataFrame({"q_id": [], "c_id": [], "distance": []}).astype(
-                {"q_id": "int64", "c_id": "int64", "distance": "float64"})
-            if ranked:
-                empty["rank"] = pd.Series([], dtype="int32")
-            return empty
-        qv = np.asarray(np.stack(qdf["qv"].to_numpy()), dtype=np.float64)
-        cv = np.asarray(np.stack(cdf["cv"].to_numpy()), dtype=np.float64)
-        qids = qdf["q_id"].to_numpy(dtype=np.int64)
-        cids = cdf["c_id"].to_numpy(dtype=np.int64)
-        out_q, out_c, out_d, out_r = [], [], [], []
-        for s in range(0, len(qv), chunk):
-            diff = qv[s:s + chunk, None, :] - cv[None, :, :]
-            d = np.einsum("ijk,ijk->ij", diff, diff)
-            if exclude_self:
-                d[qids[s:s + chunk, None] == cids[None, :]] = np.inf
-            kk = min(k, d.shape[1])
-            if kk < d.shape[1]:
-                idx = np.argpartition(d, kk - 1, axis=1)[:, :kk]
-            else:
-                idx = np.broadcast_to(np.arange(d.shape[1]), d.shape)
-            if ranked:
-                # order each query's k by (distance, context id)
-                sel = np.take_along_axis(d, idx, axis=1)
-                order = np.lexsort((cids[idx], sel), axis=1)
-                idx = np.take_along_axis(idx, order, axis=1)
-            rows = np.repeat(np.arange(d.shape[0]), idx.shape[1])
-            cols = idx.reshape(-1)
-            dist = d[rows, cols]
-            keep = np.isfinite(dist)
-            out_q.append(qids[s:s + chunk][rows[keep]])
-            out_c.append(cids[cols[keep]])
-            out_d.append(dist[keep])
-            if ranked:
-                out_r.append(np.tile(np.arange(1, idx.shape[1] + 1), d.shape[0])[keep])
-        res = pd.DataFrame({"q_id": np.concatenate(out_q), "c_id": np.concatenate(out_c),
-                            "distance": np.concatenate(out_d)})
-        if ranked:
-            res["rank"] = np.concatenate(out_r).astype("int32")
-        return res
+        out = [pd.DataFrame({"q_id": np.zeros(0, np.int64), "c_id": np.zeros(0, np.int64), "distance": np.zeros(0)})]
+        if len(qdf) and len(cdf):
+            cdf = cdf.sort_values("c_id")  # a stable order by distance then breaks ties by id
+            qv, cv, cids = _vectors(qdf["qv"]), _vectors(cdf["cv"]), cdf["c_id"].to_numpy()
+            qids, bound = qdf["q_id"].to_numpy(), qdf["bound"].to_numpy() ** 2
+            step = max(1, (1 << 22) // cv.size)
+            for s in range(0, len(qv), step):
+                diff = qv[s:s + step, None, :] - cv[None, :, :]
+                d = np.einsum("ijk,ijk->ij", diff, diff)
+                if exclude_self:
+                    d[qids[s:s + step, None] == cids[None, :]] = np.inf
+                d[d > bound[s:s + step, None]] = np.inf
+                if k < d.shape[1]:  # everything up to the k-th distance, then cut in order of (distance, id)
+                    kth = np.partition(d, k - 1, axis=1)[:, k - 1]
+                    d[d > kth[:, None]] = np.inf
+                rows, cols = np.nonzero(np.isfinite(d))
+                dist = d[rows, cols]
+                order = np.lexsort((cols, dist, rows))
+                rows, cols, dist = rows[order], cols[order], dist[order]
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+                keep = place < k
+                out.append(pd.DataFrame({"q_id": qids[s:s + step][rows[keep]], "c_id": cids[cols[keep]], "distance": dist[keep]}))
+        return pd.concat(out, ignore_index=True)
 
     return fn
 
 
 def knn_exact(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str, q_vec: str, c_vec: str,
-              k: int, exclude_self: bool = False, block_rows: int = 2048,
-              n_queries: int | None = None, n_contexts: int | None = None) -> DataFrame:
+              k: int, exclude_self: bool = False, block_rows: int = 2048) -> DataFrame:
     """The ``k`` nearest contexts of every query by squared L2 distance
     (ascending, ties by context id): columns ``q_id, c_id, distance, rank``.
 
-    ``k`` is capped by the number of contexts (no padding rows). Row counts
-    are read with one cheap count per side unless given.
+    Exact, with pruning: contexts go to the cell of their nearest pivot (about
+    sqrt(n) of them, at most ``MAX_CELLS``, taken by hash), a query only to cells that can hold
+    one of its ``k`` nearest. Large cells are split into blocks of about
+    ``block_rows`` contexts and as many queries, so a group is bounded
+    whatever the skew. Fewer than ``k`` contexts give fewer rows (no padding).
+    Rows with a null id or vector are left out.
     """
-    nq = n_queries if n_queries is not None else queries.count()
-    nc = n_contexts if n_contexts is not None else contexts.count()
-    qb = max(1, math.ceil(nq / block_rows))
-    cb = max(1, math.ceil(nc / block_rows))
-    q = (queries.select(F.col(q_id).cast("long").alias("q_id"), F.col(q_vec).alias("qv"))
-         .withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(qb)))
-         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)).cast("array<long>"))))
-    c = (contexts.select(F.col(c_id).cast("long").alias("c_id"), F.col(c_vec).alias("cv"))
-         .withColumn("cb", F.pmod(F.xxhash64("c_id"), F.lit(cb)))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)).cast("array<long>"))))
-    if cb == 1:
-        # one context block: each group already holds a query's full candidate
-        # list, so the block ranks it and no merge window is needed
-        schema = T.StructType(KNN_SCHEMA.fields + [T.StructField("rank", T.IntegerType())])
-        return (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
-                .applyInPandas(_block_topk(k, exclude_self, ranked=True), schema))
-    scored = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
-               .applyInPandas(_block_topk(k, exclude_self), KNN_SCHEMA))
+    q = queries.select(F.col(q_id).cast("long").alias("q_id"), F.col(q_vec).cast("array<float>").alias("qv")).where("q_id is not null and qv is not null")
+    c = contexts.select(F.col(c_id).cast("long").alias("c_id"), F.col(c_vec).cast("array<float>").alias("cv")).where("c_id is not null and cv is not null")
+    n = c.count()
+    picked = c.orderBy(F.xxhash64("c_id"), "c_id").limit(max(1, min(MAX_CELLS, math.isqrt(n)))).collect()
+    if not picked:
+        return q.sparkSession.createDataFrame([], KNN_SCHEMA + ", rank int")
+    pivots = np.array([r["cv"] for r in picked], dtype=np.float64)
+    cells = materialize(_assign_cells(c, pivots))
+    radius, count = np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
+    for r in cells.groupBy("cell").agg(F.max("to_pivot").alias("r"), F.count("*").alias("n")).collect():  # at most MAX_CELLS rows
+        radius[r["cell"]], count[r["cell"]] = r["r"], r["n"]
+    reach = materialize(_reach_cells(q, pivots, radius, count, k + bool(exclude_self)))
+    asked = {r["cell"]: r["count"] for r in reach.groupBy("cell").count().collect()}
+    blocks = F.array(*[F.struct(F.lit(max(1, math.ceil(int(count[i]) / block_rows))).alias("c"), F.lit(max(1, math.ceil(asked.get(i, 0) / block_rows))).alias("q"))
+                       for i in range(len(pivots))])
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    at = F.get(blocks, F.col("cell"))
+    left = (reach.select("*", F.pmod(F.xxhash64("q_id"), at["q"]).cast("int").alias("qb"), spread(at["c"]).alias("cb")))
+    right = (cells.select("*", F.pmod(F.xxhash64("c_id"), at["c"]).cast("int").alias("cb"), spread(at["q"]).alias("qb")))
+    keys = ["cell", "qb", "cb"]
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block_topk(k, exclude_self), KNN_SCHEMA)
     w = Window.partitionBy("q_id").orderBy("distance", "c_id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

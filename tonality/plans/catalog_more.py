@@ -103,16 +103,18 @@ def batch_ids(spark, sf):
 # 2.4 joins and retrieval
 # ==========================================================================
 
+KNN_K = 10  # neighbours asked for by the k-NN queries
+
 _KNN_SQL = ("SELECT q_id, c_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance FROM (SELECT q.vec_id AS q_id, c.vec_id AS c_id, "
             f"{Q.sq_l2('q.embedding', 'c.embedding')} AS distance, row_number() OVER (PARTITION BY q.vec_id ORDER BY "
             f"{Q.sq_l2('q.embedding', 'c.embedding')}, c.vec_id) AS rank FROM fx_vec q JOIN fx_vec c "
-            f"ON q.vec_id <> c.vec_id) WHERE rank <= {R.KNN_CANDIDATES}")
+            f"ON q.vec_id <> c.vec_id) WHERE rank <= {KNN_K}")
 
 
 @register("knn_exact", Q.with_("fx_vec") + _KNN_SQL)
 def knn_exact(spark, sf):
     v = FX.fx_vec(spark, sf)
-    k = SIM.knn_exact(v, v, "vec_id", "vec_id", "embedding", "embedding", R.KNN_CANDIDATES, exclude_self=True)
+    k = SIM.knn_exact(v, v, "vec_id", "vec_id", "embedding", "embedding", KNN_K, exclude_self=True)
     return k.select("q_id", "c_id", "rank", r6(F.col("distance")).alias("distance"))
 
 
@@ -123,15 +125,15 @@ _RANK_SQL = ("SELECT q.id AS q_id, c.id AS c_id, "
 
 
 @register("retrieval_rank", Q.with_("fx_rag") +
-          f"SELECT q_id, c_id, CAST(knn_rank AS INTEGER) AS rank FROM ({_RANK_SQL}) WHERE knn_rank <= {R.KNN_CANDIDATES}")
+          f"SELECT q_id, c_id, CAST(knn_rank AS INTEGER) AS rank FROM ({_RANK_SQL}) WHERE knn_rank <= {KNN_K}")
 def retrieval_rank(spark, sf):
     qs, kb = flows.rag_sides(spark, sf)
-    k = SIM.knn_exact(qs, kb, "id", "id", "embedding", "embedding", R.KNN_CANDIDATES)
+    k = SIM.knn_exact(qs, kb, "id", "id", "embedding", "embedding", KNN_K)
     return k.select("q_id", "c_id", "rank")
 
 
 _MATCH_SQL = (f"SELECT q_id, c_id, distance, score, row_number() OVER (PARTITION BY q_id ORDER BY distance, c_id) "
-              f"AS rank FROM ({_RANK_SQL}) WHERE knn_rank <= {R.KNN_CANDIDATES} AND score > 0.8")
+              f"AS rank FROM ({_RANK_SQL}) WHERE score > 0.8")
 
 
 @register("retrieve_two_stage", Q.with_("fx_rag") +
@@ -142,6 +144,17 @@ def retrieve_two_stage(spark, sf):
     return m.select("q_id", "c_id", "rank", r6(F.col("score")).alias("score"), r6(F.col("distance")).alias("distance"))
 
 
+_CUT_K = 40  # of a knowledge base of 400 at sf0.01 and 1,600 at sf0.1: the cut acts
+
+
+@register("retrieve_two_stage_k", Q.with_("fx_rag") +
+          f"SELECT q_id, c_id, CAST(row_number() OVER (PARTITION BY q_id ORDER BY distance, c_id) AS INTEGER) AS rank, "
+          f"round(score, 6) AS score, round(distance, 6) AS distance FROM ({_RANK_SQL}) WHERE knn_rank <= {_CUT_K} AND score > 0.8")
+def retrieve_two_stage_k(spark, sf):
+    m = flows.rag_matches(*flows.rag_sides(spark, sf), k=_CUT_K)
+    return m.select("q_id", "c_id", "rank", r6(F.col("score")).alias("score"), r6(F.col("distance")).alias("distance"))
+
+
 @register("topk_contexts", Q.with_("fx_rag") + f"SELECT q_id, c_id, CAST(rank AS INTEGER) AS rank FROM ({_MATCH_SQL}) WHERE rank <= 3")
 def topk_contexts(spark, sf):
     return RT.topk_contexts(flows.rag_matches(*flows.rag_sides(spark, sf)), 3).select("q_id", "c_id", "rank")

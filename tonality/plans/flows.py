@@ -68,11 +68,11 @@ def rag_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return r.where(F.col("split") == "test"), r.where(F.col("split") == "train")
 
 
-def rag_matches(qs: DataFrame, kb: DataFrame, top_k: int | None = None) -> DataFrame:
+def rag_matches(qs: DataFrame, kb: DataFrame, top_k: int | None = None, k: int | None = None) -> DataFrame:
     """Two-stage retrieval; the retrieval query is the whole instruction,
     template included."""
     return RT.retrieve_two_stage(qs, kb, "id", "instruction", "embedding", "id", "text", "embedding",
-                                 k=R.KNN_CANDIDATES, threshold=R.OVERLAP_THRESHOLD, top_k=top_k)
+                                 k=k, threshold=R.OVERLAP_THRESHOLD, top_k=top_k)
 
 
 def rag_prompt_table(qs: DataFrame, kb: DataFrame, matches: DataFrame) -> DataFrame:

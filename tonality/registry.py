@@ -46,7 +46,6 @@ KB_METADATA_TYPE = "financial_news"
 URL_BLOCKLIST = ("barrons.com",)
 
 # Retrieval: candidates from the vector index, then overlap threshold.
-KNN_CANDIDATES = 900
 OVERLAP_THRESHOLD = 0.8
 
 # Seed of the deterministic shuffles, and the query sample size.
