@@ -159,8 +159,9 @@ def fit(docs: DataFrame, fit_rows: int = 3000, alphabet: int = 48) -> Model:
 
     import numpy as np
 
-    found = sample.mapInArrow(count, "lang string, g int, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()
-    counts = {lang: (x["g"].to_numpy(np.int32), x["n"].to_numpy(np.int32)) for lang, x in found.groupby("lang")}
+    found = sample.mapInArrow(count, "lang string, g int, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toArrow()
+    lang, g, n = found.column("lang").to_numpy(), found.column("g").to_numpy().astype(np.int32), found.column("n").to_numpy().astype(np.int32)
+    counts = {x: (g[lang == x], n[lang == x]) for x in sorted(set(lang.tolist()))}
     return Model(classes, spread, counts)
 
 
