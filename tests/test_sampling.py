@@ -62,6 +62,35 @@ def test_split_hash_ratio(spark):
     assert S.hash_threshold(0.8) == "cccccccc"
 
 
+def test_split_hash_ends(spark):
+    for ratio, side in ((0.0, "test"), (1.0, "train")):
+        assert {r["split"] for r in S.split_hash(spark.range(1000), "id", ratio).select("split").distinct().collect()} == {side}
+
+
+def test_range_bounds_on_skewed_ids(spark):
+    # half of the ids in a millionth of the range
+    df = spark.range(40_000).select(F.when(F.col("id") < 20_000, F.col("id")).otherwise(F.col("id") * 1_000_000).alias("k")).repartition(4)
+    bounds = S.range_bounds(df, "k", per_bucket=500)
+    ks = sorted(r["k"] for r in df.collect())
+    import bisect
+    sizes = {}
+    for k in ks:
+        b = bisect.bisect_right(bounds, k)
+        sizes[b] = sizes.get(b, 0) + 1
+    assert max(sizes.values()) <= 500 and len(bounds) < 1000
+    ranks = S.range_rank(df, "k", per_bucket=500).select("k", "rank").collect()
+    assert [r["k"] for r in sorted(ranks, key=lambda r: r["rank"])] == ks
+    assert S.range_bounds(df.limit(0), "k") == [] and S.range_bounds(df.where("k = 7"), "k") == []
+
+
+def test_split_and_balance_shuffle_no_row(spark):
+    df = spark.createDataFrame([(i, "a", "neutral" if i % 3 else "negative", "text") for i in range(200)], "id long, dataset string, sentiment string, body string")
+    for out in (S.split_exact(df, "id", "dataset", 0.5), S.balance_undersample(df, "id", "sentiment")):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        # the text joins the cuts; it is in no ranking, aggregation or window
+        assert all("body" not in line for line in plan.splitlines() if "Window" in line or "Aggregate" in line)
+
+
 def test_balance_undersample(spark):
     rows = [(i, "negative") for i in range(10)] + [(100 + i, "positive") for i in range(50)] + \
            [(200 + i, "neutral") for i in range(4)] + [(300, "other")]

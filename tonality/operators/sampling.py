@@ -76,28 +76,51 @@ def hash_rank(df: DataFrame, id_col: str, partition_cols=(), seed: int = R.SEED,
     return out.drop(HASH_COL)
 
 
-def range_rank(df: DataFrame, order_col: str, partition_cols=(), n_buckets: int | None = None,
-               name: str = "rank") -> DataFrame:
-    """Exact rank by a numeric column (unique within a group) in its natural order.
+def range_bounds(df: DataFrame, order_col: str, per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
+    """Split points of a numeric column that leave at most ``per_bucket`` rows
+    between neighbours (equal values cannot be parted).
 
-    Bucket bounds are approximate quantiles of the column (one sampling pass,
-    ``n_buckets`` numbers to the driver), so buckets stay even whatever the
-    distribution of the ids. By default ``n_buckets`` is sized from a count so
-    a bucket holds about a million rows (at least 1024, at most 131072).
+    An even histogram over the range is refined where it is dense: each round
+    counts rows per bucket and cuts every bucket above the target into twice
+    as many parts as its count asks for. The driver holds one number a bucket.
     """
     from pyspark.ml.feature import Bucketizer
 
-    if n_buckets is None:
-        n_buckets = int(min(1 << 17, max(1024, df.count() // ROWS_PER_BUCKET + 1)))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = sorted(set(df.approxQuantile(order_col, probs, 0.001)))
+    c = F.col(order_col).cast("double").alias("_ord_d")
+    low, high, n = df.agg(F.min(c), F.max(c), F.count(c)).first()
+    if not n or low == high:
+        return []
+    parts = max(2, min(1 << 16, 2 * (n // per_bucket + 1)))
+    splits = sorted({low + (high - low) * i / parts for i in range(1, parts)})
+    while True:
+        cut = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ord_d", outputCol="_ord_b", handleInvalid="keep")
+        dense = cut.transform(df.select(c)).groupBy("_ord_b").count().where(F.col("count") > per_bucket).collect()
+        edges, more = [low, *splits, high], set()
+        for r in dense:
+            k = int(r["_ord_b"]) if r["_ord_b"] is not None else len(splits) + 1
+            if k < len(edges) - 1 and edges[k] < edges[k + 1]:
+                m = 2 * (r["count"] // per_bucket + 1)
+                more |= {x for i in range(m) if edges[k] < (x := edges[k] + (edges[k + 1] - edges[k]) * i / m) < edges[k + 1]}
+        if not more - set(splits):
+            return splits
+        splits = sorted(set(splits) | more)
+
+
+def range_rank(df: DataFrame, order_col: str, partition_cols=(), per_bucket: int = ROWS_PER_BUCKET,
+               name: str = "rank") -> DataFrame:
+    """Exact rank by a numeric column (unique within a group) in its natural
+    order. Buckets come from :func:`range_bounds`, so each (one sort task) holds
+    at most about ``per_bucket`` rows whatever the distribution of the ids."""
+    from pyspark.ml.feature import Bucketizer
+
+    splits = range_bounds(df, order_col, per_bucket)
     c = F.col(order_col)
     d = df.withColumn("_ord_d", c.cast("double"))
     if splits:
         # binary search over the split points, JVM-side; bucket is monotone in the value
         d = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ord_d",
                        outputCol="_ord_b", handleInvalid="keep").transform(d)
-    else:  # empty input: nothing to split
+    else:  # one bucket: empty or constant input
         d = d.withColumn("_ord_b", F.lit(0.0))
     return exact_rank(d, [c], F.col("_ord_b"), partition_cols, name).drop("_ord_d", "_ord_b")
 
@@ -106,21 +129,63 @@ def range_rank(df: DataFrame, order_col: str, partition_cols=(), n_buckets: int
 # W1 / W2 splits
 # --------------------------------------------------------------------------
 
+CUT_DIGITS = 4  # hex digits of the hash that are counted; only the rows of one of 65,536 buckets are ranked
+
+
+def hash_cuts(df: DataFrame, id_col: str, group_col: str, want: Column, seed: int = R.SEED) -> DataFrame:
+    """Per group, the last (hash, id) that belongs to the first ``want`` rows
+    of the seeded order: ``group_col, _cut_h, _cut_id`` (null: no row does).
+
+    Rows are counted per hash bucket (partial counts, ids and groups only),
+    a running sum finds the bucket that holds the cut, and only that bucket's
+    rows are ranked. ``want`` may use ``_n``, the group's row count, and
+    ``_all``, an array of (group, count) of all groups.
+    """
+    d = df.select(F.col(group_col).alias("_g"), F.col(id_col).alias("_id"), seeded_hash(id_col, seed).alias("_hash"))
+    d = d.withColumn("_bucket", F.substring("_hash", 1, CUT_DIGITS))
+    counts = d.groupBy("_g", "_bucket").agg(F.count(F.lit(1)).alias("_k"))
+    total = counts.groupBy("_g").agg(F.sum("_k").alias("_n"))
+    total = total.crossJoin(total.agg(F.collect_list(F.struct(F.col("_g").alias("g"), F.col("_n").alias("n"))).alias("_all")))  # one row a group
+    total = total.select("_g", want.cast("long").alias("_want"))
+    before = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    held = (counts.withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0))).join(total, "_g")
+            .where("_before < _want and _before + _k >= _want"))
+    inside = d.join(held.select("_g", "_bucket", (F.col("_want") - F.col("_before")).alias("_place")), ["_g", "_bucket"])
+    ranked = inside.withColumn("_r", F.row_number().over(Window.partitionBy("_g", "_bucket").orderBy("_hash", "_id")))
+    at_cut = ranked.where("_r = _place").select("_g", F.col("_hash").alias("_cut_h"), F.col("_id").alias("_cut_id"))
+    # groups whose cut lies beyond their last row keep all of it
+    rest = total.join(at_cut, "_g", "left").join(counts.groupBy("_g").agg(F.sum("_k").alias("_n")), "_g")
+    return rest.select(F.col("_g").alias(group_col), "_cut_h", "_cut_id", (F.col("_want") >= F.col("_n")).alias("_every"))
+
+
+def _before_cut(df: DataFrame, id_col: str, seed: int) -> Column:
+    h = seeded_hash(id_col, seed)
+    return F.coalesce(F.col("_every"), F.lit(False)) | F.coalesce((h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(id_col) <= F.col("_cut_id"))), F.lit(False))
+
+
 def split_exact(df: DataFrame, id_col: str = "id", group_col: str = "dataset", ratio=0.8,
                 seed: int = R.SEED, split_col: str = "split") -> DataFrame:
     """Per group, the first ``floor(n * ratio)`` rows of the seeded order
     are ``train``, the rest ``test``. ``ratio`` may be a column (per-dataset
     ratios). The split is assigned before any label filtering, as in the
-    original, so the ratio holds on the unfiltered rows."""
-    r = F.col(ratio) if isinstance(ratio, str) else F.lit(float(ratio))
-    ranked = hash_rank(df, id_col, [group_col], seed)
-    cut = F.floor(F.col("_group_n").cast("double") * r.cast("double"))
-    return (ranked.withColumn(split_col, F.when(F.col("rank") <= cut, F.lit("train")).otherwise(F.lit("test")))
-                  .drop("_group_n"))
+    original, so the ratio holds on the unfiltered rows.
+
+    Rows with the same id go to the same side. The rows themselves are not shuffled: each is compared with its group's
+    cut (see :func:`hash_cuts`; one row a group, joined back by AQE as a broadcast).
+    """
+    if isinstance(ratio, str):
+        ratios = df.groupBy(F.col(group_col).alias("_rg")).agg(F.max(F.col(ratio).cast("double")).alias("r"))
+        ratios = ratios.agg(F.map_from_entries(F.collect_list(F.struct("_rg", "r")))).first()[0] or {}  # one entry a dataset
+        r = F.create_map(*[x for k, v in ratios.items() for x in (F.lit(k), F.lit(v))])[F.col("_g")] if ratios else F.lit(0.0)
+    else:
+        r = F.lit(float(ratio))
+    cuts = hash_cuts(df, id_col, group_col, F.floor(F.col("_n").cast("double") * r), seed)
+    return (df.join(cuts, group_col, "left").withColumn(split_col, F.when(_before_cut(df, id_col, seed), F.lit("train")).otherwise(F.lit("test")))
+              .select(*df.columns, split_col))
 
 
 def hash_threshold(ratio: float, digits: int = 8) -> str:
-    """The hex prefix below which a row goes to train."""
+    """The hex prefix below which a row goes to train (W2), for 0 <= ratio < 1."""
     return format(int(ratio * 16 ** digits), f"0{digits}x")
 
 
@@ -128,6 +193,8 @@ def split_hash(df: DataFrame, id_col: str = "id", ratio: float = 0.8, seed: int
                split_col: str = "split") -> DataFrame:
     """Stable per-row assignment without any shuffle: train when the
     first 8 hex digits of the seeded hash are below ``ratio * 16**8``."""
+    if not 0 <= ratio < 1:  # no prefix of eight digits lies above every hash
+        return df.withColumn(split_col, F.lit("train" if ratio >= 1 else "test"))
     h = F.substring(seeded_hash(id_col, seed), 1, 8)
     return df.withColumn(split_col, F.when(h < F.lit(hash_threshold(ratio)), F.lit("train")).otherwise(F.lit("test")))
 
@@ -145,10 +212,9 @@ def balance_undersample(df: DataFrame, id_col: str, label_col: str = "sentiment"
     the quarantine, see :func:`tonality.operators.retrieval.quarantine`).
     """
     d = df.where(F.col(label_col).isin(*R.LABELS))
-    n_anchor = d.where(F.col(label_col) == anchor).count()  # one number to the driver
-    ranked = hash_rank(d, id_col, [label_col], seed, name="_class_rank")
-    kept = ranked.where((F.col(label_col) == anchor) | (F.col("_class_rank") <= F.lit(n_anchor)))
-    return kept.drop("_class_rank", "_group_n")
+    anchor_rows = F.coalesce(F.expr(f"get(filter(_all, x -> x.g = '{anchor}'), 0).n"), F.lit(0))
+    cuts = hash_cuts(d, id_col, label_col, F.when(F.col("_g") == anchor, F.col("_n")).otherwise(anchor_rows), seed)
+    return d.join(cuts, label_col).where(_before_cut(d, id_col, seed)).select(*d.columns)
 
 
 def shuffle_rows(df: DataFrame, id_col: str, seed: int = R.SEED, pos_col: str = "pos") -> DataFrame:
