@@ -182,6 +182,47 @@ def test_article_text_routing(spark):
     assert no_p.select(H.article_text("html", "url")).first()[0] == ""
 
 
+def test_scopes_follow_nesting_and_class_tokens(spark):
+    pages = [
+        ('<div class="article-content"><div class="ad">x</div><p>one</p><p>two</p></div><p>footer</p>', "https://seekingalpha.com/a", "one two"),
+        ('<div class="article-content-related"><p>junk</p></div><div class="a article-content"><div><div><p>in</p></div></div><p>too</div><p>out</p>', "https://seekingalpha.com/a", "in too"),
+        ("<div class='article-content'><p>a</p></div><p>b</p><div class=article-content><p>c</p></div>", "https://seekingalpha.com/a", "a c"),
+        ('<p class="x article__body">a</p><p class="article__body-x">b</p><p class=article__body>c</p>', "https://marketwatch.com/a", "a c"),
+        ('<p>plain</p><div>no scope</div>', "https://seekingalpha.com/a", "plain"),
+    ]
+    df = spark.createDataFrame(pages, "html string, url string, want string")
+    for r in df.withColumn("got", H.article_text("html", "url")).collect():
+        assert r["got"] == r["want"], r["html"]
+
+
+def test_entities_match_the_standard_library(spark):
+    import html as std
+    texts = ["&#8217;&mdash;&euro;", "&amp;lt; &lt;b&gt; &nosuch; & &;", "&#x1F600; &#65;&#0; &hellip;x&copy", "no entity", "a & b && c", "&AMP; &notin; &#x110000;"]
+    want = [std.unescape(t) if "\x00" not in t else t for t in texts]
+    got = col_values(spark, texts, H.decode_entities)
+    assert got[:2] == ["’—€", "&lt; <b> &nosuch; & &;"] and got[3:5] == want[3:5]
+    assert got[2] == "😀 A&#0; …x&copy" and got[5] == "& ∉ &#x110000;"
+
+
+def test_anchor_notations(spark):
+    import html.parser as hp
+
+    class Links(hp.HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a" and dict(attrs).get("href") is not None:
+                self.found.append(dict(attrs)["href"])
+
+    page = """<a href='x'>1</a><a href="y">2</a><a class=k href=z>3</a><a data-href="no" href=/w id=1>4</a><a name="n">5</a>"""
+    std = Links()
+    std.feed(page)
+    r = spark.createDataFrame([(page,)], "html string").select(H.anchors("html").alias("a")).first()["a"]
+    assert [a["link"] for a in r] == std.found == ["x", "y", "z", "/w"] and [a["title"] for a in r] == ["1", "2", "3", "4"]
+
+
 def test_title_and_links(spark):
     df = spark.createDataFrame([(PAGE,)], "html string")
     r = df.select(H.page_title("html").alias("t"), H.anchors("html").alias("a")).first()

@@ -9,6 +9,9 @@ built-in expressions, so it runs inside whole-stage code generation.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,27 +24,62 @@ P_OPEN_RE = r"(?i)(<p(?:[\s/][^>]*)?>)"
 PARA_RE = r"(?is)<p(?:[\s/][^>]*)?>(.*?)</p\s*>"
 TAG_RE = r"<[^>]*>"
 TITLE_RE = r"(?is)<title(?:[\s/][^>]*)?>(.*?)</title\s*>"
-ANCHOR_RE = r"""(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>"""
+# groups 1-3: the target in double quotes, in single quotes, bare; group 4: the content
+ANCHOR_RE = (r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a\s*>""")
+ENTITY_RE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _class_attr(cls: str) -> str:
+    """An attribute part of a start tag whose class list has ``cls`` as a whole token."""
+    in_list = lambda quote: f"{quote}(?:[^{quote}]*\\s)?{cls}(?:\\s[^{quote}]*)?{quote}"
+    return r"(?:[^>]*?\s)?class\s*=\s*(?:" + in_list('"') + "|" + in_list("'") + "|" + cls + r")(?:\s[^>]*)?>"
+
+
 def class_para_re(cls: str) -> str:
-    return r'(?is)<p\s[^>]*?class\s*=\s*"[^"]*' + cls + r'[^"]*"[^>]*>(.*?)</p\s*>'
+    return r"(?is)<p\s" + _class_attr(cls) + r"(.*?)</p\s*>"
+
+
+def container_text(c, cls: str) -> Column:
+    """Content of every ``<div>`` whose class list has ``cls``, up to its own end tag.
 
+    The page is cut before every ``<div`` and ``</div``; a fold over the pieces
+    tracks the nesting depth inside a container (0: outside).
+    """
+    pieces = F.split(_c(c), r"(?i)(?=<div[\s/>])|(?=</div\s*>)", -1)
+    opens, starts, ends = r"(?is)^<div[\s/>]", r"(?is)^<div\s" + _class_attr(cls), r"(?is)^</div\s*>"
 
-def container_re(cls: str) -> str:
-    return r'(?is)<div\s[^>]*?class\s*=\s*"[^"]*' + cls + r'[^"]*"[^>]*>(.*?)</div\s*>'
+    def step(s, x):
+        depth = (F.when((s["depth"] > 0) & x.rlike(opens), s["depth"] + 1).when((s["depth"] > 0) & x.rlike(ends), s["depth"] - 1)
+                 .when((s["depth"] == 0) & x.rlike(starts), F.lit(1)).otherwise(s["depth"]))
+        # an unclosed paragraph ends with the container
+        closed = F.when((s["depth"] == 1) & x.rlike(ends), F.lit("</p>")).otherwise(F.lit(""))
+        return F.struct(depth.alias("depth"), F.concat(s["text"], F.when(depth > 0, x).otherwise(closed)).alias("text"))
+
+    return F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda s: s["text"])
+
+
+def _entity_names() -> Column:
+    names = {ent[1:-1]: ch for ent, ch in R.HTML_ENTITIES}  # the frequent ones first
+    names |= {k[:-1]: v for k, v in html5.items() if k.endswith(";") and k[:-1] not in names}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
 def decode_entities(c) -> Column:
-    """Decode the fixed entity list; ``&amp;`` last so ``&amp;lt;`` stays ``&lt;``."""
+    """Decode named (HTML 5, with semicolon) and numeric character references in one pass."""
+    def one(x, i):
+        name = F.regexp_extract(x, ENTITY_RE, 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(name.startswith("#"), F.substr(name, F.lit(2))).cast("int")
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        text = F.when(name.startswith("#"), F.when(valid, char)).otherwise(F.element_at(_entity_names(), name))
+        return F.when((i == 0) | (name == "") | text.isNull(), F.concat(F.when(i == 0, "").otherwise("&"), x)).otherwise(F.concat(text, F.substr(x, F.length(name) + 2)))
+
     t = _c(c)
-    for ent, ch in R.HTML_ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    return F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&", -1), one), "")).otherwise(t)
 
 
 def inner_text(c) -> Column:
@@ -75,8 +113,7 @@ def article_text(html, url=None, limit: int = 1000) -> Column:
         if kind == "class":
             scoped = paragraphs(html, class_para_re(cls))
         else:
-            inner = F.array_join(F.regexp_extract_all(clean_html(html), F.lit(container_re(cls)), 1), " ")
-            scoped = paragraphs(inner)
+            scoped = paragraphs(container_text(clean_html(html), cls))
         scoped = F.when(F.size(scoped) > 0, scoped).otherwise(everything)
         chosen = F.when(_c(url).contains(fragment), scoped).otherwise(chosen)
     return _join(chosen, limit)
@@ -90,9 +127,8 @@ def page_title(html) -> Column:
 def anchors(html) -> Column:
     """array<struct<pos, title, link>> of all anchors with an href."""
     h = F.regexp_replace(_c(html), NOISE_RE, "")
-    links = F.regexp_extract_all(h, F.lit(ANCHOR_RE), 1)
-    titles = F.regexp_extract_all(h, F.lit(ANCHOR_RE), 2)
-    return F.transform(F.arrays_zip(links.alias("link"), titles.alias("title")),
+    group = lambda k: F.regexp_extract_all(h, F.lit(ANCHOR_RE), k)
+    return F.transform(F.arrays_zip(group(1).alias("a"), group(2).alias("b"), group(3).alias("c"), group(4).alias("title")),
                        lambda s, i: F.struct((i + 1).alias("pos"),
                                              inner_text(s["title"]).alias("title"),
-                                             s["link"].alias("link")))
+                                             F.concat(s["a"], s["b"], s["c"]).alias("link")))

@@ -314,7 +314,7 @@ def post_title(spark, sf):
 # 2.8 HTML
 # ==========================================================================
 
-@register("article_text", Q.with_("fx_pages") + f"SELECT page_id, {Q.article_text('html', 'url')} AS context FROM fx_pages")
+@register("article_text", Q.with_("fx_pages") + f"SELECT page_id, {Q.fx_article_text()} AS context FROM fx_pages")
 def article_text(spark, sf):
     return FX.fx_pages(spark, sf).select("page_id", H.article_text("html", "url").alias("context"))
 
@@ -322,8 +322,7 @@ def article_text(spark, sf):
 _LINKS_SQL = (f"SELECT page_id, source, base_url, pos, link, {Q.inner_text('title')} AS title FROM "
               f"(SELECT page_id, source, base_url, CAST(unnest(range(1, len(links) + 1)) AS INTEGER) AS pos, unnest(links) AS link, "
               f"unnest(titles) AS title FROM (SELECT page_id, source, base_url, "
-              f"regexp_extract_all({Q.rx_replace('html', H.NOISE_RE)}, {Q.q(H.ANCHOR_RE)}, 1) AS links, "
-              f"regexp_extract_all({Q.rx_replace('html', H.NOISE_RE)}, {Q.q(H.ANCHOR_RE)}, 2) AS titles FROM fx_pages))")
+              f"{Q.fx_links(1)} AS links, {Q.fx_links(2)} AS titles FROM fx_pages))")
 
 
 def links(spark, sf) -> DataFrame:
@@ -356,7 +355,7 @@ def url_blocklist(spark, sf):
 
 
 @register("nonempty_context", Q.with_("fx_pages") +
-          f"SELECT page_id FROM (SELECT page_id, {Q.article_text('html', 'url')} AS context FROM fx_pages) WHERE context <> ''")
+          f"SELECT page_id FROM (SELECT page_id, {Q.fx_article_text()} AS context FROM fx_pages) WHERE context <> ''")
 def nonempty_context(spark, sf):
     from tonality.operators.retrieval import nonempty_context as ne
     return ne(FX.fx_pages(spark, sf).select("page_id", H.article_text("html", "url").alias("context"))).select("page_id")

@@ -144,7 +144,7 @@ def retrieve_two_stage(spark, sf):
     return m.select("q_id", "c_id", "rank", r6(F.col("score")).alias("score"), r6(F.col("distance")).alias("distance"))
 
 
-_CUT_K = 40  # of a knowledge base of 400 at sf0.01 and 1,600 at sf0.1: the cut acts
+_CUT_K = 150  # of a knowledge base of 400 at sf0.01 and 1,600 at sf0.1: the cut acts
 
 
 @register("retrieve_two_stage_k", Q.with_("fx_rag") +
@@ -217,13 +217,15 @@ def title_similarity_join(spark, sf):
     return flows.title_matches(spark, sf).select("qid", "page_id", "source", r6(F.col("score")).alias("score"))
 
 
-_ENRICHED_SQL = (f"SELECT t.qid, t.query, t.cleaned_query, t.source, t.source_order, t.title, t.url, "
-                 f"{Q.article_text('p.html', 'p.url')} AS context FROM ({_TITLE_SQL}) t JOIN pages p "
+_ENRICHED_SQL = ("SELECT t.qid, t.query, t.cleaned_query, t.source, t.source_order, "
+                 "CASE WHEN t.source = 'Twitter' THEN substring(t.title, 1, 100) || '...' ELSE t.title END AS title, t.url, "
+                 f"CASE WHEN t.source = 'Twitter' THEN t.title ELSE p.context END AS context FROM ({_TITLE_SQL}) t JOIN "
+                 f"(SELECT page_id, {Q.fx_article_text()} AS context FROM fx_pages) p "
                  f"ON p.page_id = t.page_id WHERE NOT (t.source = 'MarketWatch' AND contains(t.url, 'barrons.com'))")
 _ENRICHED_NE = f"SELECT * FROM ({_ENRICHED_SQL}) WHERE context <> ''"
 
 
-@register("enrich_articles", Q.with_("cleaned_queries", "page_titles") +
+@register("enrich_articles", Q.with_("cleaned_queries", "page_titles", "fx_pages") +
           f"SELECT qid, source, url, context FROM ({_ENRICHED_NE})")
 def enrich_articles(spark, sf):
     return flows.enriched(spark, sf).select("qid", "source", "url", "context")

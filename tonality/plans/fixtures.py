@@ -134,12 +134,30 @@ def fx_ticker(spark, sf_dir) -> DataFrame:
                              F.lit(" rose #1 (x)")).alias("phrase"))
 
 
+# What fx_pages adds to the pages of two sources, so that every branch of the
+# article and link rules acts: a nested container, class tokens in three
+# notations, references, blocked, absolute and bare links.
+CONTAINER_OPEN = '<div class="wide article-content x"><div class="ad"><p>promo</p></div>'
+CONTAINER_END = '</div><div class="article-content-related"><p>related</p></div><p>footer</p>'
+SCOPED_PARAS = ('<p class="lead article__body">one &mdash; &#8217;x&#8217; &euro;5 &#x2713;</p><p class=\'article__body big\'>two</p>'
+                '<p class=article__body>three</p><p class="article__body-related">junk</p>'
+                '<a href=\'https://www.barrons.com/a\'>Barrons</a><a class=b href=/bare>Bare</a><a href="http://abs.example/x">Abs</a>')
+SCOPED_TEXT = "one \u2014 \u2019x\u2019 \u20ac5 \u2713 two three"
+ADDED_LINKS = (("Barrons", "https://www.barrons.com/a"), ("Bare", "/bare"), ("Abs", "http://abs.example/x"))
+
+
 def fx_pages(spark, sf_dir) -> DataFrame:
     """Pages with their news source: ``page_id, url, html, source_order,
-    source, threshold, base_url``."""
+    source, threshold, base_url``. Pages of Seeking Alpha and MarketWatch get
+    an address and markup of those sites (see the constants above)."""
     p = table(spark, sf_dir, "pages")
     s = RT.source_by_order(F.col("page_id") % 9 + 1)
-    return p.select("page_id", "url", "html", s["source_order"].alias("source_order"), s["source"].alias("source"),
+    name, page = s["source"], F.col("page_id").cast("string")
+    url = (F.when(name == "Seeking Alpha", F.concat(F.lit("https://seekingalpha.com/article/"), page))
+           .when(name == "MarketWatch", F.concat(F.lit("https://www.marketwatch.com/story/"), page)).otherwise(F.col("url")))
+    html = (F.when(name == "Seeking Alpha", F.concat(F.lit(CONTAINER_OPEN), F.col("html"), F.lit(CONTAINER_END)))
+            .when(name == "MarketWatch", F.concat(F.col("html"), F.lit(SCOPED_PARAS))).otherwise(F.col("html")))
+    return p.select("page_id", url.alias("url"), html.alias("html"), s["source_order"].alias("source_order"), name.alias("source"),
                     s["threshold"].alias("threshold"), s["base_url"].alias("base_url"))
 
 

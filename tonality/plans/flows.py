@@ -148,13 +148,19 @@ def title_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
                    "page_id"))
 
 
+SHORT_POSTS = "Twitter"  # the source whose results are the posts themselves
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches -> blocklist -> article text -> non-empty, as retrieved rows."""
+    """Matches -> blocklist -> article text -> non-empty, as retrieved rows;
+    short posts keep their own text as context and its start as title."""
     m = materialize(RT.url_blocklist(title_matches(spark, sf_dir), "url", "source"))
+    posts = m.where(F.col("source") == SHORT_POSTS).select(*[c for c in m.columns if c != "title"], T.post_title("title").alias("title"), F.col("title").alias("context"))
+    articles = m.where(F.col("source") != SHORT_POSTS)
     # article text only for matched pages: filter the pages first, then parse
-    pages = RT.restrict_to(FX.table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", m)
+    pages = RT.restrict_to(FX.fx_pages(spark, sf_dir).select("page_id", "url", "html"), "page_id", articles)
     pages = pages.select("page_id", H.article_text("html", "url").alias("context"))
-    return RT.nonempty_context(m.join(pages, "page_id"), "context")
+    return RT.nonempty_context(RT.union_sources([articles.join(pages, "page_id"), posts]), "context")
 
 
 # --------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from __future__ import annotations
 from tonality import registry as R
 from tonality.functions import html as H
 from tonality.functions import text as T
-from tonality.plans import fixtures as FX
+from tonality.plans import fixtures as FIX
 
 
 def q(s: str) -> str:
@@ -128,18 +128,24 @@ def paragraphs(x, pattern=H.PARA_RE):
     return f"list_transform(regexp_extract_all({clean_html(x)}, {q(pattern)}, 1), lambda p: {inner_text('p')})"
 
 
-def article_text(html, url, limit=1000):
-    everything = paragraphs(html)
-    chosen = everything
-    for fragment, kind, cls in reversed(R.ARTICLE_SCOPES):
-        if kind == "class":
-            scoped = paragraphs(html, H.class_para_re(cls))
-        else:
-            inner = f"array_to_string(regexp_extract_all({clean_html(html)}, {q(H.container_re(cls))}, 1), ' ')"
-            scoped = paragraphs(inner)
-        scoped = f"CASE WHEN len({scoped}) > 0 THEN {scoped} ELSE {everything} END"
-        chosen = f"CASE WHEN contains({url}, {q(fragment)}) THEN {scoped} ELSE {chosen} END"
-    return f"coalesce(substring(array_to_string({chosen}, ' '), 1, {limit}), '')"
+def article_text(html, limit=1000):
+    return f"coalesce(substring(array_to_string({paragraphs(html)}, ' '), 1, {limit}), '')"
+
+
+def fx_article_text(limit=1000):
+    """Expected article text of ``fx_pages``, from the original page and what the fixture added to it."""
+    inside = article_text(f"{q('<p>promo</p>')} || html0 || '</p>'", limit)
+    return f"CASE WHEN source = 'Seeking Alpha' THEN {inside} WHEN source = 'MarketWatch' THEN {q(FIX.SCOPED_TEXT)} ELSE {article_text('html0', limit)} END"
+
+
+LINK_SQL_RE = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'  # the given pages quote every target twice
+
+
+def fx_links(group: int):
+    """Expected links (1) or raw titles (2) of ``fx_pages``."""
+    added = ", ".join(q(x[2 - group]) for x in FIX.ADDED_LINKS)
+    return (f"regexp_extract_all({rx_replace('html0', H.NOISE_RE)}, {q(LINK_SQL_RE)}, {group}) || "
+            f"CASE WHEN source = 'MarketWatch' THEN [{added}] ELSE [] END")
 
 
 def page_title(html): return inner_text(f"regexp_extract({html}, {q(H.TITLE_RE)}, 1)")
@@ -202,7 +208,11 @@ FX: dict[str, tuple[tuple[str, ...], str]] = {
                     "AS phrase FROM events"),
     "fx_ticker": ((), "SELECT CAST(r_regionkey AS BIGINT) AS id, '$' || substring(r_name, 1, 4) || ' ' || r_name || "
                       "' rose #1 (x)' AS phrase FROM region"),
-    "fx_pages": ((), f"SELECT p.page_id, p.url, p.html, s.source_order, s.source, s.threshold, s.base_url "
+    "fx_pages": ((), "SELECT p.page_id, CASE WHEN s.source = 'Seeking Alpha' THEN 'https://seekingalpha.com/article/' || p.page_id "
+                     "WHEN s.source = 'MarketWatch' THEN 'https://www.marketwatch.com/story/' || p.page_id ELSE p.url END AS url, "
+                     f"CASE WHEN s.source = 'Seeking Alpha' THEN {q(FIX.CONTAINER_OPEN)} || p.html || {q(FIX.CONTAINER_END)} "
+                     f"WHEN s.source = 'MarketWatch' THEN p.html || {q(FIX.SCOPED_PARAS)} ELSE p.html END AS html, p.html AS html0, "
+                     "s.source_order, s.source, s.threshold, s.base_url "
                      f"FROM pages p JOIN {sources_values()} s ON s.source_order = p.page_id % 9 + 1"),
     "fx_lines": (("fx_kb",), "SELECT ctx_id * 2 AS line_id, replace(text, chr(10), ' ') || '@' || sentiment AS line "
                              "FROM fx_kb UNION ALL SELECT ctx_id * 2 + 1 AS line_id, ' ' || chr(9) || ' ' AS line "
