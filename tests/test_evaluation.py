@@ -129,3 +129,13 @@ def test_half_up_percentage(spark):
     df = spark.createDataFrame([(1, 8), (1, 16), (2, 3)], "n long, t long")
     got = [r[0] for r in df.select(E.pct_half_up(F.col("n"), F.col("t"), 1)).collect()]
     assert got == [12.5, 6.3, 66.7]
+
+
+def test_null_labels_are_a_class_of_their_own(spark):
+    rows = [("a", "a")] * 3 + [(None, "a")] * 2 + [("b", None)]
+    counts = E.confusion_counts(spark.createDataFrame(rows, "expected_output string, predicted_label string"))
+    cm = {(r.true_label, r.pred_label): r.n for r in E.confusion_matrix(counts).collect()}
+    assert sum(cm.values()) == 6 and cm[None, "a"] == 2 and cm["b", None] == 1 and len(cm) == 9
+    pc = {r.label: (r.support, r.predicted) for r in E.per_class_metrics(counts).collect()}
+    assert pc == {"a": (3, 5), "b": (1, 0), None: (2, 1)}
+    assert set(E.metrics_document(counts).first().per_class_metrics) == {"a", "b"}

@@ -244,3 +244,15 @@ def test_exotic_whitespace_properties(spark, texts):
     assert col_values(spark, texts, T.clean_query_text) == [py_clean_query(t) for t in texts]
     assert col_values(spark, texts, lambda c: F.array_sort(T.token_set(c))) == [
         sorted(set(t.lower().split())) for t in texts]
+
+
+def test_time_window_takes_digits_of_any_script(spark):
+    assert col_values(spark, ["５ days ago", "٣ weeks ago", "2 d ago", "x"], T.time_window) == [5, 21, 2, None]
+
+
+def test_prompt_echo_parity(spark):
+    from tonality.functions import labels as L
+    prompt = "Context: Text: a\nSentiment: positive\n\nHuman: q\nAssistant:"
+    df = spark.createDataFrame([(prompt + " negative", prompt)], "o string, p string")
+    assert df.select(L.strip_prompt_echo("o", "p"), L.strip_prompt_echo("o", "p", parity=True)).first() == (
+        "negative", "Context: Text: a\nSentiment: positive\n\n negative")

@@ -57,6 +57,14 @@ def last_segment(c, marker: str = "Assistant:") -> Column:
     return ustrip(F.substring_index(_c(c), marker, -1))
 
 
-def strip_prompt_echo(output, prompt) -> Column:
-    """Remove every occurrence of the prompt from the output, strip."""
-    return ustrip(F.replace(_c(output), _c(prompt), F.lit("")))
+def strip_prompt_echo(output, prompt, parity: bool = False) -> Column:
+    """Remove every occurrence of the prompt from the output, strip.
+
+    With ``parity`` only the part of a retrieval prompt after its context is
+    removed, as in the original, so the context's own lines stay in the output
+    and can decide the parsed label."""
+    p = _c(prompt)
+    if parity:
+        at = F.instr(p, "\n\nHuman: ")
+        p = F.when(p.startswith("Context: ") & (at > 0), F.substr(p, at + 2)).otherwise(p)
+    return ustrip(F.replace(_c(output), p, F.lit("")))

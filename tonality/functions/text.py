@@ -11,6 +11,9 @@ follow Python's Unicode semantics, which is what the original scripts used:
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -85,6 +88,11 @@ def _days(num: Column, per_unit: int) -> Column:
     return F.when(n <= INT_MAX, n.cast("int"))
 
 
+# Every decimal digit of Unicode and its ASCII digit (a number may be written in any script).
+_DIGITS = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+DIGIT_CHARS, DIGIT_VALUES = "".join(_DIGITS), "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
+
 def time_window(c, lower: bool = True) -> Column:
     """C4: window in days from the first matching phrase, in pattern order.
 
@@ -93,6 +101,7 @@ def time_window(c, lower: bool = True) -> Column:
     that does not fit an int gives null; no phrase gives null.
     """
     t = F.lower(_c(c)) if lower else _c(c)
+    t = F.translate(t, DIGIT_CHARS, DIGIT_VALUES)
     out = None
     for pat, per_unit, fixed in R.TIME_PATTERNS:
         p = time_pattern(pat)

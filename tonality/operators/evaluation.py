@@ -108,9 +108,9 @@ def per_class_metrics(counts: DataFrame) -> DataFrame:
         F.sum("n").alias("support"),
         F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)).alias("tp"))
     p = counts.groupBy(F.col("pred_label").alias("label")).agg(F.sum("n").alias("predicted"))
-    dom = label_domain(counts)
-    j = (dom.join(t, "label", "left").join(p, "label", "left")
-            .select("label", F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
+    dom = label_domain(counts).withColumnRenamed("label", "_l")
+    j = (dom.join(t, F.col("_l").eqNullSafe(t["label"]), "left").drop("label").join(p, F.col("_l").eqNullSafe(p["label"]), "left")
+            .select(F.col("_l").alias("label"), F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
                     F.coalesce("support", F.lit(0)).cast("long").alias("support"),
                     F.coalesce("predicted", F.lit(0)).cast("long").alias("predicted")))
     prec = _safe_div(F.col("tp"), F.col("predicted"))
@@ -156,33 +156,25 @@ def weighted_metrics(per_class: DataFrame) -> DataFrame:
 
 def confusion_matrix(counts: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """A11 (long form): every (true, pred) of the sorted label union with its
-    count, 0 where absent. The label list (a handful of values) is read once
-    from the aggregated counts unless given."""
+    count, 0 where absent. The label union (a null label is one of them) is
+    paired with itself inside the plan unless ``labels`` are given."""
     if labels is None:
-        labels = [r["label"] for r in label_domain(counts).collect()]
-    arr = F.array(*[F.lit(x) for x in labels])
-    grid = (counts.sparkSession.createDataFrame([(x,) for x in labels], "true_label string")
-            .select("true_label", F.explode(arr).alias("pred_label")))
-    return (F.broadcast(grid).join(counts, ["true_label", "pred_label"], "left")
-            .select("true_label", "pred_label", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
-
-
-def confusion_matrix_wide(counts: DataFrame, labels: list[str] | None = None) -> DataFrame:
-    """A11 (wide form): one row per true label, one column per predicted label."""
-    if labels is None:
-        labels = [r["label"] for r in label_domain(counts).collect()]
-    return (confusion_matrix(counts, labels).groupBy("true_label").pivot("pred_label", labels)
-            .agg(F.first("n")).orderBy("true_label"))
+        dom = label_domain(counts)
+    else:
+        dom = counts.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+    grid = dom.select(F.col("label").alias("_t")).crossJoin(dom.select(F.col("label").alias("_p")))  # labels x labels
+    found = F.col("_t").eqNullSafe(counts["true_label"]) & F.col("_p").eqNullSafe(counts["pred_label"])
+    return (grid.join(counts, found, "left")
+            .select(F.col("_t").alias("true_label"), F.col("_p").alias("pred_label"), F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
 def metrics_document(counts: DataFrame) -> DataFrame:
     """The nested metrics document as one row (accuracy, error rate,
     per-class map, macro, micro, dense confusion matrix)."""
-    labels = [r["label"] for r in label_domain(counts).collect()]
     pc = per_class_metrics(counts)
-    per_class = pc.agg(F.map_from_entries(F.collect_list(F.struct(
+    per_class = pc.where(F.col("label").isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct(
         "label", F.struct("precision", "recall", "f1", "support", "error_rate")))).alias("per_class_metrics"))
-    cm = confusion_matrix(counts, labels)
+    cm = confusion_matrix(counts)
     rows = (cm.groupBy("true_label")
               .agg(F.array_sort(F.collect_list(F.struct("pred_label", "n"))).alias("r"))
               .select("true_label", F.transform("r", lambda s: s["n"]).alias("row")))

@@ -120,11 +120,6 @@ def _source_structs() -> Column:
                      for s in R.SOURCES])
 
 
-def source_spec(spark) -> DataFrame:
-    """The 9-row source table."""
-    return spark.range(1).select(F.explode(_source_structs()).alias("s")).select("s.*")
-
-
 def source_by_order(order_col) -> Column:
     """Struct of the source whose 1-based order is ``order_col``."""
     return F.element_at(_source_structs(), order_col.cast("int"))

@@ -142,9 +142,3 @@ class DatasetSpec:
     label_mapping: dict = field(default_factory=lambda: dict(NUMERIC_LABEL_MAP))
     train_ratio: float = 0.8
     reader: object = None  # optional callable(spark) -> DataFrame for derived inputs
-
-
-def source_rows():
-    """The source table as plain rows (for a 9-row broadcast DataFrame)."""
-    return [(s.order, s.name, s.threshold, s.date_op, s.base_url, s.search_url)
-            for s in SOURCES]

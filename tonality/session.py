@@ -23,6 +23,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # what a Python worker holds at once: rows may be whole documents or prompts
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files once the frames that read them are gone

@@ -28,23 +28,30 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     return r.format(fmt).load(path)
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None, key: str | list[str] | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` partitions (default: the
-    session's default parallelism) when the input has fewer.
+SMALL_BYTES = 256 << 20
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None, key: str | list[str] | None = None,
+             max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Spread the rows of a small table (at most ``max_bytes`` by the scan's
+    size) over at least ``min_partitions`` partitions (default: the session's
+    default parallelism) when it has fewer.
 
     A file with one row group is read by a single task however large it is;
     text-heavy row work after it (tokenising, regexes) would then run on one
-    core. Inputs that already have enough partitions — any real table at
-    scale — are returned unchanged, so this never adds a shuffle there.
+    core. Larger tables, and those that already have enough partitions, are
+    returned unchanged, so no table of a cluster's size is shuffled here
+    (write those with row groups of a split's size).
     Hashing on ``key`` (unique id columns) keeps the placement deterministic
     without the sort a round-robin repartition needs for that.
     """
     try:
         n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - Spark Connect exposes neither; leave the plan alone
         return df
-    if have >= n:
+    if have >= n or size > max_bytes:
         return df
     if not key:
         return df.repartition(n)
@@ -104,11 +111,6 @@ def read_phrasebank(spark: SparkSession, path: str, encoding: str = "ISO-8859-1"
     return df.select(TX.rsplit_text("line").alias("text"), TX.rsplit_label("line").alias("sentiment"))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Already-fetched pages (``page_id, url, html``)."""
-    return spark.read.parquet(path)
-
-
 # ---------------------------------------------------------------- writers
 
 
@@ -122,18 +124,22 @@ def write_kb(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select("text", "sentiment", "metadata").write.mode(mode).json(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 10000, mode: str = "overwrite") -> None:
-    """S8 (array form): JSON-array files of at most ``rows_per_file``
-    elements each, written by many tasks in parallel (one directory per
-    chunk), readable with :func:`read_json_array`."""
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int | None = None, mode: str = "overwrite",
+                      bytes_per_file: int = 64 << 20) -> None:
+    """S8 (array form): JSON-array files of about ``bytes_per_file`` each (or
+    at most ``rows_per_file`` elements), one file an array, all in one folder,
+    written by many tasks in parallel; readable with :func:`read_json_array`."""
+    j = df.select(F.to_json(F.struct(*df.columns)).alias("_j"))
+    if rows_per_file is None:
+        mean = j.agg(F.avg(F.octet_length("_j"))).first()[0] or 1
+        rows_per_file = max(1, int(bytes_per_file / (mean + 1)))
     pid = F.spark_partition_id()
     # row position inside its partition, from the id's lower 33 bits
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    j = df.select(F.to_json(F.struct(*df.columns)).alias("_j"),
-                  F.concat_ws("-", pid, F.floor(pos / rows_per_file)).alias("_chunk"))
-    arrays = j.groupBy("_chunk").agg(F.concat(F.lit("["), F.array_join(F.collect_list("_j"), ","), F.lit("]"))
-                                     .alias("value"))
-    arrays.write.mode(mode).partitionBy("_chunk").text(path)
+    chunks = j.select("_j", pid.alias("_p"), F.floor(pos / rows_per_file).alias("_chunk"))
+    arrays = chunks.groupBy("_p", "_chunk").agg(F.concat(F.lit("["), F.array_join(F.collect_list("_j"), ","), F.lit("]"))
+                                                .alias("value"))
+    arrays.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
 
 
 def write_lines(df: DataFrame, col: str, path: str, encoding: str = "ISO-8859-1", mode: str = "overwrite") -> None:
