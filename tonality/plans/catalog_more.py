@@ -443,10 +443,34 @@ def chart_data(spark, sf):
     return c.select("chart", "series", "label", r6(F.col("value")).alias("value"))
 
 
-@register("metrics_document")
+_ACC_SQL = f"(SELECT sum(CASE WHEN true_label = pred_label THEN n ELSE 0 END) / sum(n) AS a FROM ({_COUNTS_SQL}))"
+
+
+@register("metrics_document", Q.with_("fx_pred") + f"""
+SELECT 'accuracy' AS path, round(a, 6) AS value FROM {_ACC_SQL} UNION ALL SELECT 'error_rate', round(1 - a, 6) FROM {_ACC_SQL}
+UNION ALL SELECT 'micro_metrics.' || v.m, round(a, 6) FROM {_ACC_SQL}, (VALUES ('precision'), ('recall'), ('f1')) v(m)
+UNION ALL SELECT 'macro_metrics.' || v.m, round(v.x, 6) FROM (SELECT avg(precision) AS p, avg(recall) AS r, avg(f1) AS f FROM ({_PC_SQL})) t,
+  LATERAL (SELECT * FROM (VALUES ('precision', t.p), ('recall', t.r), ('f1', t.f)) y(m, x)) v
+UNION ALL SELECT 'per_class_metrics.' || label || '.' || v.m, round(v.x, 6) FROM ({_PC_SQL}) t, LATERAL (SELECT * FROM
+  (VALUES ('precision', t.precision), ('recall', t.recall), ('f1', t.f1), ('support', CAST(t.support AS DOUBLE)), ('error_rate', t.error_rate)) y(m, x)) v
+UNION ALL SELECT 'confusion_matrix.' || t.i || '.' || p.i, CAST(coalesce(c.n, 0) AS DOUBLE) FROM
+  (SELECT label, row_number() OVER (ORDER BY label) - 1 AS i FROM ({_DOMAIN_SQL})) t CROSS JOIN
+  (SELECT label, row_number() OVER (ORDER BY label) - 1 AS i FROM ({_DOMAIN_SQL})) p
+  LEFT JOIN ({_COUNTS_SQL}) c ON c.true_label = t.label AND c.pred_label = p.label""")
 def metrics_document(spark, sf):
-    d = E.metrics_document(_counts(spark, sf))
-    return d.select(F.to_json(F.struct(*d.columns)).alias("document"))
+    """The document written by the sink, read back and flattened to (path, value)."""
+    d = flows.metrics_roundtrip(spark, E.metrics_document(_counts(spark, sf)))
+    path = lambda *parts: F.concat_ws(".", *[p if not isinstance(p, str) else F.lit(p) for p in parts]).alias("path")
+    value = lambda c: c.cast("double").alias("value")
+    three = ("precision", "recall", "f1")
+    flat = [F.struct(path(m), value(F.col(m))) for m in ("accuracy", "error_rate")]
+    flat += [F.struct(path(g, m), value(F.col(f"{g}.{m}"))) for g in ("macro_metrics", "micro_metrics") for m in three]
+    one = d.select(F.inline(F.array(*flat)))
+    per = d.select(F.explode("per_class_metrics").alias("label", "s")).select(F.inline(F.array(*[
+        F.struct(path("per_class_metrics", F.col("label"), m), value(F.col(f"s.{m}"))) for m in (*three, "support", "error_rate")])))
+    cells = (d.select(F.posexplode("confusion_matrix").alias("i", "row")).select("i", F.posexplode("row").alias("j", "n"))
+             .select(path("confusion_matrix", F.col("i").cast("string"), F.col("j").cast("string")), value(F.col("n"))))
+    return one.unionByName(per).unionByName(cells).select("path", r6(F.col("value")).alias("value"))
 
 
 # ==========================================================================

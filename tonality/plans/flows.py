@@ -192,3 +192,9 @@ def kb_roundtrip(spark: SparkSession, kb: DataFrame) -> DataFrame:
     io.write_kb(kb, path)
     return io.read_jsonl(spark, path, KB_SCHEMA)
 
+
+def metrics_roundtrip(spark: SparkSession, document: DataFrame) -> DataFrame:
+    """The metrics document through its sink and back."""
+    path = scratch_path(spark, "metrics")
+    io.write_metrics_document(document, path)
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", document.schema).alias("m")).select("m.*")
