@@ -40,22 +40,19 @@ def lines(docs: DataFrame) -> DataFrame:
 def keys(entries: DataFrame, edits: int) -> DataFrame:
     """(key, a, indexed): keys of every line's own segments (indexed) and of its probes of other places and lengths."""
     n = edits + 1
-    # size and, for each length that may be matched, the segments' size and how many are one longer (the last ones)
-    cut = [(F.col("size") - short).alias(f"size{short}") for short in range(n)]
-    even = entries.select("a", "line", F.length("line").alias("size")).select("a", "line", "size", *cut)
-    even = even.select("*", *[F.floor(F.col(f"size{k}") / n).cast("int").alias(f"width{k}") for k in range(n)], *[(F.col(f"size{k}") % n).alias(f"extra{k}") for k in range(n)])
-    made = []
+    probes = []
     for short in range(n):  # the indexed line may be that much shorter
         for i in range(n):
-            late = f"greatest(0, {i} - ({n} - extra{short}))"
-            width = f"(width{short} + if({i} >= {n} - extra{short}, 1, 0))"
             low, high = max(-i, short - (edits - i)), min(i, short + (edits - i))
-            for shift in range(low, high + 1):
-                at = f"({1 + shift} + {i} * width{short} + {late})"
-                hashed = f"xxhash64({i}, size{short}, substring(line, {at}, {width}))"
-                fits = f"{at} >= 1 and {at} + {width} - 1 <= size and {width} >= 1"
-                made.append(f"struct(if({fits}, {hashed}, null) as key, {str(short == 0 and shift == 0).lower()} as indexed)")
-    return even.select("a", F.expr(f"inline(array({', '.join(made)}))")).where("key is not null").select("key", "a", "indexed")
+            probes += [F.struct(F.lit(short).alias("short"), F.lit(i).alias("i"), F.lit(shift).alias("shift")) for shift in range(low, high + 1)]
+    # four bytes a character, so that a substring is one copy wherever it starts
+    rows = entries.select("a", F.encode("line", "UTF-32").alias("wide")).select("a", "wide", F.inline(F.array(*probes)))
+    rows = rows.select("*", (F.shiftright(F.octet_length("wide"), 2) - F.col("short")).alias("size"))
+    # the first segments are the shorter ones: the last size % n have one character more
+    rows = rows.select("*", F.expr(f"cast(size div {n} as int)").alias("even"), F.expr(f"{n} - size % {n}").alias("longer"))
+    rows = rows.select("*", F.expr("even + if(i >= longer, 1, 0)").alias("width"), F.expr("1 + shift + i * even + greatest(0, i - longer)").alias("at"))
+    rows = rows.where("at >= 1 and width >= 1 and at + width - 1 <= size + short")
+    return rows.select(F.expr("xxhash64(i, size, substring(wide, 4 * at - 3, 4 * width))").alias("key"), "a", F.expr("short = 0 and shift = 0").alias("indexed"))
 
 
 def within(a: str, b: str, edits: int) -> Column:
@@ -82,10 +79,11 @@ def within(a: str, b: str, edits: int) -> Column:
     chars = "if(length(u.x) >= length(u.y), struct(split(u.x, '') as p, split(u.y, '') as t, length(u.x) as n, length(u.y) as m), struct(split(u.y, '') as p, split(u.x, '') as t, length(u.y) as n, length(u.x) as m))"
     hits = " | ".join(f"if(get(v.p, i - {edits} + {k}) = v.t[i], {1 << k}L, 0L)" for k in range(width))
     d0 = f"((((({hits}) & s.vp) + s.vp) ^ s.vp) | ({hits}) | s.vn) & {mask}L"
-    step = (f"(s, i) -> transform(array({d0}), d -> transform(array(struct((s.vn | ~(d | s.vp)) & {mask}L as hp, d & s.vp as hn)), h -> struct("
+    # beyond this distance the last rows cannot bring it back: the rest of the walk is skipped
+    step = (f"(s, i) -> if(s.dist > {2 * edits} + v.m - v.n, s, transform(array({d0}), d -> transform(array(struct((s.vn | ~(d | s.vp)) & {mask}L as hp, d & s.vp as hn)), h -> struct("
             f"(h.hn | ~(shiftright(d, 1) | h.hp)) & {mask}L as vp, shiftright(d, 1) & h.hp as vn,"
             f" if(i < v.n - {edits}, s.dist + if(d & {top}L = 0, 1, 0), s.dist + if(h.hp & s.row != 0, 1, 0) - if(h.hn & s.row != 0, 1, 0)) as dist,"
-            f" if(i < v.n - {edits}, s.row, shiftright(s.row, 1)) as row))[0])[0]")
+            f" if(i < v.n - {edits}, s.row, shiftright(s.row, 1)) as row))[0])[0])")
     start = f"struct({mask & ~((1 << edits) - 1)}L as vp, 0L as vn, {edits} as dist, {top >> 1}L as row)"
     walk = f"aggregate(sequence(0, v.m - 1), {start}, {step}, s -> s.dist <= {edits})"
     whole = f"transform(array({chars}), v -> if(v.n <= {edits}, true, if(v.m = 0, false, {walk})))[0]"
