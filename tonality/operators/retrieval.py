@@ -28,15 +28,14 @@ def sq_l2(a, b) -> Column:
                                   (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def restrict_to(df: DataFrame, key: str, keys_from: DataFrame, key_in: str | None = None,
-                max_rows: int = 2_000_000) -> DataFrame:
+def restrict_to(df: DataFrame, key: str, keys_from: DataFrame, key_in: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` occurs in ``keys_from`` — a semi-join, with
-    the distinct keys broadcast when a count shows they are few, so a large
+    the distinct keys broadcast when their measured size is small, so a large
     ``df`` is filtered in place before any expensive per-row work (Catalyst
     never moves a projection below a join by itself). ``keys_from`` should be
     materialised, or the count recomputes it."""
     keys = keys_from.select(F.col(key_in or key).alias(key)).distinct()
-    return df.join(checked_broadcast(keys, max_rows), key, "left_semi")
+    return df.join(checked_broadcast(keys), key, "left_semi")
 
 
 # --------------------------------------------------------------------------

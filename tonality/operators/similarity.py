@@ -8,8 +8,8 @@ Overlap join (token-set overlap coefficient > t)
     the other, restricted to "prefix side is the smaller set". Prefixes are
     ordered by frequency on the other side, so hot tokens ("the") almost
     never drive the candidate join; where they do, AQE's skew join splits the
-    hot partition. Candidates are de-duplicated and materialised before the
-    texts of candidate ids are joined back for the exact check.
+    hot partition. The corpus is tokenised once; only its tokens that occur in
+    a query are written, and the shared tokens of candidates are counted there.
 
 Exact k-NN (squared L2)
     Pivot cells with the triangle inequality: a query visits only the cells
@@ -45,18 +45,22 @@ def token_rows(df: DataFrame, id_col: str, text_col: str, extra: tuple[str, ...]
                 .where(F.col("token").isNotNull()))
 
 
-def _with_prefix(rows: DataFrame, order: DataFrame, threshold) -> DataFrame:
+def _with_prefix(rows: DataFrame, order: DataFrame, threshold, hits_only: bool = False) -> DataFrame:
     """Keep the prefix tokens of every set under the (df, token) order.
 
     ``order`` maps token -> df (tokens it lacks sort first, df 0). The smallest
     number of shared tokens a match needs is floor(t*m)+1, so the prefix is
-    m - floor(t*m) long (the -eps keeps it on the safe, longer side).
+    m - floor(t*m) long (the -eps keeps it on the safe, longer side). With
+    ``hits_only`` the rows hold only those tokens of a set that ``order`` has;
+    the others come first in the order and take up its first places.
     """
-    w = Window.partitionBy("sid").orderBy(F.col("df"), F.col("token"))
+    own = Window.partitionBy("sid")
+    w = own.orderBy(F.col("df"), F.col("token"))
     t = threshold if hasattr(threshold, "cast") else F.lit(threshold)
     plen = F.col("set_size") - F.floor(F.col("set_size") * t - F.lit(_EPS))
+    skipped = F.col("set_size") - F.count(F.lit(1)).over(own) if hits_only else F.lit(0)
     return (rows.join(order, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-                .withColumn("pos", F.row_number().over(w))
+                .withColumn("pos", skipped + F.row_number().over(w))
                 .where(F.col("pos") <= plen)
                 .drop("df", "pos"))
 
@@ -75,51 +79,50 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when a count proves it has at most ``max_rows`` rows,
-    else ``df`` unchanged (the join then shuffles). Count a materialised
-    frame, or the count recomputes its plan."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+BROADCAST_BYTES = 64 << 20
 
 
-def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
-                       broadcast_rows: int = 2_000_000) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its rows are measured to hold at most
+    ``max_bytes`` (strings by their bytes, other columns as 16 bytes), else
+    ``df`` unchanged (the join then shuffles). Measure a materialised frame, or
+    the measurement recomputes its plan."""
+    size = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        size = size + (F.coalesce(F.octet_length(name), F.lit(0)).cast("long") if kind == "string" else F.lit(16))
+    return F.broadcast(df) if (df.agg(F.sum(size + 16)).first()[0] or 0) <= max_bytes else df
+
+
+def overlap_candidates(q_rows: DataFrame, c_hits: DataFrame, threshold: float) -> DataFrame:
     """Distinct (q_sid, c_sid) pairs that survive the prefix filter.
 
     The smaller set of a pair must hit the other set with one of its first
     ``m - floor(t*m)`` tokens. Any fixed token order is valid for this, so each
     side is ordered by frequency on the *other* side (rare hits first):
 
-    * query sets, ordered by corpus frequency (counted only for tokens of
-      the query vocabulary), join all corpus tokens (pairs where the query
-      is the smaller set);
+    * query sets, ordered by corpus frequency, join the corpus tokens (pairs
+      where the query is the smaller set);
     * only corpus sets smaller than the largest query can be the smaller set
       of a pair, so only those get a prefix (ordered by query frequency) and
       join all query tokens.
 
-    ``c_rows`` may carry a per-row ``threshold`` column; corpus prefixes then
-    use their own threshold and query prefixes the smallest one (a longer
-    prefix, so a superset of the candidates). The query-side prefix table is
-    materialised and broadcast when a count shows it is small, so the corpus
-    tokens are probed in place instead of shuffled.
+    ``c_hits`` holds the corpus tokens that occur in a query. It may carry a
+    per-row ``threshold`` column; corpus prefixes then use their own threshold
+    and query prefixes the smallest one (a longer prefix, so a superset of the
+    candidates).
     """
-    per_row = "threshold" in c_rows.columns
-    q_t = (c_rows.agg(F.min("threshold")).first()[0] if per_row else threshold)
+    per_row = "threshold" in c_hits.columns
+    q_t = (c_hits.agg(F.min("threshold")).first()[0] if per_row else threshold)
     q_t = threshold if q_t is None else q_t
-    # corpus frequencies are only needed for tokens that occur in queries
-    q_vocab = q_rows.select("token").distinct()  # q_rows is materialised: cheap to recount
-    q_vocab = F.broadcast(q_vocab) if q_vocab.count() <= broadcast_rows else q_vocab
-    c_freq = _frequencies(c_rows.join(q_vocab, "token", "left_semi"))
-    q_pre = materialize(_with_prefix(q_rows, c_freq, q_t)
+    q_pre = materialize(_with_prefix(q_rows, _frequencies(c_hits), q_t)
                         .select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token"))
     # every non-empty query set has a prefix row, so this is the largest query
-    n_pre, q_max = q_pre.agg(F.count(F.lit(1)), F.max("q_size")).first()
-    q_max = q_max or 0
-    a = (c_rows.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
-               .join(F.broadcast(q_pre) if n_pre <= broadcast_rows else q_pre, "token")
+    q_max = q_pre.agg(F.max("q_size")).first()[0] or 0
+    a = (c_hits.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
+               .join(checked_broadcast(q_pre), "token")
                .where(F.col("q_size") <= F.col("c_size")))
-    c_small = c_rows.where(F.col("set_size") < F.lit(q_max))
-    c_pre = _with_prefix(c_small, _frequencies(q_rows), F.col("threshold") if per_row else threshold)
+    c_small = c_hits.where(F.col("set_size") < F.lit(q_max))
+    c_pre = _with_prefix(c_small, _frequencies(q_rows), F.col("threshold") if per_row else threshold, hits_only=True)
     q_all = q_rows.select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token")
     b = (c_pre.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
               .join(q_all, "token")
@@ -129,8 +132,7 @@ def overlap_candidates(q_rows: DataFrame, c_rows: DataFrame, threshold: float,
 
 def overlap_join(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str,
                  q_text: str = "text", c_text: str = "text", threshold: float = 0.8,
-                 score: str = "overlap", broadcast_rows: int = 2_000_000,
-                 threshold_col: str | None = None) -> DataFrame:
+                 score: str = "overlap", threshold_col: str | None = None) -> DataFrame:
     """All (query, context) pairs whose token-set score is > threshold.
 
     ``score='overlap'`` is |A∩B|/min(|A|,|B|) (0 for an empty side);
@@ -138,33 +140,25 @@ def overlap_join(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str,
     ``q_id, c_id, n_shared, score``. With ``threshold_col`` every context row
     brings its own threshold (strict ``>`` against it).
 
-    The candidates are materialised; only texts of candidate ids are
-    tokenised again for the exact check (semi-joined map-side when the id
-    sets are small), each once.
+    The corpus is read and tokenised once. Of its tokens only those that occur
+    in a query are written; shared tokens are among them, so candidates
+    are found and counted from these rows alone. ``c_id`` and ``q_id`` are unique.
     """
-    # the token rows of both sides feed three consumers (frequencies, probe,
-    # small-set prefixes): tokenise once and read the materialised rows
     q_rows = materialize(token_rows(queries, q_id, q_text))
+    vocab = materialize(q_rows.select("token").distinct())
     if threshold_col:
         c_rows = token_rows(contexts.withColumn("threshold", F.col(threshold_col).cast("double")), c_id, c_text,
                             ("threshold",))
     else:
         c_rows = token_rows(contexts, c_id, c_text)
-    c_rows = materialize(c_rows)
-    cand = materialize(overlap_candidates(q_rows, c_rows, threshold, broadcast_rows))
-    n_q, n_c = cand.agg(F.countDistinct("q_sid"), F.countDistinct("c_sid")).first()
-    q_ids = cand.select("q_sid").distinct()
-    c_ids = cand.select("c_sid").distinct()
-    q_ids = F.broadcast(q_ids) if n_q <= broadcast_rows else q_ids
-    c_ids = F.broadcast(c_ids) if n_c <= broadcast_rows else c_ids
-    q_sets = (queries.select(F.col(q_id).alias("q_sid"), F.col(q_text).alias("_t"))
-              .join(q_ids, "q_sid", "left_semi").select("q_sid", token_set("_t").alias("q_toks")))
-    t_col = [F.col(threshold_col).cast("double").alias("_thr")] if threshold_col else [F.lit(float(threshold)).alias("_thr")]
-    c_sets = (contexts.select(F.col(c_id).alias("c_sid"), F.col(c_text).alias("_t"), *t_col)
-              .join(c_ids, "c_sid", "left_semi").select("c_sid", "_thr", token_set("_t").alias("c_toks")))
-    pairs = cand.join(q_sets, "q_sid").join(c_sets, "c_sid").select(
-        "q_sid", "c_sid", "_thr", F.size("q_toks").alias("_nq"), F.size("c_toks").alias("_nc"),
-        F.size(F.array_intersect("q_toks", "c_toks")).alias("n_shared"))
+    c_hits = materialize(c_rows.join(checked_broadcast(vocab), "token", "left_semi"))
+    cand = materialize(overlap_candidates(q_rows, c_hits, threshold))
+    thr = F.col("threshold") if threshold_col else F.lit(float(threshold))
+    mine = c_hits.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("_nc"), "token", thr.alias("_thr"))
+    theirs = q_rows.select(F.col("sid").alias("q_sid"), F.col("set_size").alias("_nq"), "token")
+    pairs = (mine.join(checked_broadcast(cand), "c_sid").join(checked_broadcast(theirs), ["q_sid", "token"])
+             .groupBy("q_sid", "c_sid").agg(F.count(F.lit(1)).cast("int").alias("n_shared"), F.first("_nq").alias("_nq"),
+                                            F.first("_nc").alias("_nc"), F.first("_thr").alias("_thr")))
     m = F.least("_nq", "_nc")
     if score == "overlap":
         sc = F.when(m > 0, F.col("n_shared") / m).otherwise(F.lit(0.0))
