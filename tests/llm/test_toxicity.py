@@ -3,7 +3,7 @@ import random
 from tonality.llm import toxicity as T
 from tonality.llm.common import held_out
 
-from conftest import SF_CHECK
+SF_BENCH = "/root/testdata/sf0.1"
 
 
 def distance(a, b):
@@ -43,11 +43,12 @@ def test_context_separates_quotation_from_abuse():
 
 
 def test_held_out_accuracy(spark):
-    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
-    labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
-    out = T.detect(docs, labels)
+    # sf0.1: the smallest tables whose labels show the toxic words of every language
+    docs = spark.read.parquet(f"{SF_BENCH}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_BENCH}/labels.parquet")
+    out = T.detect(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), labels).cache()
     rows = out.where(held_out()).join(labels, "doc_id").collect()
-    assert out.count() == docs.count()
+    assert out.count() == labels.count()
     hit = sum(r.predicted == r.toxic for r in rows) / len(rows)
     assert hit > 0.95 and all(0 <= r.score <= 1 for r in out.collect())
 
@@ -59,7 +60,12 @@ def test_defined_cases(spark):
     same = spark.createDataFrame([(1, 1), (2, 1), (None, 0), (4, None)], "doc_id long, toxic int")
     assert {r.predicted for r in T.detect(docs, same).collect()} == {0}
     assert T.detect(docs.limit(0), none).collect() == []
-    many = spark.createDataFrame([(i, ("you total idiot " if i % 2 else "a fine day ") + "x" * (i % 5), i) for i in range(400)], "doc_id long, text string, n int")
+    # copies teach once: too few different texts give no term, and every score is 0
+    copies = spark.createDataFrame([(i, "you total idiot " if i % 2 else "a fine day ", i) for i in range(400)], "doc_id long, text string, n int")
+    assert {r.score for r in T.detect(copies, copies.selectExpr("doc_id", "doc_id % 2 as toxic")).collect()} == {0.0}
+    r = random.Random(5)
+    filler = lambda: " ".join(f"w{r.randrange(500)}" for _ in range(12))
+    many = spark.createDataFrame([(i, ("you total idiot " if i % 2 else "a fine day ") + filler(), i) for i in range(400)], "doc_id long, text string, n int")
     lab = many.selectExpr("doc_id", "doc_id % 2 as toxic")
     out = T.detect(many.union(spark.createDataFrame([(1000, "what an idoit, idi0t", 1), (1001, None, 1)], many.schema)), lab)
     by = {r.doc_id: r for r in out.collect()}

@@ -10,7 +10,8 @@ bounded labelled sample, gives the probability.
 
 Defined results
   null or empty text: no match, the score of a text without matches; no labels to
-  learn from, or labels of one class: every score is 0; ties in the lexicon:
+  learn from, labels of one class, or no term that marks toxic texts: every score
+  is 0; ties in the lexicon:
   alphabetical; repeated rows and null ids keep their own rows; an empty table
   gives no rows. Only named columns are read, so other columns may have any name.
 """
@@ -237,6 +238,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, terms: int
               .orderBy(F.desc("bad"), "word").limit(terms).collect())
     odds = lambda bad, good: math.log((bad + 0.5) / (sizes[1] + 1)) - math.log((good + 0.5) / (sizes[0] + 1))
     lexicon = {r["word"]: odds(r["bad"], r["good"]) for r in marked}
+    if not lexicon:
+        return Scorer({})
     first = docs.sparkSession.sparkContext.broadcast(Scorer({t: (w, 0.0) for t, w in lexicon.items()}))
 
     def near(batches):  # misspelt matches of each term, by class: how far a near match is to be believed
