@@ -141,8 +141,13 @@ def fit(docs: DataFrame, graded: DataFrame, fit_rows: int = 4000, dim: int = DIM
 
     import numpy as np
 
-    rows = texts.mapInArrow(run, "i array<int>, x array<float>, grade double").toArrow()
-    return train([(np.array(i), np.array(x), g) for i, x, g in zip(*(rows.column(c).to_pylist() for c in ("i", "x", "grade")))], dim)
+    got = texts.mapInArrow(run, "i array<int>, x array<float>, grade double").toArrow()
+
+    def arrays(name):  # one numpy array a row, without a Python object a value
+        rows = got.column(name).combine_chunks()
+        return np.split(rows.flatten().to_numpy(), np.cumsum(rows.value_lengths().to_numpy())[:-1]) if len(rows) else []
+
+    return train(list(zip(arrays("i"), arrays("x"), got.column("grade").to_pylist())), dim)
 
 
 def score(docs: DataFrame, model: CumulativeLink | None, cut: float) -> DataFrame:
