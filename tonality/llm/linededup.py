@@ -95,9 +95,14 @@ def _sized(hashes: DataFrame) -> DataFrame:
     return F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
 
 
-def marks(line: Column) -> Column:
-    """64 bits, each the parity of the words that hash to it: an edit changes at most three."""
-    return F.aggregate(F.split(line, " ", -1), F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(w), F.lit(64)))))
+def marks(parts: Column) -> Column:
+    """64 bits, each the parity of the parts that hash to it."""
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(x), F.lit(64)))))
+
+
+def _alike(edits: int) -> Column:
+    """Necessary for few edits: an edit changes the parity of at most three words and two characters."""
+    return ((F.bit_count(F.col("w1").bitwiseXOR(F.col("w2"))) <= 3 * edits) & (F.bit_count(F.col("c1").bitwiseXOR(F.col("c2"))) <= 2 * edits))
 
 
 def links(rows: DataFrame, edits: int, min_chars: int) -> DataFrame:
@@ -110,11 +115,11 @@ def links(rows: DataFrame, edits: int, min_chars: int) -> DataFrame:
     hits = materialise(made.join(_sized(shared), "key", "left_semi").distinct(), "line-hits")
     need = materialise(hits.select("a").distinct(), "line-need")
     texts = long.select("a", "b", "line").join(_sized(need), "a", "left_semi").groupBy("a", "b").agg(F.first("line").alias("line"))
-    texts = materialise(texts.withColumn("m", marks(F.col("line"))), "line-texts")
-    marked = hits.join(texts.select("a", "b", "m"), "a")
-    left = marked.where("indexed").select("key", F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("m").alias("m1"))
-    right = marked.select("key", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("m").alias("m2"))
-    pairs = (left.join(right, "key").where(((F.col("a1") != F.col("a2")) | (F.col("b1") != F.col("b2"))) & (F.bit_count(F.col("m1").bitwiseXOR(F.col("m2"))) <= 3 * edits))
+    texts = materialise(texts.withColumn("w", marks(F.split("line", " ", -1))).withColumn("c", marks(F.split("line", ""))), "line-texts")
+    marked = hits.join(texts.select("a", "b", "w", "c"), "a")
+    left = marked.where("indexed").select("key", F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("w").alias("w1"), F.col("c").alias("c1"))
+    right = marked.select("key", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("w").alias("w2"), F.col("c").alias("c2"))
+    pairs = (left.join(right, "key").where(((F.col("a1") != F.col("a2")) | (F.col("b1") != F.col("b2"))) & _alike(edits))
              .select(*[F.when(F.struct("a1", "b1") < F.struct("a2", "b2"), F.col(x)).otherwise(F.col(y)).alias(n)
                        for n, x, y in (("a1", "a1", "a2"), ("b1", "b1", "b2"), ("a2", "a2", "a1"), ("b2", "b2", "b1"))]).distinct())
     one, two = (texts.select(F.col("a").alias(f"a{k}"), F.col("b").alias(f"b{k}"), F.col("line").alias(f"t{k}")) for k in (1, 2))
