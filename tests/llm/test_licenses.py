@@ -1,5 +1,7 @@
+import itertools
 import random
 import re
+from re import _parser
 
 from tonality.llm import licenses as S
 
@@ -57,3 +59,43 @@ def test_defined_cases(spark):
     assert by[4].labels == "apache,apache-2.0" and by[5].first_word == by[5].last_word == 50_000 and 0 < by[5].score <= 1
     assert {r.label for r in S.detections(df).collect()} == {"mit", "apache-2.0"}
     assert S.scan(df.limit(0)).collect() == []
+
+
+def spellings(tokens):
+    """Every string of a parsed regex; of an open repeat its shortest two, of a class its first character."""
+    ways = []
+    for op, arg in tokens:
+        op = str(op)
+        if op == "LITERAL":
+            ways.append([chr(arg)])
+        elif op == "IN":
+            ways.append([chr(c) for kind, c in arg if str(kind) == "LITERAL"] or ["4"])
+        elif op == "BRANCH":
+            ways.append([x for part in arg[1] for x in spellings(part)])
+        elif op == "SUBPATTERN":
+            ways.append(list(spellings(arg[3])))
+        elif op == "MAX_REPEAT":
+            one = list(spellings(arg[2]))
+            ways.append(["".join(x) for n in range(arg[0], min(arg[1], arg[0] + 1) + 1) for x in itertools.product(one, repeat=n)])
+        else:
+            assert op == "ASSERT_NOT", op
+    return {"".join(x) for x in itertools.product(*ways)}
+
+
+def test_gates_hold_for_every_spelling_of_every_rule():
+    everything, seen = set(range(len(S.rules()))), 0
+    for rule in S.rules():
+        for text in spellings(_parser.parse(rule.find.__self__.pattern)):
+            text = text.strip()
+            assert any(k in text for k in rule.gates), (rule.label, rule.kind, text)
+            if rule.kind in ("identifier", "page", "name"):  # the other forms have the gates of these
+                want = [(d[2].label, d[2].kind, text[d[0]:d[1]]) for d in S.detect(text, everything)]
+                assert want and [(g[0], g[1], g[5]) for g in S.scan_text(text)["found"]] == want, text
+                seen += 1
+    assert seen > 500
+
+
+def test_run_together_names():
+    for text, label in (("Licensed under GPLv3.", "gpl-3.0"), ("Licensed under GPLv2.", "gpl-2.0"), ("MPLv2", "mpl-2.0"), ("under the AGPLv3", "agpl-3.0"),
+                        ("AGPL v3", "agpl-3.0"), ("Open Data Commons Attribution License", "odc-by-1.0")):
+        assert S.scan_text(text)["labels"] == label, text

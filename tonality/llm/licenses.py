@@ -28,14 +28,14 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 
 V2, V3 = r"(?: version)? ?v?2(?: 0)?", r"(?: version)? ?v?3(?: 0)?"
 LIC = r" licen[cs]e"
-# label; keyword of the prefilter; the name as written in notices; the short identifier as words; page of the terms
+# label; keywords of the prefilter (every spelling of the name holds one); the name as written in notices; the short identifier as words; page of the terms
 LICENSES = (
-    ("agpl-3.0", "agpl|affero", rf"(?:gnu )?affero general public{LIC}(?:{V3})?|gnu agpl ?(?:v ?)?3?", r"agpl 3 0(?: only| or later)?", r"gnu org licenses agpl"),
+    ("agpl-3.0", "agpl|affero", rf"(?:gnu )?affero general public{LIC}(?:{V3})?|(?:gnu )?agpl ?(?:v ?)?3?", r"agpl 3 0(?: only| or later)?", r"gnu org licenses agpl"),
     ("lgpl-3.0", "lgpl|lesser", rf"(?:gnu )?lesser general public{LIC}{V3}|lgpl ?v?3(?: 0)?", r"lgpl 3 0(?: only| or later)?", r"gnu org licenses lgpl 3 0"),
     ("lgpl-2.1", "lgpl|lesser", rf"(?:gnu )?lesser general public{LIC}(?: version)? ?v?2 1|lgpl ?v?2 1", r"lgpl 2 1(?: only| or later)?", r"gnu org licenses (?:old licenses )?lgpl 2 1"),
     ("lgpl-2.0", "lgpl|library general", rf"(?:gnu )?library general public{LIC}(?:{V2})?|lgpl ?v?2(?: 0)?", r"lgpl 2 0(?: only| or later)?", r"gnu org licenses old licenses lgpl 2 0"),
-    ("gpl-3.0", "general public|gpl 2|gpl 3|gpl2|gpl3|gpl v", rf"(?:gnu )?general public{LIC}{V3}|(?:gnu )?gpl ?v?3(?: 0)?", r"gpl 3 0(?: only| or later)?", r"gnu org licenses gpl 3 0"),
-    ("gpl-2.0", "general public|gpl 2|gpl 3|gpl2|gpl3|gpl v", rf"(?:gnu )?general public{LIC}{V2}|(?:gnu )?gpl ?v?2(?: 0)?", r"gpl 2 0(?: only| or later)?", r"gnu org licenses (?:old licenses )?gpl 2 0"),
+    ("gpl-3.0", "general public|gpl", rf"(?:gnu )?general public{LIC}{V3}|(?:gnu )?gpl ?v?3(?: 0)?", r"gpl 3 0(?: only| or later)?", r"gnu org licenses gpl 3 0"),
+    ("gpl-2.0", "general public|gpl", rf"(?:gnu )?general public{LIC}{V2}|(?:gnu )?gpl ?v?2(?: 0)?", r"gpl 2 0(?: only| or later)?", r"gnu org licenses (?:old licenses )?gpl 2 0"),
     ("gfdl", "documentation licen|gfdl", rf"(?:gnu )?free documentation{LIC}", r"gfdl 1 \d(?: only| or later)?", r"gnu org licenses fdl"),
     ("apache-2.0", "apache", rf"apache(?: software)?{LIC}{V2}|apache{V2}{LIC}", r"apache 2 0", r"apache org licenses license 2 0"),
     ("apache-1.1", "apache", rf"apache(?: software)?{LIC}(?: version)? 1 1", r"apache 1 1", r"apache org licenses license 1 1"),
@@ -46,8 +46,8 @@ LICENSES = (
     ("bsd-2-clause", "bsd", rf"(?:simplified|freebsd|2 clause|two clause) bsd{LIC}|bsd (?:2|two) clause{LIC}", r"bsd 2 clause", r"opensource org licenses bsd 2 clause"),
     ("0bsd", "bsd", rf"(?:zero clause|0) ?bsd{LIC}", r"0bsd", r"opensource org licenses 0bsd"),
     ("bsd", "bsd|berkeley", rf"bsd(?: style)?{LIC}|berkeley software distribution{LIC}", r"bsd", r"linfo org bsdlicense"),
-    ("mpl-2.0", "mozilla|mpl 2|mpl2|mpl v", rf"mozilla public{LIC}{V2}|mpl ?v?2(?: 0)?", r"mpl 2 0", r"mozilla org (?:en us )?mpl 2 0"),
-    ("mpl-1.1", "mozilla|mpl 1|mpl1|mpl v", rf"mozilla public{LIC}(?: version)? ?v?1 1|mpl ?v?1 1", r"mpl 1 1", r"mozilla org mpl 1 1"),
+    ("mpl-2.0", "mozilla|mpl", rf"mozilla public{LIC}{V2}|mpl ?v?2(?: 0)?", r"mpl 2 0", r"mozilla org (?:en us )?mpl 2 0"),
+    ("mpl-1.1", "mozilla|mpl", rf"mozilla public{LIC}(?: version)? ?v?1 1|mpl ?v?1 1", r"mpl 1 1", r"mozilla org mpl 1 1"),
     ("epl-2.0", "eclipse public", rf"eclipse public{LIC}{V2}", r"epl 2 0", r"eclipse org legal epl 2 0"),
     ("epl-1.0", "eclipse public", rf"eclipse public{LIC}(?: version)? ?v?1(?: 0)?", r"epl 1 0", r"eclipse org legal epl v10"),
     ("cddl-1.0", "cddl|common development", rf"common development and distribution{LIC}", r"cddl 1 [01]", r"opensource org licenses cddl"),
@@ -68,7 +68,7 @@ LICENSES = (
     ("openssl", "openssl", rf"openssl{LIC}", r"openssl", r"openssl org source license"),
     ("ofl-1.1", "open font", rf"(?:sil )?open font{LIC}", r"ofl 1 1", r"scripts sil org ofl"),
     ("odbl-1.0", "odbl|open database", rf"open database{LIC}", r"odbl 1 0", r"opendatacommons org licenses odbl"),
-    ("odc-by-1.0", "odc", rf"open data commons attribution{LIC}", r"odc by 1 0", r"opendatacommons org licenses by"),
+    ("odc-by-1.0", "odc|open data commons", rf"open data commons attribution{LIC}", r"odc by 1 0", r"opendatacommons org licenses by"),
     ("pddl-1.0", "pddl|public domain dedication", rf"(?:open data commons )?public domain dedication(?: and)?{LIC}", r"pddl 1 0", r"opendatacommons org licenses pddl"),
     ("cc0-1.0", "cc0|creative commons", r"cc0(?: 1 0)?(?: universal)?|creative commons zero", r"cc0 1 0", r"creativecommons org publicdomain zero"),
     ("cc-by-nc-sa", "cc by|creative commons|creativecommons", r"cc by nc sa(?: \d \d)?|creative commons attribution non ?commercial share ?alike(?: \d \d)?", r"cc by nc sa \d \d", r"creativecommons org licenses by nc sa"),
