@@ -10,8 +10,8 @@ smallest id stays; documents that hold a benchmark item go; the last stage
 returns a row of token count and digests a document.
 
 Documents with a null id cannot be told apart by an id: the classifier judges them by
-their text (rows are scored one by one), line dedup leaves them as they are, and
-the near-duplicate stage keeps all of them.
+their text (rows are scored one by one), line dedup leaves them as they are, the
+near-duplicate stage keeps all of them, and decontamination judges each by its text.
 """
 
 from __future__ import annotations
