@@ -86,3 +86,13 @@ def test_empty_table_and_no_python_on_rows(spark):
     assert L.classes(df).collect() == [] and L.dedup(df).collect() == []
     plan = L.keys(L.lines(df), 2)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_copies_are_counted_and_stay(spark):
+    rows = [(3, "Read more\n\nCookie settings"), (1, "Read more\nRead mora"), (2, "x\nRead more\n"), (None, "Read more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.n_copies, r.n_links, r.kept) for r in L.classes(df).collect()}
+    places = [(d, i, x) for d, t in rows if d is not None for i, x in enumerate(t.split("\n"))]
+    assert got == {(d, i): (*min(p[:2] for p in places if p[2] == x), sum(p[2] == x for p in places), 0, True) for d, i, x in places}
+    assert got[3, 0] == (1, 0, 3, 0, True)
+    assert sorted((r.doc_id or 0, r.text) for r in L.dedup(df).collect()) == sorted((d or 0, t) for d, t in rows)

@@ -12,8 +12,10 @@ whatever their number. Links between different lines join them into classes; of
 a class, the first line by (doc_id, line_no) is kept.
 
 Defined results
-  null or empty text: one empty line; lines shorter than ``min_chars`` are always
-  kept and never compared; documents with a null id are left as they are and
+  null or empty text: one empty line; lines of every length, empty ones too, are
+  classed and counted with their exact copies; lines shorter than ``min_chars``
+  have no other links and are all kept, copies too: list marks, headings and
+  names stand often with good reason, and ``n_copies`` shows them; documents with a null id are left as they are and
   compared with nothing; rows with equal ids share line places, and a place that
   is a class's first is kept in all of them; equal places with different lines
   are separate entries; an empty table gives no rows. Only the id and text
@@ -131,12 +133,13 @@ def classes(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     """(doc_id, line_no, class_doc_id, class_line_no, n_copies, n_links, kept) of every line.
 
     The class is named by its first line; n_copies counts the places of the same
-    line, n_links the different lines linked to it.
+    line, n_links the different lines linked to it. Lines under ``min_chars`` are
+    all kept.
     """
     rows = lines(docs)
     slim = materialise(rows.select("doc_id", "line_no", "a", "b", (F.length("line") >= min_chars).alias("long")), "line-places")
     near = links(rows, edits, min_chars)
-    first = (slim.where("long").groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n_copies")))
+    first = slim.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n_copies"))
     ends = near.select("a1", "b1").unionByName(near.select(F.col("a2").alias("a1"), F.col("b2").alias("b1")))
     # nodes of the link graph are the first hash alone; lines that agree in it only would have to collide in 64 bits
     comp = connected_components(near.select(F.col("a1").alias("a"), F.col("a2").alias("b")), "line-cc")
@@ -146,11 +149,8 @@ def classes(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     of_class = named.where("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
     named = named.join(of_class, "component", "left").select("a", "b", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_first", "first").alias("c"))
     place = F.struct("doc_id", "line_no")
-    judged = slim.where("long").join(named, ["a", "b"]).select(
-        "doc_id", "line_no", F.col("c.doc_id").alias("class_doc_id"), F.col("c.line_no").alias("class_line_no"), "n_copies", "n_links", (place == F.col("c")).alias("kept"))
-    alone = slim.where("not long").select("doc_id", "line_no", F.col("doc_id").alias("class_doc_id"), F.col("line_no").alias("class_line_no"),
-                                          F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
-    return judged.unionByName(alone)
+    return slim.join(named, ["a", "b"]).select(
+        "doc_id", "line_no", F.col("c.doc_id").alias("class_doc_id"), F.col("c.line_no").alias("class_line_no"), "n_copies", "n_links", (~F.col("long") | (place == F.col("c"))).alias("kept"))
 
 
 def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
