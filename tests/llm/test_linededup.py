@@ -96,3 +96,11 @@ def test_short_copies_are_counted_and_stay(spark):
     assert got == {(d, i): (*min(p[:2] for p in places if p[2] == x), sum(p[2] == x for p in places), 0, True) for d, i, x in places}
     assert got[3, 0] == (1, 0, 3, 0, True)
     assert sorted((r.doc_id or 0, r.text) for r in L.dedup(df).collect()) == sorted((d or 0, t) for d, t in rows)
+
+
+def test_rows_of_one_id_lose_their_own_lines_only(spark):
+    copy, alone, other = "this line stands in two documents", "nowhere else is this text to be found", "a third line that has no second place"
+    rows = [(1, copy), (5, alone + "\n" + other), (5, copy + "\n" + other), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in L.dedup(df).collect()), key=str)
+    assert got == sorted([(1, copy), (5, alone + "\n" + other), (5, other), (5, None)], key=str)

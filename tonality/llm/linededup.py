@@ -18,7 +18,7 @@ Defined results
   names stand often with good reason, and ``n_copies`` shows them; documents with a null id are left as they are and
   compared with nothing; rows with equal ids share line places, and a place that
   is a class's first is kept in all of them; equal places with different lines
-  are separate entries; an empty table gives no rows. Only the id and text
+  are separate entries, and each row loses its own lines only; an empty table gives no rows. Only the id and text
   columns are read for the decision, so other columns may have any name.
 """
 
@@ -32,11 +32,16 @@ from tonality.llm.common import connected_components, materialise
 BROADCAST_ROWS = 1_000_000  # longs sent to every executor; beyond it the join shuffles
 
 
+def line_hash(line: Column) -> tuple[Column, Column]:
+    """128 bits of a line's content."""
+    return F.xxhash64(line), F.xxhash64(F.lit("2"), line)
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line, a, b): every line that is compared, with its 128-bit content hash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    return rows.where("doc_id is not null").select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("2"), "line").alias("b"))
+    return rows.where("doc_id is not null").select("*", *(h.alias(n) for h, n in zip(line_hash(F.col("line")), "ab")))
 
 
 def keys(entries: DataFrame, edits: int) -> DataFrame:
@@ -136,6 +141,11 @@ def classes(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     line, n_links the different lines linked to it. Lines under ``min_chars`` are
     all kept.
     """
+    return _judged(docs, edits, min_chars).drop("a", "b")
+
+
+def _judged(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """The rows of ``classes`` with the hash of their line."""
     rows = lines(docs)
     slim = materialise(rows.select("doc_id", "line_no", "a", "b", (F.length("line") >= min_chars).alias("long")), "line-places")
     near = links(rows, edits, min_chars)
@@ -150,15 +160,20 @@ def classes(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     named = named.join(of_class, "component", "left").select("a", "b", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_first", "first").alias("c"))
     place = F.struct("doc_id", "line_no")
     return slim.join(named, ["a", "b"]).select(
-        "doc_id", "line_no", F.col("c.doc_id").alias("class_doc_id"), F.col("c.line_no").alias("class_line_no"), "n_copies", "n_links", (~F.col("long") | (place == F.col("c"))).alias("kept"))
+        "doc_id", "line_no", F.col("c.doc_id").alias("class_doc_id"), F.col("c.line_no").alias("class_line_no"), "n_copies", "n_links", (~F.col("long") | (place == F.col("c"))).alias("kept"), "a", "b")
 
 
 def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     """The documents with the lines taken out that ``classes`` does not keep; every row and column stays."""
-    gone = classes(docs, edits, min_chars).where("not kept").groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    def named(line_no: Column, a: Column, b: Column) -> Column:
+        return F.concat_ws(":", line_no, a, b)
+
+    # a place and its line: another row of the same id may have another line there
+    gone = (_judged(docs, edits, min_chars).where("not kept").groupBy("doc_id")
+            .agg(F.collect_set(named(F.col("line_no"), F.col("a"), F.col("b"))).alias("gone")))
     gone = gone.select(F.col("doc_id").alias("gone_id"), "gone")
     out = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left")
     split = F.split(docs["text"].cast("string"), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(split, i)), "\n")
+    stay = F.array_except(F.transform(split, lambda x, i: named(i, *line_hash(x))), F.col("gone"))
+    kept = F.array_join(F.transform(stay, lambda x: F.get(split, F.substring_index(x, ":", 1).cast("int"))), "\n")
     return out.select(*[F.when(F.col("gone").isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c] for c in docs.columns])
