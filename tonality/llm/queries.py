@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonality.llm import bpe, decontam, exactspans, langid, licenses, linededup, ordinal, quality, simhash, toxicity
+from tonality.llm import bpe, chatwindows, decontam, exactspans, langid, licenses, linededup, ordinal, periodic, quality, simhash, toxicity, whitening
 from tonality.llm.common import table
 
 
@@ -55,7 +55,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chatwindows.read_back(chatwindows.windows(chatwindows.with_control_conversation(table(spark, sf_dir, "conversations")), budget=512, history=128))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summary(periodic.with_planted_period(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_suffix_array_dedup, op3_line_dedup, op4_quality_rules, op5_bpe_codec, op6_quality_classifier, op7_toxicity, op8_simhash_near_dedup, op9_language_id, op10_license_scan,
+    op11_chat_formatting, op12_embedding_whitening, op13_periodic_runs,
 )}
 ORACLE: dict[str, str] = {}
