@@ -9,7 +9,6 @@ built-in expressions, so it runs inside whole-stage code generation.
 
 from __future__ import annotations
 
-import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -62,10 +61,21 @@ def container_text(c, cls: str) -> Column:
     return F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda s: s["text"])
 
 
-def _entity_names() -> Column:
-    names = {ent[1:-1]: ch for ent, ch in R.HTML_ENTITIES}  # the frequent ones first
-    names |= {k[:-1]: v for k, v in html5.items() if k.endswith(";") and k[:-1] not in names}
-    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+def _rare_names() -> str:
+    """Every HTML 5 name that is not among the frequent ones, as one text to search: U+0001 name U+0002 characters U+0001 ..."""
+    frequent = {ent[1:-1] for ent, _ in R.HTML_ENTITIES}
+    return "\x01" + "\x01".join(f"{k[:-1]}\x02{v}" for k, v in html5.items() if k.endswith(";") and k[:-1] not in frequent) + "\x01"
+
+
+def _named(name: Column) -> Column:
+    """The characters of a reference's name: the frequent names by comparison, the others by one search; null if there is none."""
+    table = F.lit(_rare_names())
+    at = F.instr(table, F.concat(F.lit("\x01"), name, F.lit("\x02")))
+    found = F.substring_index(F.substr(table, at + F.length(name) + 2), "\x01", 1)
+    out = F.when(F.lit(False), F.lit(""))
+    for ent, ch in R.HTML_ENTITIES:
+        out = out.when(name == ent[1:-1], F.lit(ch))
+    return out.otherwise(F.when(at > 0, found))
 
 
 def decode_entities(c) -> Column:
@@ -75,7 +85,7 @@ def decode_entities(c) -> Column:
         code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(name.startswith("#"), F.substr(name, F.lit(2))).cast("int")
         valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        text = F.when(name.startswith("#"), F.when(valid, char)).otherwise(F.element_at(_entity_names(), name))
+        text = F.when(name.startswith("#"), F.when(valid, char)).otherwise(_named(name))
         return F.when((i == 0) | (name == "") | text.isNull(), F.concat(F.when(i == 0, "").otherwise("&"), x)).otherwise(F.concat(text, F.substr(x, F.length(name) + 2)))
 
     t = _c(c)
@@ -92,31 +102,33 @@ def clean_html(c) -> Column:
     return F.regexp_replace(F.regexp_replace(_c(c), NOISE_RE, ""), P_OPEN_RE, "</p>$1")
 
 
-def paragraphs(c, pattern: str = PARA_RE) -> Column:
-    """Array of paragraph texts (C12 step)."""
-    return F.transform(F.regexp_extract_all(clean_html(c), F.lit(pattern), 1), inner_text)
+def _bodies(cleaned: Column, pattern: str = PARA_RE) -> Column:
+    return F.regexp_extract_all(cleaned, F.lit(pattern), 1)
 
 
-def _join(paras: Column, limit: int) -> Column:
-    return F.coalesce(F.substring(F.array_join(paras, " "), 1, limit), F.lit(""))
+def paragraphs(c, pattern: str = PARA_RE) -> Column:
+    """Array of paragraph texts (C12 step)."""
+    return F.transform(_bodies(clean_html(c), pattern), inner_text)
 
 
 def article_text(html, url=None, limit: int = 1000) -> Column:
     """Paragraphs routed by site (scoped container, class-scoped, or
     all), falling back to all paragraphs when the scope finds none; stripped
-    paragraphs joined by a space, first ``limit`` characters."""
-    everything = paragraphs(html)
-    if url is None:
-        return _join(everything, limit)
-    chosen = everything
-    for fragment, kind, cls in reversed(R.ARTICLE_SCOPES):
-        if kind == "class":
-            scoped = paragraphs(html, class_para_re(cls))
-        else:
-            scoped = paragraphs(container_text(clean_html(html), cls))
-        scoped = F.when(F.size(scoped) > 0, scoped).otherwise(everything)
-        chosen = F.when(_c(url).contains(fragment), scoped).otherwise(chosen)
-    return _join(chosen, limit)
+    paragraphs joined by a space, first ``limit`` characters.
+
+    The cleaned page and a scope's paragraphs are bound once (a one-element array), and entities are decoded
+    after the choice, so neither the regexes nor the table of names stand in the plan once a branch.
+    """
+    def chosen(cleaned):
+        out = _bodies(cleaned)
+        for fragment, kind, cls in reversed(R.ARTICLE_SCOPES):
+            scoped = _bodies(cleaned, class_para_re(cls)) if kind == "class" else _bodies(container_text(cleaned, cls))
+            scoped = F.transform(F.array(scoped), lambda s: F.when(F.size(s) > 0, s).otherwise(_bodies(cleaned)))[0]
+            out = F.when(_c(url).contains(fragment), scoped).otherwise(out)
+        return out
+
+    bodies = _bodies(clean_html(html)) if url is None else F.transform(F.array(clean_html(html)), chosen)[0]
+    return F.coalesce(F.substring(F.array_join(F.transform(bodies, inner_text), " "), 1, limit), F.lit(""))
 
 
 def page_title(html) -> Column:

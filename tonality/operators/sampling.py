@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonality import registry as R
+from tonality.session import ensure_checkpoint_dir
 
 HASH_COL = "_h"
 BUCKET_COL = "_b"
@@ -136,13 +137,14 @@ def hash_cuts(df: DataFrame, id_col: str, group_col: str, want: Column, seed: in
     """Per group, the last (hash, id) that belongs to the first ``want`` rows
     of the seeded order: ``group_col, _cut_h, _cut_id`` (null: no row does).
 
-    Rows are counted per hash bucket (partial counts, ids and groups only),
+    The input is read once: id, group and hash of its rows go to the checkpoint folder. Rows are counted per hash bucket (partial counts, ids and groups only),
     a running sum finds the bucket that holds the cut, and only that bucket's
     rows are ranked. ``want`` may use ``_n``, the group's row count, and
     ``_all``, an array of (group, count) of all groups.
     """
     d = df.select(F.col(group_col).alias("_g"), F.col(id_col).alias("_id"), seeded_hash(id_col, seed).alias("_hash"))
-    d = d.withColumn("_bucket", F.substring("_hash", 1, CUT_DIGITS))
+    ensure_checkpoint_dir(df.sparkSession)
+    d = d.withColumn("_bucket", F.substring("_hash", 1, CUT_DIGITS)).checkpoint(eager=True)
     counts = d.groupBy("_g", "_bucket").agg(F.count(F.lit(1)).alias("_k"))
     total = counts.groupBy("_g").agg(F.sum("_k").alias("_n"))
     total = total.crossJoin(total.agg(F.collect_list(F.struct(F.col("_g").alias("g"), F.col("_n").alias("n"))).alias("_all")))  # one row a group
@@ -166,8 +168,8 @@ def _before_cut(df: DataFrame, id_col: str, seed: int) -> Column:
 def split_exact(df: DataFrame, id_col: str = "id", group_col: str = "dataset", ratio=0.8,
                 seed: int = R.SEED, split_col: str = "split") -> DataFrame:
     """Per group, the first ``floor(n * ratio)`` rows of the seeded order
-    are ``train``, the rest ``test``. ``ratio`` may be a column (per-dataset
-    ratios). The split is assigned before any label filtering, as in the
+    are ``train``, the rest ``test``. ``ratio`` may be a column or a dict
+    (per-dataset ratios; groups that a dict lacks go to ``test``). The split is assigned before any label filtering, as in the
     original, so the ratio holds on the unfiltered rows.
 
     Rows with the same id go to the same side. The rows themselves are not shuffled: each is compared with its group's
@@ -175,8 +177,11 @@ def split_exact(df: DataFrame, id_col: str = "id", group_col: str = "dataset", r
     """
     if isinstance(ratio, str):
         ratios = df.groupBy(F.col(group_col).alias("_rg")).agg(F.max(F.col(ratio).cast("double")).alias("r"))
-        ratios = ratios.agg(F.map_from_entries(F.collect_list(F.struct("_rg", "r")))).first()[0] or {}  # one entry a dataset
+        ratio = ratios.agg(F.map_from_entries(F.collect_list(F.struct("_rg", "r")))).first()[0] or {}  # one entry a dataset
+    if isinstance(ratio, dict):
+        ratios = {k: float(v) for k, v in ratio.items()}
         r = F.create_map(*[x for k, v in ratios.items() for x in (F.lit(k), F.lit(v))])[F.col("_g")] if ratios else F.lit(0.0)
+        r = F.coalesce(r, F.lit(0.0))
     else:
         r = F.lit(float(ratio))
     cuts = hash_cuts(df, id_col, group_col, F.floor(F.col("_n").cast("double") * r), seed)

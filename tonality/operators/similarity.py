@@ -8,8 +8,9 @@ Overlap join (token-set overlap coefficient > t)
     the other, restricted to "prefix side is the smaller set". Prefixes are
     ordered by frequency on the other side, so hot tokens ("the") almost
     never drive the candidate join; where they do, AQE's skew join splits the
-    hot partition. The corpus is tokenised once; only its tokens that occur in
-    a query are written, and the shared tokens of candidates are counted there.
+    hot partition. No token row of the corpus is written: its tokens are probed
+    where they are read, what is written are candidate pairs, and only the
+    candidates' texts are read again to count shared tokens.
 
 Exact k-NN (squared L2)
     Pivot cells with the triangle inequality: a query visits only the cells
@@ -93,39 +94,44 @@ def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if (df.agg(F.sum(size + 16)).first()[0] or 0) <= max_bytes else df
 
 
-def overlap_candidates(q_rows: DataFrame, c_hits: DataFrame, threshold: float) -> DataFrame:
+ORDER_SAMPLE = 50_000  # corpus rows whose tokens set the order of query prefixes; any order gives the same pairs
+
+
+def query_frequencies(queries: DataFrame, contexts: DataFrame, c_id: str, c_text: str, vocab: DataFrame) -> DataFrame:
+    """(token, df): how many of about ``ORDER_SAMPLE`` corpus rows (by hash) hold each token of the query vocabulary.
+
+    The order of prefixes decides how many candidates are checked, never which pairs are found.
+    """
+    n = contexts.count()
+    some = contexts if n <= ORDER_SAMPLE else contexts.where(F.pmod(F.xxhash64(c_id), F.lit(1 << 30)) < int(ORDER_SAMPLE / n * (1 << 30)))
+    return _frequencies(token_rows(some, c_id, c_text).join(checked_broadcast(vocab), "token", "left_semi"))
+
+
+def overlap_candidates(q_rows: DataFrame, q_pre: DataFrame, vocab: DataFrame, c_rows: DataFrame, threshold, per_row: bool = False) -> DataFrame:
     """Distinct (q_sid, c_sid) pairs that survive the prefix filter.
 
     The smaller set of a pair must hit the other set with one of its first
     ``m - floor(t*m)`` tokens. Any fixed token order is valid for this, so each
     side is ordered by frequency on the *other* side (rare hits first):
 
-    * query sets, ordered by corpus frequency, join the corpus tokens (pairs
-      where the query is the smaller set);
+    * query prefixes (``q_pre``: q_sid, q_size, token) probe the corpus tokens where they are read (pairs where the query is the
+      smaller set); only hits leave the scan;
     * only corpus sets smaller than the largest query can be the smaller set
       of a pair, so only those get a prefix (ordered by query frequency) and
       join all query tokens.
 
-    ``c_hits`` holds the corpus tokens that occur in a query. It may carry a
-    per-row ``threshold`` column; corpus prefixes then use their own threshold
-    and query prefixes the smallest one (a longer prefix, so a superset of the
-    candidates).
+    With ``per_row`` the corpus rows carry a ``threshold`` column for their own prefixes.
     """
-    per_row = "threshold" in c_hits.columns
-    q_t = (c_hits.agg(F.min("threshold")).first()[0] if per_row else threshold)
-    q_t = threshold if q_t is None else q_t
-    q_pre = materialize(_with_prefix(q_rows, _frequencies(c_hits), q_t)
-                        .select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token"))
     # every non-empty query set has a prefix row, so this is the largest query
     q_max = q_pre.agg(F.max("q_size")).first()[0] or 0
-    a = (c_hits.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
+    a = (c_rows.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
                .join(checked_broadcast(q_pre), "token")
                .where(F.col("q_size") <= F.col("c_size")))
-    c_small = c_hits.where(F.col("set_size") < F.lit(q_max))
+    c_small = c_rows.where(F.col("set_size") < F.lit(q_max)).join(checked_broadcast(vocab), "token", "left_semi")
     c_pre = _with_prefix(c_small, _frequencies(q_rows), F.col("threshold") if per_row else threshold, hits_only=True)
     q_all = q_rows.select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token")
     b = (c_pre.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("c_size"), "token")
-              .join(q_all, "token")
+              .join(checked_broadcast(q_all), "token")
               .where(F.col("c_size") < F.col("q_size")))
     return a.select("q_sid", "c_sid").unionByName(b.select("q_sid", "c_sid")).distinct()
 
@@ -138,32 +144,34 @@ def overlap_join(queries: DataFrame, contexts: DataFrame, q_id: str, c_id: str,
     ``score='overlap'`` is |A∩B|/min(|A|,|B|) (0 for an empty side);
     ``score='similarity'`` adds 1e-6 to the denominator. Output columns:
     ``q_id, c_id, n_shared, score``. With ``threshold_col`` every context row
-    brings its own threshold (strict ``>`` against it).
+    brings its own threshold (strict ``>`` against it); query prefixes then use the smallest one (a longer
+    prefix, so a superset of the candidates).
 
-    The corpus is read and tokenised once. Of its tokens only those that occur
-    in a query are written; shared tokens are among them, so candidates
-    are found and counted from these rows alone. ``c_id`` and ``q_id`` are unique.
+    What is written: the queries' tokens, candidate pairs, and nothing of the corpus. Candidates' texts
+    are read again and tokenised to count shared tokens. ``c_id`` and ``q_id`` are unique.
     """
     q_rows = materialize(token_rows(queries, q_id, q_text))
     vocab = materialize(q_rows.select("token").distinct())
+    extra = ()
     if threshold_col:
-        c_rows = token_rows(contexts.withColumn("threshold", F.col(threshold_col).cast("double")), c_id, c_text,
-                            ("threshold",))
-    else:
-        c_rows = token_rows(contexts, c_id, c_text)
-    c_hits = materialize(c_rows.join(checked_broadcast(vocab), "token", "left_semi"))
-    cand = materialize(overlap_candidates(q_rows, c_hits, threshold))
+        contexts, extra = contexts.withColumn("threshold", F.col(threshold_col).cast("double")), ("threshold",)
+        least = contexts.agg(F.min("threshold")).first()[0]
+    q_t = threshold if not threshold_col or least is None else least
+    order = query_frequencies(queries, contexts, c_id, c_text, vocab)
+    q_pre = materialize(_with_prefix(q_rows, order, q_t).select(F.col("sid").alias("q_sid"), F.col("set_size").alias("q_size"), "token"))
+    c_rows = token_rows(contexts, c_id, c_text, extra)
+    cand = materialize(overlap_candidates(q_rows, q_pre, vocab, c_rows, threshold, bool(threshold_col)))
     thr = F.col("threshold") if threshold_col else F.lit(float(threshold))
-    mine = c_hits.select(F.col("sid").alias("c_sid"), F.col("set_size").alias("_nc"), "token", thr.alias("_thr"))
-    theirs = q_rows.select(F.col("sid").alias("q_sid"), F.col("set_size").alias("_nq"), "token")
-    pairs = (mine.join(checked_broadcast(cand), "c_sid").join(checked_broadcast(theirs), ["q_sid", "token"])
-             .groupBy("q_sid", "c_sid").agg(F.count(F.lit(1)).cast("int").alias("n_shared"), F.first("_nq").alias("_nq"),
-                                            F.first("_nc").alias("_nc"), F.first("_thr").alias("_thr")))
-    m = F.least("_nq", "_nc")
+    held = checked_broadcast(cand.select(F.col("c_sid").alias(c_id)).distinct())
+    sets = contexts.join(held, c_id, "left_semi").select(F.col(c_id).alias("c_sid"), token_set(F.col(c_text)).alias("_ct"), thr.alias("_thr"))
+    asked = queries.join(checked_broadcast(cand.select(F.col("q_sid").alias(q_id)).distinct()), q_id, "left_semi")
+    asked = asked.select(F.col(q_id).alias("q_sid"), token_set(F.col(q_text)).alias("_qt"))
+    pairs = sets.join(checked_broadcast(cand), "c_sid").join(asked, "q_sid").select(
+        "q_sid", "c_sid", F.size(F.array_intersect("_qt", "_ct")).alias("n_shared"), F.least(F.size("_qt"), F.size("_ct")).alias("_m"), "_thr")
     if score == "overlap":
-        sc = F.when(m > 0, F.col("n_shared") / m).otherwise(F.lit(0.0))
+        sc = F.when(F.col("_m") > 0, F.col("n_shared") / F.col("_m")).otherwise(F.lit(0.0))
     else:
-        sc = F.col("n_shared") / (m + F.lit(1e-6))
+        sc = F.col("n_shared") / (F.col("_m") + F.lit(1e-6))
     out = pairs.select(F.col("q_sid").alias(q_id), F.col("c_sid").alias(c_id), "n_shared", sc.alias("score"), "_thr")
     return out.where(F.col("score") > F.col("_thr")).drop("_thr")
 
@@ -180,14 +188,21 @@ def _vectors(column):
     return np.asarray(np.stack(column.to_numpy()), dtype=np.float64)
 
 
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of ``a`` to all rows of ``b`` by one matrix product; see ``_slack`` for its error."""
+    d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
+    return np.maximum(d, 0.0, out=d)
+
+
+def _slack(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bound, a row of ``a``, on the rounding error of ``_squares``."""
+    most = float((b * b).sum(axis=1).max(initial=0.0))
+    return 8 * np.finfo(float).eps * (a.shape[1] + 4) * ((a * a).sum(axis=1) + most)
+
+
 def _to_pivots(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Euclidean distance of every row to every pivot, a bounded slice at a time."""
-    out = np.empty((len(v), len(pivots)))
-    step = max(1, (1 << 22) // max(1, pivots.size))
-    for s in range(0, len(v), step):
-        diff = v[s:s + step, None, :] - pivots[None, :, :]
-        out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-    return out
+    """Euclidean distance of every row to every pivot (rounding is covered by the margin of ``_reach_cells``)."""
+    return np.sqrt(_squares(v, pivots) + _slack(v, pivots)[:, None])
 
 
 def _assign_cells(contexts: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -207,7 +222,8 @@ def _reach_cells(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, cou
 
     The cells taken in order of (distance to pivot + radius) hold ``k`` contexts
     within the last one's sum, which bounds the k-th distance. A cell whose
-    contexts are all farther, by the triangle inequality, is skipped.
+    contexts are all farther, by the triangle inequality, is skipped (pivot distances are rounded
+    by up to 1e-6 of a unit vector's length, hence the margin).
     """
     def run(frames):
         for f in frames:
@@ -219,7 +235,9 @@ def _reach_cells(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, cou
             enough = (np.cumsum(count[order], axis=1) >= k).argmax(axis=1)
             reached = np.cumsum(count[order], axis=1)[:, -1] >= k
             bound = np.where(reached, np.take_along_axis(far, order, axis=1)[np.arange(len(f)), enough], np.inf) * (1 + 1e-9) + 1e-12
-            q, cell = np.nonzero((d - radius <= bound[:, None]) & (count > 0))
+            margin = 2 * np.sqrt(_slack(_vectors(f["qv"]), pivots))
+            bound = bound + margin
+            q, cell = np.nonzero((d - radius <= bound[:, None] + margin[:, None]) & (count > 0))
             yield pd.DataFrame({"q_id": f["q_id"].to_numpy()[q], "qv": f["qv"].to_numpy()[q], "cell": cell.astype("int32"), "bound": bound[q]})
 
     return queries.mapInPandas(run, "q_id long, qv array<float>, cell int, bound double")
@@ -234,18 +252,20 @@ def _block_topk(k: int, exclude_self: bool):
             cdf = cdf.sort_values("c_id")  # a stable order by distance then breaks ties by id
             qv, cv, cids = _vectors(qdf["qv"]), _vectors(cdf["cv"]), cdf["c_id"].to_numpy()
             qids, bound = qdf["q_id"].to_numpy(), qdf["bound"].to_numpy() ** 2
-            step = max(1, (1 << 22) // cv.size)
+            step = max(1, (1 << 22) // len(cv))
             for s in range(0, len(qv), step):
-                diff = qv[s:s + step, None, :] - cv[None, :, :]
-                d = np.einsum("ijk,ijk->ij", diff, diff)
+                d, slack = _squares(qv[s:s + step], cv), _slack(qv[s:s + step], cv)[:, None]
                 if exclude_self:
                     d[qids[s:s + step, None] == cids[None, :]] = np.inf
-                d[d > bound[s:s + step, None]] = np.inf
-                if k < d.shape[1]:  # everything up to the k-th distance, then cut in order of (distance, id)
+                d[d > bound[s:s + step, None] + slack] = np.inf
+                if k < d.shape[1]:  # everything that may be up to the k-th distance; exact distances decide below
                     kth = np.partition(d, k - 1, axis=1)[:, k - 1]
-                    d[d > kth[:, None]] = np.inf
+                    d[d > kth[:, None] + 2 * slack] = np.inf
                 rows, cols = np.nonzero(np.isfinite(d))
-                dist = d[rows, cols]
+                dist = np.empty(len(rows))
+                for at in range(0, len(rows), 1 << 16):
+                    diff = qv[s + rows[at:at + (1 << 16)]] - cv[cols[at:at + (1 << 16)]]
+                    dist[at:at + (1 << 16)] = np.einsum("ij,ij->i", diff, diff)
                 order = np.lexsort((cols, dist, rows))
                 rows, cols, dist = rows[order], cols[order], dist[order]
                 place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")

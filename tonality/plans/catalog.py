@@ -370,4 +370,4 @@ def scan_pages(spark, sf):
 # the rest of the catalog (sampling, joins, retrieval, evaluation, sources)
 from tonality.plans import catalog_more  # noqa: E402,F401
 
-from tonality.plans import catalog_retrieval  # noqa: E402,F401
+from tonality.plans import catalog_retrieval, catalog_samples  # noqa: E402,F401

@@ -43,9 +43,10 @@ def dataset_specs(spark: SparkSession, sf_dir: str) -> list[R.DatasetSpec]:
 def split_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dataset read, labels normalised per label type (unmapped numeric
     codes become ``unmapped``), seeded exact split per dataset."""
-    d = io.read_multi(spark, dataset_specs(spark, sf_dir))
+    specs = dataset_specs(spark, sf_dir)
+    d = io.read_multi(spark, specs)
     d = d.withColumn("output", F.coalesce(F.col("label"), F.lit("unmapped")))
-    return S.split_exact(d, "id", "dataset", "train_ratio")
+    return S.split_exact(d, "id", "dataset", {s.name: s.train_ratio for s in specs})
 
 
 def instruction_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
