@@ -82,8 +82,8 @@ def range_bounds(df: DataFrame, order_col: str, per_bucket: int = ROWS_PER_BUCKE
     between neighbours (equal values cannot be parted).
 
     An even histogram over the range is refined where it is dense: each round
-    counts rows per bucket and cuts every bucket above the target into twice
-    as many parts as its count asks for. The driver holds one number a bucket.
+    counts rows per bucket and cuts the span of values in every bucket above the target into twice
+    as many parts as its count asks for; a bucket of one value is left. The driver holds one number a bucket.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -94,14 +94,13 @@ def range_bounds(df: DataFrame, order_col: str, per_bucket: int = ROWS_PER_BUCKE
     parts = max(2, min(1 << 16, 2 * (n // per_bucket + 1)))
     splits = sorted({low + (high - low) * i / parts for i in range(1, parts)})
     while True:
-        cut = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ord_d", outputCol="_ord_b", handleInvalid="keep")
-        dense = cut.transform(df.select(c)).groupBy("_ord_b").count().where(F.col("count") > per_bucket).collect()
-        edges, more = [low, *splits, high], set()
+        cut = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ord_d", outputCol="_ord_b", handleInvalid="skip")
+        dense = (cut.transform(df.select(c)).groupBy("_ord_b").agg(F.count(F.lit(1)).alias("n"), F.min("_ord_d").alias("a"), F.max("_ord_d").alias("b"))
+                 .where((F.col("n") > per_bucket) & (F.col("a") < F.col("b"))).collect())  # one value alone cannot be parted
+        more = set()
         for r in dense:
-            k = int(r["_ord_b"]) if r["_ord_b"] is not None else len(splits) + 1
-            if k < len(edges) - 1 and edges[k] < edges[k + 1]:
-                m = 2 * (r["count"] // per_bucket + 1)
-                more |= {x for i in range(m) if edges[k] < (x := edges[k] + (edges[k + 1] - edges[k]) * i / m) < edges[k + 1]}
+            m = 2 * (r["n"] // per_bucket + 1)
+            more |= {x for i in range(1, m + 1) if r["a"] < (x := r["a"] + (r["b"] - r["a"]) * i / m)}
         if not more - set(splits):
             return splits
         splits = sorted(set(splits) | more)
