@@ -108,8 +108,9 @@ def marks(parts: Column) -> Column:
 
 
 def _alike(edits: int) -> Column:
-    """Necessary for few edits: an edit changes the parity of at most three words and two characters."""
-    return ((F.bit_count(F.col("w1").bitwiseXOR(F.col("w2"))) <= 3 * edits) & (F.bit_count(F.col("c1").bitwiseXOR(F.col("c2"))) <= 2 * edits))
+    """Necessary for few edits: an edit changes the parity of at most three words, two characters and four pairs of neighbours."""
+    differ = lambda m: F.bit_count(F.col(f"{m}1").bitwiseXOR(F.col(f"{m}2")))
+    return (differ("w") <= 3 * edits) & (differ("c") <= 2 * edits) & (differ("g") <= 4 * edits)
 
 
 def links(rows: DataFrame, edits: int, min_chars: int) -> DataFrame:
@@ -122,10 +123,11 @@ def links(rows: DataFrame, edits: int, min_chars: int) -> DataFrame:
     hits = materialise(made.join(_sized(shared), "key", "left_semi").distinct(), "line-hits")
     need = materialise(hits.select("a").distinct(), "line-need")
     texts = long.select("a", "b", "line").join(_sized(need), "a", "left_semi").groupBy("a", "b").agg(F.first("line").alias("line"))
-    texts = materialise(texts.withColumn("w", marks(F.split("line", " ", -1))).withColumn("c", marks(F.split("line", ""))), "line-texts")
-    marked = hits.join(texts.select("a", "b", "w", "c"), "a")
-    left = marked.where("indexed").select("key", F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("w").alias("w1"), F.col("c").alias("c1"))
-    right = marked.select("key", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("w").alias("w2"), F.col("c").alias("c2"))
+    neighbours = F.expr("transform(array(split(line, '')), x -> zip_with(slice(x, 1, size(x) - 1), slice(x, 2, size(x) - 1), (p, q) -> concat(p, q)))[0]")
+    texts = materialise(texts.withColumn("w", marks(F.split("line", " ", -1))).withColumn("c", marks(F.split("line", ""))).withColumn("g", marks(neighbours)), "line-texts")
+    marked = hits.join(texts.drop("line"), "a")
+    left = marked.where("indexed").select("key", *[F.col(x).alias(x + "1") for x in "abwcg"])
+    right = marked.select("key", *[F.col(x).alias(x + "2") for x in "abwcg"])
     pairs = (left.join(right, "key").where(((F.col("a1") != F.col("a2")) | (F.col("b1") != F.col("b2"))) & _alike(edits))
              .select(*[F.when(F.struct("a1", "b1") < F.struct("a2", "b2"), F.col(x)).otherwise(F.col(y)).alias(n)
                        for n, x, y in (("a1", "a1", "a2"), ("b1", "b1", "b2"), ("a2", "a2", "a1"), ("b2", "b2", "b1"))]).distinct())
@@ -174,6 +176,7 @@ def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     gone = gone.select(F.col("doc_id").alias("gone_id"), "gone")
     out = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left")
     split = F.split(docs["text"].cast("string"), "\n", -1)
-    stay = F.array_except(F.transform(split, lambda x, i: named(i, *line_hash(x))), F.col("gone"))
+    # columns are taken from their own frame: ``docs`` may have columns of the same names
+    stay = F.array_except(F.transform(split, lambda x, i: named(i, *line_hash(x))), gone["gone"])
     kept = F.array_join(F.transform(stay, lambda x: F.get(split, F.substring_index(x, ":", 1).cast("int"))), "\n")
-    return out.select(*[F.when(F.col("gone").isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c] for c in docs.columns])
+    return out.select(*[F.when(gone["gone"].isNull(), docs["text"]).otherwise(kept).alias("text") if c == "text" else docs[c] for c in docs.columns])
