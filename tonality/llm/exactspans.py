@@ -38,7 +38,7 @@ REACH = 192        # first positions of a window in which its anchor lies
 PIECE = 1 << 20    # positions hashed at a time
 BATCH = 20_000     # contexts in one suffix array
 HOT = 20_000       # contexts of a key beyond which they are counted offset by offset
-BLOCK = 8          # bytes of a symbol
+BLOCK = 32         # bytes of a symbol: a row is a handful of symbols, so the grouping has few to order
 
 
 def position_hashes(raw: bytes):
@@ -111,8 +111,8 @@ def _classes(keys, rows, real):
     blocks = -(-width // BLOCK)
     padded = np.zeros((n, blocks * BLOCK), dtype=np.uint8)
     padded[:, :width] = rows
-    # symbols of a row: its key, its blocks (big-endian, so that numbers order like bytes), its real length
-    values = padded.view(">u8").astype(np.uint64).reshape(n, blocks)
+    # symbols of a row: its key, its blocks (byte strings, which order as the bytes do), its real length
+    values = padded.view(f"S{BLOCK}").reshape(n, blocks)
     _, symbol = np.unique(values, return_inverse=True)
     _, key = np.unique(keys, return_inverse=True)
     text = np.hstack([key.reshape(n, 1), symbol.reshape(n, blocks), real.reshape(n, 1)]).astype(np.int64) + 1
