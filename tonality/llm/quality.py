@@ -50,12 +50,10 @@ def text_counts(docs: DataFrame) -> DataFrame:
     for k in (1, 2, 4):
         pair = f"zip_with(slice(h, 1, size(h) - {k}), slice(h, {k + 1}, size(h) - {k}), (x, y) -> xxhash64(x, y))"
         b = b.withColumn("h", F.expr(f"if(size(h) > {k}, {pair}, array())"))
-    c = b.withColumn("again", F.expr("size(array_distinct(h)) < size(h)")).withColumn("p", F.expr("length(bin(size(h)))"))
-    # the high bits of a window's hash and its place in one long: sorting brings equal windows together
-    c = c.withColumn("h", F.expr("if(again, sort_array(transform(h, (x, i) -> (shiftleft(x, p) | i))), array())"))
-    c = c.withColumn("at", F.expr(
-        "sort_array(filter(transform(h, (x, i) -> if((i > 0 and shiftright(get(h, i - 1), p) = shiftright(x, p))"
-        " or (shiftright(get(h, i + 1), p) <=> shiftright(x, p)), x & (shiftleft(1L, p) - 1), -1L)), x -> x >= 0))"))
+    c = b.withColumn("again", F.expr("size(array_distinct(h)) < size(h)"))
+    # a window's whole hash beside its place: sorting brings equal windows together
+    c = c.withColumn("h", F.expr("if(again, sort_array(transform(h, (x, i) -> struct(x as x, cast(i as bigint) as i))), array())"))
+    c = c.withColumn("at", F.expr("sort_array(transform(filter(h, (w, k) -> (k > 0 and get(h, k - 1).x = w.x) or coalesce(get(h, k + 1).x = w.x, false)), w -> w.i))"))
     c = c.withColumn("n_repeat_words", F.expr(
         f"aggregate(transform(at, (x, i) -> if(i = 0, {WINDOW}L, least({WINDOW}L, x - get(at, i - 1)))), 0L, (s, x) -> s + x)"))
     n = F.greatest("n_words", F.lit(1))
