@@ -99,3 +99,11 @@ def test_run_together_names():
     for text, label in (("Licensed under GPLv3.", "gpl-3.0"), ("Licensed under GPLv2.", "gpl-2.0"), ("MPLv2", "mpl-2.0"), ("under the AGPLv3", "agpl-3.0"),
                         ("AGPL v3", "agpl-3.0"), ("Open Data Commons Attribution License", "odc-by-1.0")):
         assert S.scan_text(text)["labels"] == label, text
+
+
+def test_words_end_at_spaces_only():
+    """Every character that can stand in a word, right before and after a phrase: the word is another one then."""
+    for c in [chr(x) for x in range(0x80, 0x180)] + list("国日à\u2028\u3000"):
+        for text in (f"voil{c}mit license", f"{c}apache license 2.0", f"mit license{c}", f"{c}gplv3", f"gplv3{c}"):
+            assert S.scan_text(text)["labels"] == "", (c, text)
+    assert S.scan_text("à mit license, 国")["labels"] == "mit"

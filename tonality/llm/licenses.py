@@ -96,7 +96,7 @@ FORMS = (
 class Rule:
     def __init__(self, order: int, label: str, kind: str, weight: float, pattern: str, gates: tuple):
         self.order, self.label, self.kind, self.weight, self.gates = order, label, kind, weight, gates
-        self.find = re.compile(rf"(?<!\S)(?:{pattern})(?!\S)").finditer
+        self.find = re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])").finditer  # words end at a space, whatever bytes they hold
 
 
 @lru_cache(maxsize=1)
