@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 STRETCH = 1 << 16  # characters encoded at a time
-CACHE = 500_000  # words remembered by each of two generations
+CACHE = 100_000  # words remembered by each of two generations (about 25 MB each)
+PAIRS = 1 << 17  # stable pairs remembered (about 20 MB)
 
 
 def byte_letters() -> dict[str, int]:
@@ -100,7 +101,7 @@ class Bpe:
         """No merge joins a piece of ``a``'s right edge to one of ``b``'s left edge while both exist."""
         known = self._stable.get((a, b))
         if known is None:
-            if len(self._stable) > 1 << 20:
+            if len(self._stable) > PAIRS:
                 self._stable.clear()
             known = self._stable[a, b] = self._meet(a, b)
         return known
@@ -212,6 +213,11 @@ class Bpe:
     def encode(self, text: str) -> array:
         return array("I", b"".join(self.pieces(text)))
 
+    def forget(self) -> None:
+        """Empty the caches: Spark's Python workers outlive a task, and a later stage needs the memory."""
+        for cache in (self._old, self._young, self._stable, self._tails):
+            cache.clear()
+
 
 class ByteText:
     """Incremental byte-to-text machine: feeds token bytes, holds at most one unfinished character."""
@@ -257,6 +263,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
             n, ids, texts = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return _texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
@@ -270,6 +277,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             ids = [bpe.encode(t.as_py() or "").tolist() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        bpe.forget()
 
     return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
