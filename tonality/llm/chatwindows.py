@@ -34,6 +34,7 @@ from bisect import bisect_left, bisect_right
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FLUSH = 1 << 22  # characters of windows sent at a time
 COST = 4  # tokens of a turn's marks and role
 START, END = "<|im_start|>", "<|im_end|>\n"
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
@@ -132,10 +133,20 @@ def windows(conversations: DataFrame, budget: int = 4096, history: int = 512, bl
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(),
                  pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
         names = [n.split(" ")[0] for n in WINDOWS.split(", ")]
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+        rows, held = [], 0
         for b in batches:
-            for i in range(b.num_rows):
-                found = list(_format(b.column(0)[i].as_py(), b.column(1)[i].as_py(), budget, history))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
+            for conv, turns in zip(b.column(0), b.column(1)):
+                for row in _format(conv.as_py(), turns.as_py(), budget, history):
+                    rows.append(row)
+                    held += len(row[3])
+                if held >= FLUSH:
+                    yield batch(rows)
+                    rows, held = [], 0
+        if rows:
+            yield batch(rows)
 
     return blocks.mapInArrow(run, WINDOWS)
 
