@@ -26,10 +26,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonality.llm.common import hold
+
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 STRETCH = 1 << 16  # characters encoded at a time
-CACHE = 100_000  # words remembered by each of two generations (about 25 MB each)
-PAIRS = 1 << 17  # stable pairs remembered (about 20 MB)
+CACHE = 400_000  # words remembered by each of two generations (about 100 MB each when full)
+PAIRS = 1 << 20  # stable pairs remembered
 
 
 def byte_letters() -> dict[str, int]:
@@ -214,7 +216,7 @@ class Bpe:
         return array("I", b"".join(self.pieces(text)))
 
     def forget(self) -> None:
-        """Empty the caches: Spark's Python workers outlive a task, and a later stage needs the memory."""
+        """Empty the caches (see ``common.hold``)."""
         for cache in (self._old, self._young, self._stable, self._tails):
             cache.clear()
 
@@ -258,12 +260,12 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         import pyarrow as pa
 
         bpe = load(path)
+        hold("bpe", bpe.forget)
         for b in batches:
             got = [digest(bpe, t.as_py()) for t in b.column(1)]
             n, ids, texts = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        bpe.forget()
 
     return _texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
@@ -274,10 +276,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         import pyarrow as pa
 
         bpe = load(path)
+        hold("bpe", bpe.forget)
         for b in batches:
             ids = [bpe.encode(t.as_py() or "").tolist() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
-        bpe.forget()
 
     return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 

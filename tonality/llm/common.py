@@ -23,6 +23,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def hold(owner: str, forget) -> None:
+    """In a Python worker: caches of ``owner`` stay from task to task, those of other operators are emptied.
+
+    Spark's Python workers outlive a stage, so each operator that keeps a cache calls this when a task begins.
+    """
+    for name in [n for n in _HELD if n != owner]:
+        _HELD.pop(name)()
+    _HELD[owner] = forget
+
+
 def held_out(doc_id: str = "doc_id"):
     """True on the quarter of ids whose crc32(text of id) mod 4 is 2 (null ids: false)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

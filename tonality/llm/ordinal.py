@@ -23,7 +23,7 @@ from zlib import crc32
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonality.llm.common import held_out, labelled_sample
+from tonality.llm.common import held_out, hold, labelled_sample
 
 UPPER = "A"
 DIM = 1 << 15
@@ -134,6 +134,7 @@ def fit(docs: DataFrame, graded: DataFrame, fit_rows: int = 4000, dim: int = DIM
     def run(batches):
         import pyarrow as pa
 
+        hold("ordinal", _word.cache_clear)
         for b in batches:
             got = [features(t.as_py(), dim) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in got], pa.list_(pa.int32())), pa.array([x for _, x in got], pa.list_(pa.float32())), b.column(1)],
@@ -167,6 +168,7 @@ def score(docs: DataFrame, model: CumulativeLink | None, cut: float) -> DataFram
     def run(batches):
         import pyarrow as pa
 
+        hold("ordinal", _word.cache_clear)
         for b in batches:
             got = [one(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([g[k] for g in got], pa.float64()) for k in (0, 1)]], names=["doc_id", "expected_grade", "tail"])
@@ -187,6 +189,7 @@ def select(docs: DataFrame, model: CumulativeLink | None, cut: float, least: flo
     def run(batches):
         import pyarrow as pa
 
+        hold("ordinal", _word.cache_clear)
         above = [k for k, g in enumerate(shared.value.grades) if g >= cut]
         for b in batches:
             keep = [bool(above) and shared.value.tail(t.as_py())[above[0]] >= least for t in b.column(at)]
