@@ -7,10 +7,11 @@ from tonality.plans import fixtures as FX
 from conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapCoGroupsInPandas", "MapInPandas")
-# the only queries allowed to run Python code: the k-NN block scorer and the
-# batch-scoring hook
-PYTHON_OK = {"knn_exact", "retrieval_rank", "retrieve_two_stage", "retrieve_two_stage_k", "topk_contexts", "assemble_context",
-             "rag_prompt", "context_vote", "flagship", "batch_score", "retrieve_embedded"}
+# the queries that may run Python code on rows, each with its reason
+KNN = {"knn_exact", "retrieval_rank", "retrieve_two_stage", "retrieve_two_stage_k", "topk_contexts", "assemble_context",
+       "rag_prompt", "context_vote", "flagship", "retrieve_embedded", "diverse_contexts"}  # block scorer, matrix products
+ANN = {"knn_approximate", "knn_approximate_recall"}  # k-means sums, codes and distance tables are matrix products
+PYTHON_OK = KNN | ANN | {"batch_score"}  # the hook for a caller's model
 
 
 def plan(df):
