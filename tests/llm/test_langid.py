@@ -9,49 +9,78 @@ from tonality.llm import langid as L
 from conftest import SF_SMALL
 
 
-def brute(counts, size, symbols):
-    """Code length by walking the context tree with exclusion, one symbol at a time."""
+def brute(training, probe):
+    """Code length by walking the byte context tree with exclusion, one byte at a time."""
     tree = {}
-    for g, n in counts:
-        s = [g // size ** 3, g // size ** 2 % size, g // size % size, g % size]
-        for k in range(4):
-            tree.setdefault(tuple(s[3 - k:3]), {}).setdefault(s[3], 0)
-            tree[tuple(s[3 - k:3])][s[3]] += n
+    for text in training:
+        t = b"   " + text.translate(L.FOLD)
+        for i in range(3, len(t)):
+            for k in range(4):
+                node = tree.setdefault(t[i - k:i], {})
+                node[t[i]] = node.get(t[i], 0) + 1
 
     def dist(ctx):
-        below = dist(ctx[1:]) if ctx else [1 / size] * size
+        below = dist(ctx[1:]) if ctx else [1 / 256] * 256
         c = tree.get(ctx)
         if not c:
             return below
         total, kinds = sum(c.values()), len(c)
-        if kinds == size:
-            return [c[s] / total for s in range(size)]
+        if kinds == 256:
+            return [c[s] / total for s in range(256)]
         rest = 1 - sum(below[s] for s in c)
-        return [c[s] / (total + kinds) if s in c else kinds / (total + kinds) * below[s] / rest for s in range(size)]
+        return [c[s] / (total + kinds) if s in c else kinds / (total + kinds) * below[s] / rest for s in range(256)]
 
-    return sum(-math.log2(dist(tuple(symbols[i - 3:i]))[symbols[i]]) for i in range(3, len(symbols)))
+    t = b"   " + probe.translate(L.FOLD)
+    return sum(-math.log2(dist(t[i - 3:i])[t[i]]) for i in range(3, len(t)))
 
 
-def test_code_lengths_match_a_tree_walk():
+def model_of(**training):
+    return L.Model({k: L.merged(*np.unique(np.concatenate([L.grams(b"   " + t.translate(L.FOLD)) for t in texts]), return_counts=True)) for k, texts in training.items()})
+
+
+def test_code_lengths_match_a_tree_walk(monkeypatch):
     r = random.Random(2)
-    size = 6
-    classes = [0] * 256
-    for i, b in enumerate(b" abcd"):
-        classes[b] = i + 1
-    text = "".join(r.choice("aab bc d") for _ in range(400)).encode()
-    g = L.grams(text, bytes(classes), size, b"   ")
-    at, n = np.unique(g, return_counts=True)
-    m = L.Model(classes, 251, {"x": (at.astype(np.int32), n.astype(np.int32))})
-    probe = b"abcdabacadabzz dd"
-    sym = [1, 1, 1] + [classes[b] for b in probe]
-    want = brute(list(zip(at.tolist(), n.tolist())), size, sym) + 2 * math.log2(251)
-    assert L.code_lengths(m, probe)[0] == pytest.approx(want, rel=1e-5)
-    L._TABLES.clear()
-    old, L.CHUNK = L.CHUNK, 5
-    try:
-        assert L.code_lengths(m, probe)[0] == pytest.approx(want, rel=1e-5)
-    finally:
-        L.CHUNK = old
+    training = {"x": ["".join(r.choice("aab bc d") for _ in range(400)).encode(), b"", "Привет, мир".encode()],
+                "y": ["".join(r.choice("我们的世界 ") for _ in range(90)).encode(), bytes(range(256))]}
+    m = model_of(**{k: [t for t in v if t] for k, v in training.items()})
+    probes = [b"abcdABacadabzz dd", "世界мир".encode(), b"", b"\x00\xff", b"a", bytes(r.randrange(256) for _ in range(50))]
+    want = [[brute([t for t in training[k] if t], p) for k in m.langs] for p in probes]
+    for chunk in (1 << 20, 5, 1):
+        monkeypatch.setattr(L, "CHUNK", chunk)
+        assert L.code_lengths(m, probes) == pytest.approx(np.array(want), rel=1e-5)
+
+
+def test_a_byte_that_never_came_in_any_context_costs_the_escapes():
+    full = model_of(x=[bytes(range(256)) * 3])
+    assert L.code_lengths(full, [b"\x07"])[0, 0] == pytest.approx(brute([bytes(range(256)) * 3], b"\x07"), rel=1e-5)
+
+
+def test_memory_goes_with_the_strings_seen_not_with_languages_times_bytes():
+    r = random.Random(9)
+    scripts = [[chr(0x400 + 40 * k + j) for j in range(30)] for k in range(100)]
+    m = model_of(**{f"l{k:03}": [" ".join("".join(r.choice(s) for _ in range(5)) for _ in range(300)).encode()] for k, s in enumerate(scripts)})
+    size = sum(t.nbytes for t in m.trees())
+    assert size < 20 * sum(len(keys) for keys, _ in m.counts.values()) * (L.ORDER + 1)
+    got = L.code_lengths(m, [" ".join("".join(r.choice(s) for _ in range(5)) for _ in range(6)).encode() for s in scripts])
+    assert [int(k) for k in got.argmin(axis=1)] == list(range(100))
+
+
+def test_scripts_without_latin_letters(spark):
+    r = random.Random(4)
+    words = {"ru": "мир труд год слово дело день рука раз глаз жизнь".split(), "uk": "світ праця рік слово діло день рука раз око життя".split(),
+             "zh": "我们 世界 时间 工作 生活 问题 国家 社会".split(), "ja": "わたし せかい 時間 しごと 生活 もんだい くに 社会".split(), "en": "the world time work life question land people".split()}
+    lines = [(i, " ".join(r.choices(words[k], k=8)), k) for i in range(400) for k in words]
+    df = spark.createDataFrame([(5 * i + j, t, k) for j, name in enumerate(words) for i, t, k in lines if k == name], "doc_id long, text string, lang string")
+    out = L.identify(df).join(df, "doc_id").where("held_out").collect()
+    right = {k: [x.lang_pred == x.lang for x in out if x.lang == k] for k in words}
+    assert all(sum(v) / len(v) > 0.95 for v in right.values()), {k: sum(v) / len(v) for k, v in right.items()}
+
+
+def test_a_group_of_copies_teaches_once(spark):
+    rows = [(i, "la copia de una misma cosa", "es") for i in range(500)] + [(1000 + i, f"the other text number {i} of the list", "en") for i in range(40)]
+    m = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_rows=30)
+    assert m.counts["es"][1].sum() == len("la copia de una misma cosa")
+    assert m.langs == ["en", "es"] and m.counts["en"][1].sum() < 45 * 40
 
 
 def test_held_out_accuracy(spark):

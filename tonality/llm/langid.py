@@ -1,20 +1,20 @@
 """Language identification by prediction by partial matching (PPM).
 
-For every language a context tree of order 3 is counted once and then frozen. A
-symbol after a context costs -log2 of its frozen probability: its count over
+For every language a byte context tree of order 3 is counted once and then frozen.
+A byte after a context costs -log2 of its frozen probability: its count over
 (total + distinct) where the context has seen it (method C), else the escape
-probability times its probability in the next shorter context, with the symbols
-that the longer context would have coded excluded, down to the uniform order -1.
-A text's cost in a language is the exact sum; the cheapest language wins.
-
-Bytes are mapped to at most ``alphabet`` classes: letters A-Z as a-z, the most
-frequent bytes one class each, all others one class whose cost is shared evenly.
+probability times its probability in the next shorter context, with the bytes
+that the longer context would have coded excluded, down to the uniform order -1
+over all 256 bytes. A text's cost in a language is the exact sum; the cheapest
+language wins. Only contexts that were seen are stored, so a language takes memory
+by its own strings and no byte shares a class with another. Letters A-Z count as a-z.
 
 Defined results
   null text, or text without a letter: ``und`` with score 0; no labelled text to
   learn from: every text is ``und``; null lang rows are scored, never learned from;
-  equal costs: the smallest language name; repeated rows and null ids keep their
-  own rows; an empty table gives no rows. Only named columns are read.
+  equal costs: the smallest language name; copies of a text in the fit sample teach
+  once; repeated rows and null ids keep their own rows; an empty table gives no
+  rows. Only named columns are read.
 """
 
 from __future__ import annotations
@@ -24,173 +24,212 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonality.llm.common import held_out, materialise
+from tonality.llm.common import held_out, hold, materialise
 
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ORDER = 3
-CHUNK = 1 << 20  # bytes scored at a time
+START = b" " * ORDER  # what stands before a text
+CHUNK = 1 << 20  # bytes counted or scored at a time
+FINE = 1 << 40   # steps of a sampling share
 
 
-class Model:
-    """Frozen counts: classes of bytes, and per language the counts of 4-symbol strings."""
+def grams(folded: bytes):
+    """The 4-byte strings of ``folded`` as integers, one for each byte after the first three."""
+    import numpy as np
+
+    c = np.frombuffer(folded, dtype=np.uint8).astype(np.uint32)
+    return (c[:-3] << 24) | (c[1:-2] << 16) | (c[2:-1] << 8) | c[3:]
+
+
+def merged(keys, counts):
+    """Sorted distinct keys with the sums of their counts."""
+    import numpy as np
+
+    at, back = np.unique(keys, return_inverse=True)
+    return at, np.bincount(back, weights=counts, minlength=len(at)).astype(np.int64)
 
-    def __init__(self, classes: list[int], spread: int, counts: dict):
-        self.key = uuid.uuid4().hex
-        self.classes, self.size, self.spread = bytes(classes), max(classes) + 1, spread
-        self.langs = sorted(counts)
-        self.counts = counts  # lang -> (grams, counts) arrays
 
-    def costs(self):
-        """Table [4-symbol string, language] of code lengths in bits."""
+class Tree:
+    """Frozen code lengths of one language: per order the seen strings and the seen contexts' escapes."""
+
+    def __init__(self, keys, counts):
         import numpy as np
 
-        a = self.size
-        out = np.empty((a ** (ORDER + 1), len(self.langs)), dtype=np.float32)
-        for k, lang in enumerate(self.langs):
-            grams, n = self.counts[lang]
-            full = np.bincount(grams, weights=n, minlength=a ** (ORDER + 1)).astype(np.float32)
-            # counts of each shorter order: sum over the leading symbols
-            by_order = [full.reshape(-1, a)]
-            for _ in range(ORDER):
-                last = by_order[0]
-                by_order.insert(0, last.reshape(a, -1).sum(axis=0).reshape(-1, a))
-            p = np.full((1, a), 1 / a, dtype=np.float32)
-            for c in by_order:
-                p = np.tile(p, (c.shape[0] // p.shape[0], 1))  # the shorter context drops the leading symbol
-                seen = c > 0
-                total, distinct = c.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True).astype(np.float32)
-                rest = 1 - (p * seen).sum(axis=1, keepdims=True)  # mass of the symbols left after exclusion
-                whole = (distinct == a) | (rest <= 1e-6)
-                denom = np.where(whole, np.maximum(total, 1), total + distinct)
-                low = p * (distinct / np.maximum(denom, 1) / np.maximum(rest, 1e-6))
-                p = np.where(total == 0, p, np.where(seen, c / np.maximum(denom, 1), np.where(whole, 1e-12, low)))
-            bits = -np.log2(np.maximum(p, 1e-12))
-            bits[:, self.classes[0]] += np.log2(self.spread)  # class of byte 0: all rare bytes
-            out[:, k] = bits.ravel()
-        return out
+        self.orders, below = [], None
+        for k in range(ORDER + 1):
+            seen, n = merged(keys & np.uint32((1 << 8 * (k + 1)) - 1), counts)
+            if not len(seen):
+                break
+            contexts, start = np.unique(seen >> 8, return_index=True)
+            total, kinds = np.add.reduceat(n, start), np.diff(np.append(start, len(seen)))
+            # probability of each string's last byte in the shorter context, which has seen it too
+            low = np.full(len(seen), 1 / 256) if below is None else below[1][np.searchsorted(below[0], seen & np.uint32((1 << 8 * k) - 1))]
+            rest = 1 - np.add.reduceat(low, start)
+            closed = (kinds == 256) | (rest <= 1e-12)  # nothing left to escape to
+            room = np.where(closed, total, total + kinds)
+            p = n / np.repeat(room, kinds)
+            escape = np.where(closed, 1e-12, kinds / room / np.maximum(rest, 1e-12))
+            self.orders.append((seen, (-np.log2(p)).astype(np.float32), contexts.astype(np.uint32), (-np.log2(escape)).astype(np.float32)))
+            below = seen, p
+
+    @property
+    def nbytes(self) -> int:
+        return sum(a.nbytes for order in self.orders for a in order)
+
+    def bits(self, strings):
+        """Code length of the last byte of each 4-byte string after the three before it."""
+        import numpy as np
 
+        out, open_ = np.zeros(len(strings)), np.arange(len(strings))
+        for k in range(len(self.orders) - 1, -1, -1):
+            seen, cost, contexts, escape = self.orders[k]
+            key = strings[open_] & np.uint32((1 << 8 * (k + 1)) - 1)
+            at = np.minimum(np.searchsorted(seen, key), len(seen) - 1)
+            hit = seen[at] == key
+            out[open_[hit]] += cost[at[hit]]
+            open_, context = open_[~hit], key[~hit] >> 8
+            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+            met = contexts[at] == context
+            out[open_[met]] += escape[at[met]]
+        out[open_] += 8.0
+        return out
 
-_TABLES: dict[str, object] = {}
 
+class Model:
+    """Frozen counts of 4-byte strings, language -> (sorted strings, counts)."""
 
-def _table(model: Model):
-    if model.key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[model.key] = model.costs()
-    return _TABLES[model.key]
+    def __init__(self, counts: dict):
+        self.key, self.langs, self.counts = uuid.uuid4().hex, sorted(counts), counts
 
+    def trees(self) -> list[Tree]:
+        return [Tree(*self.counts[lang]) for lang in self.langs]
 
-def grams(text: bytes, model_classes: bytes, size: int, before: bytes):
-    """4-symbol strings of a text as integers; ``before`` is the folded text that precedes it."""
-    import numpy as np
 
-    look = np.frombuffer(model_classes, dtype=np.uint8)
-    c = look[np.frombuffer(before + text.translate(FOLD), dtype=np.uint8)].astype(np.int32)
-    return ((c[:-3] * size + c[1:-2]) * size + c[2:-1]) * size + c[3:]
+_TREES: dict[str, list[Tree]] = {}
 
 
-def code_lengths(model: Model, text: bytes):
-    """Bits of the text in each language (order of ``model.langs``)."""
-    import numpy as np
+def _trees(model: Model) -> list[Tree]:
+    if model.key not in _TREES:
+        _TREES.clear()
+        _TREES[model.key] = model.trees()
+    return _TREES[model.key]
 
-    bits, costs, before = np.zeros(len(model.langs)), _table(model), b" " * ORDER
-    for at in range(0, len(text), CHUNK):
-        part = text[at:at + CHUNK]
-        bits += costs[grams(part, model.classes, model.size, before)].sum(axis=0, dtype=np.float64)
-        before = (before + part.translate(FOLD))[-ORDER:]
-    return bits
 
+def code_lengths(model: Model, texts: list[bytes]):
+    """[text, language] bits of each text in each language (order of ``model.langs``)."""
+    import numpy as np
 
-def fit(docs: DataFrame, fit_rows: int = 3000, alphabet: int = 48) -> Model:
+    trees, out = _trees(model), np.zeros((len(texts), len(model.langs)))
+
+    def settle(parts):
+        """Pieces of texts with the three bytes before each: equal strings are looked up once."""
+        size = np.array([len(p) for _, p in parts])
+        whole = grams(b"".join(p for _, p in parts))
+        inside = np.ones(size.sum(), dtype=bool)
+        for back in range(1, ORDER + 1):  # strings that would run into the next piece
+            inside[np.cumsum(size) - back] = False
+        strings, where = np.unique(whole[inside[:-ORDER]], return_inverse=True)
+        first = np.concatenate([[0], np.cumsum(size - ORDER)[:-1]])
+        rows = [row for row, _ in parts]
+        for k, tree in enumerate(trees):
+            np.add.at(out[:, k], rows, np.add.reduceat(tree.bits(strings)[where], first))
+
+    parts, held = [], 0
+    for row, text in enumerate(texts):
+        for at in range(0, len(text), CHUNK):
+            before = text[max(0, at - ORDER):at].rjust(ORDER)
+            parts.append((row, (before + text[at:at + CHUNK]).translate(FOLD)))
+            held += len(parts[-1][1])
+            if held >= CHUNK:
+                settle(parts)
+                parts, held = [], 0
+    if parts:
+        settle(parts)
+    return out
+
+
+def fit(docs: DataFrame, fit_rows: int = 3000) -> Model:
     """Learn from the rows of ``docs`` that have a lang.
 
-    The fit uses a bounded sample: about ``fit_rows`` documents of each language,
-    chosen by the hash of their text, all of them where a language has fewer. The
-    model's size is bounded by alphabet^4 counts a language.
+    The fit uses a bounded sample: about ``fit_rows`` different texts of each
+    language, chosen by their hash, all of them where a language has fewer. What
+    reaches the driver is one row for each different 4-byte string of a language's
+    sample.
     """
-    known = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang is not null and text is not null")
-    share = F.create_map(*[x for r in known.groupBy("lang").count().collect() for x in (F.lit(r["lang"]), F.lit(fit_rows / r["count"]))] or [F.lit(""), F.lit(0.0)])
-    sample = materialise(known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 20)), "langid-sample")
-
-    def bytes_of(batches):
-        import numpy as np
-        import pyarrow as pa
+    import numpy as np
 
-        n = np.zeros(256, dtype=np.int64)
-        for b in batches:
-            for t in b.column(0):
-                n += np.bincount(np.frombuffer(t.as_py().encode().translate(FOLD), dtype=np.uint8), minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(range(256), pa.int32()), pa.array(n)], names=["b", "n"])
-
-    freq = {r["b"]: r["n"] for r in sample.select("text").mapInArrow(bytes_of, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()}
-    top = [b for b, n in sorted(freq.items(), key=lambda x: (-x[1], x[0])) if n > 0 and b != 0][:alphabet - 1]
-    classes = [0] * 256
-    for i, b in enumerate(sorted(top)):
-        classes[b] = i + 1
-    for b in range(65, 91):
-        classes[b] = classes[b + 32]
-    size, spread, table = len(top) + 1, 256 - len(top), bytes(classes)
+    known = (docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+             .where("lang is not null and text is not null").withColumn("h", F.xxhash64("text")))
+    kinds = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
+    langs = sorted(kinds)
+    if not langs:
+        return Model({})
+    of = F.create_map(*[x for i, name in enumerate(langs) for x in (F.lit(name), F.struct(F.lit(i).alias("i"), F.lit(int(FINE * fit_rows / max(1, kinds[name]))).alias("share")))])
+    sample = materialise(known.withColumn("of", of[F.col("lang")]).where(F.pmod("h", F.lit(FINE)) < F.col("of.share"))
+                         .groupBy(F.col("of.i").alias("lang"), "h").agg(F.first("text").alias("text")).select("lang", "text"), "langid-sample")
 
     def count(batches):
         import numpy as np
         import pyarrow as pa
 
-        held: dict[str, list] = {}
-        total: dict[str, object] = {}
+        held: dict[int, list] = {}   # strings as they come
+        total: dict[int, tuple] = {}  # lang -> (strings, counts)
+        waiting = 0
 
-        def flush(lang):
-            # A task holds one bounded array of counts for each language that it meets.
-            n = np.bincount(np.concatenate(held.pop(lang)), minlength=size ** 4).astype(np.int32)
-            total[lang] = total[lang] + n if lang in total else n
+        def fold():
+            for lang in list(held):
+                keys = np.concatenate(held.pop(lang))
+                keys, n = merged(np.concatenate([keys, total[lang][0]]), np.concatenate([np.ones(len(keys)), total[lang][1]])) if lang in total else np.unique(keys, return_counts=True)
+                total[lang] = keys, n
+
+        def rows():
+            for lang, (keys, n) in total.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), lang, dtype=np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "g", "n"])
+            total.clear()
 
         for b in batches:
             for lang, t in zip(b.column(0).to_pylist(), b.column(1)):
                 raw = t.as_py().encode()
                 for at in range(0, len(raw), CHUNK):
-                    before = raw[max(0, at - 3):at].translate(FOLD).rjust(3)
-                    held.setdefault(lang, []).append(grams(raw[at:at + CHUNK], table, size, before))
-                if sum(map(len, held.get(lang, ()))) > CHUNK:
-                    flush(lang)
-        for lang in list(held):
-            flush(lang)
-        for lang, n in total.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "g", "n"])
+                    held.setdefault(lang, []).append(grams((raw[max(0, at - ORDER):at].rjust(ORDER) + raw[at:at + CHUNK]).translate(FOLD)))
+                    waiting += len(held[lang][-1])
+                    if waiting > 4 * CHUNK:
+                        fold()
+                        waiting = 0
+                        if sum(len(keys) for keys, _ in total.values()) > 2 * CHUNK:
+                            yield from rows()
+        fold()
+        yield from rows()
 
-    import numpy as np
-
-    found = sample.mapInArrow(count, "lang string, g int, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toArrow()
-    lang, g, n = found.column("lang").to_numpy(), found.column("g").to_numpy().astype(np.int32), found.column("n").to_numpy().astype(np.int32)
-    counts = {x: (g[lang == x], n[lang == x]) for x in sorted(set(lang.tolist()))}
-    return Model(classes, spread, counts)
+    found = sample.mapInArrow(count, "lang int, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toArrow()
+    lang, g, n = (found.column(c).to_numpy() for c in ("lang", "g", "n"))
+    return Model({name: merged(g[lang == i].astype(np.uint32), n[lang == i]) for i, name in enumerate(langs) if (lang == i).any()})
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score): the cheapest language and its share 2^-bits of all languages."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def one(text):
-        import numpy as np
-
-        m = shared.value
-        if not text or not m.langs or not any(map(str.isalpha, text)):
-            return "und", 0.0
-        bits = code_lengths(m, text.encode())
-        k = int(np.argmin(bits))
-        return m.langs[k], float(1 / np.exp2(np.maximum(bits[k] - bits, -1000)).sum())
-
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
+        hold("langid", _TREES.clear)
+        m = shared.value
         for b in batches:
-            got = [one(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                                             names=["doc_id", "lang_pred", "score"])
+            texts = [t.as_py() or "" for t in b.column(1)]
+            told = [i for i, t in enumerate(texts) if m.langs and any(map(str.isalpha, t))]
+            lang, score = ["und"] * len(texts), np.zeros(len(texts))
+            bits = code_lengths(m, [texts[i].encode() for i in told])
+            for i, row in zip(told, bits):
+                k = int(np.argmin(row))
+                lang[i], score[i] = m.langs[k], 1 / np.exp2(np.maximum(row[k] - row, -1000)).sum()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def identify(docs: DataFrame, fit_rows: int = 3000, alphabet: int = 48) -> DataFrame:
+def identify(docs: DataFrame, fit_rows: int = 3000) -> DataFrame:
     """Learn from the rows that are not held out and predict every row."""
-    model = fit(docs.where(~held_out()), fit_rows, alphabet)
+    model = fit(docs.where(~held_out()), fit_rows)
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
