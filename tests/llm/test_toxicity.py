@@ -70,3 +70,50 @@ def test_defined_cases(spark):
     out = T.detect(many.union(spark.createDataFrame([(1000, "what an idoit, idi0t", 1), (1001, None, 1)], many.schema)), lab)
     by = {r.doc_id: r for r in out.collect()}
     assert by[1000].predicted == 1 and by[1001].predicted == 0 and by[1].score > 0.5 > by[2].score
+
+
+def test_counts_cover_all_labelled_rows_and_every_text_of_a_shared_passage(spark):
+    r = random.Random(6)
+    filler = lambda n: " ".join(f"w{r.randrange(4000)}" for _ in range(n))
+    rows = [(i, f"{filler(6)} {'grubwort' if i % 2 else 'fine'} {filler(6)}", i % 2) for i in range(2000)]
+    rows += [(3000 + i, f"{filler(5)} raretoxin {filler(5)}", 1) for i in range(30)]  # a sample of 50 a class shows it once or twice
+    rows += [(4000 + i, "the very same passage opens all of these texts " * 3 + filler(10) + (" sharedbad" if i % 2 else ""), i % 2) for i in range(60)]
+    df = spark.createDataFrame([(a, b) for a, b, _ in rows], "doc_id long, text string")
+    lab = spark.createDataFrame([(a, c) for a, _, c in rows], "doc_id long, toxic int")
+    want = T.learn(df, lab, fit_rows=50)
+    assert {"grubwort", "raretoxin"} <= set(want.lexicon)
+    texts = T._labelled(df, lab, 10).collect()  # the shuffle join
+    assert sorted((x.doc_id, x.toxic, x.text) for x in texts) == sorted((a, c, b) for a, b, c in rows)
+    held = {}
+    for x in texts:
+        for w in set(T.WORD.findall(x.text.lower())):
+            held.setdefault(w, (set(), set()))[x.toxic].add(x.h)
+    got = {x.word: (x.good, x.bad) for x in T._by_class(T._labelled(df, lab, 10 ** 6), lambda t: set(T.WORD.findall(t.lower()))).collect()}
+    assert got == {w: (len(g), len(b)) for w, (g, b) in held.items()}
+
+
+def test_context_words_are_learned(spark):
+    r = random.Random(8)
+    filler = lambda: " ".join(f"w{r.randrange(3000)}" for _ in range(8))
+    rows = []
+    for i in range(1200):
+        kind = i % 12
+        if kind < 6:  # abuse
+            rows.append((i, f"{filler()} zorga grubwort {filler()}", 1))
+        elif kind == 6 and i % 48 == 6:  # report of it, in words that no list holds
+            rows.append((i, f"{filler()} velku grubwort {filler()}", 0))
+        else:
+            rows.append((i, f"{filler()} {filler()}", 0))
+    df = spark.createDataFrame([(a, b) for a, b, _ in rows], "doc_id long, text string")
+    m = T.learn(df, spark.createDataFrame([(a, c) for a, _, c in rows], "doc_id long, toxic int"), evidence=15.0)
+    assert "grubwort" in m.lexicon and m.context["velku"] < -0.5 and m.context.get("zorga", 0) >= 0
+    assert m.score("a b c zorga grubwort d e f") > 0.5 > m.score("a b c velku grubwort d e f")
+
+
+def test_very_long_and_clashing(spark):
+    m = T.Scorer({"grubwort": (5.0, 3.0)}, ([1.0] * 5, -3.0, [0.0] * 5, [1.0] * 5))
+    long = "fine day " * 200_000 + "grubwort" + " fine day" * 200_000 + " " + "x" * 1_000_000
+    df = spark.createDataFrame([(1, long, 1.0, 7), (2, None, 0.0, 7)], "doc_id long, text string, score double, predicted int").withColumn("h", __import__("pyspark.sql.functions").sql.functions.lit(1))
+    got = {r.doc_id: r for r in T.score(df, m).collect()}
+    assert got[1].predicted == 1 and got[2].predicted == 0
+    assert [x[0] for x in m.matches(long)] == ["grubwort"]

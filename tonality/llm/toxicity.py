@@ -5,14 +5,16 @@ of its terms are intersected with a trie of all of them and determinised lazily,
 so one walk along a word finds the closest term within the distance that the
 term's length allows. Every match looks at a window of words around it: marks
 and words of quotation or report beside it speak for a quotation, other matches
-and words of address for abuse. A logistic score over these sums, learned on a
-bounded labelled sample, gives the probability.
+and words of address for abuse. What such context words are worth is learned
+from the labels too, over a small prior list. The lexicon is counted over all
+labelled texts; the weights of misspellings and context words and the logistic
+score over the matches' sums are fitted on a bounded labelled sample.
 
 Defined results
   null or empty text: no match, the score of a text without matches; no labels to
   learn from, labels of one class, or no term that marks toxic texts: every score
-  is 0; ties in the lexicon:
-  alphabetical; repeated rows and null ids keep their own rows; an empty table
+  is 0; texts that share their least word-triple hash (copies) count a word once;
+  repeated rows and null ids keep their own rows; an empty table
   gives no rows. Only named columns are read, so other columns may have any name.
 """
 
@@ -29,6 +31,7 @@ from tonality.llm.common import held_out, labelled_sample, materialise
 WORD = re.compile(r"[^\W_]+(?:['’@$*\-][^\W_]+)*")
 WINDOW = 6  # words on either side of a match
 QUOTES = "\"“”„«»‘’'"
+# Prior context words; labels add to them and outweigh them.
 REPORT = frozenset("said says say quote quoted quotes called word words term wrote writes meaning means insult sagte sagt wort zitat dit mot cite dijo dice palabra cita".split())
 ADDRESS = frozenset("you your youre u he she they are is such du ihr dein bist sie tu vous es votre ton eres usted tus such".split())
 
@@ -115,13 +118,17 @@ class TrieAutomaton:
 
 
 class Scorer:
-    """Lexicon weights, term -> (log odds of exact matches, of misspelt ones), and the logistic layer."""
+    """Lexicon weights, term -> (log odds of exact matches, of misspelt ones), context words' weights and the logistic layer.
 
-    def __init__(self, lexicon: dict[str, tuple[float, float]], layer=None):
+    ``context``: word -> -1 (speaks for a quotation) to 1 (for abuse), beside the prior words.
+    """
+
+    def __init__(self, lexicon: dict[str, tuple[float, float]], layer=None, context: dict[str, float] | None = None):
         self.lexicon, self.layer = lexicon, layer
+        self.context = {**dict.fromkeys(REPORT, -1.0), **dict.fromkeys(ADDRESS, 1.0), **(context or {})}
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "layer": self.layer}
+        return {"lexicon": self.lexicon, "layer": self.layer, "context": self.context}
 
     @property
     def automaton(self) -> TrieAutomaton:
@@ -146,12 +153,19 @@ class Scorer:
         for i in spots:
             a, b = max(0, i - WINDOW), min(len(words), i + WINDOW + 1)
             left, right = text[words[a][0]:words[i][0]], text[words[i][1]:words[b - 1][1] + 1]
-            around = [words[j][2] for j in range(a, b) if j != i]
-            quoted = (any(q in left for q in QUOTES) and any(q in right for q in QUOTES)) + 0.5 * any(w in REPORT for w in around)
-            abuse = sum(j in at for j in range(a, b) if j != i) / (2 * WINDOW) + 0.25 * any(w in ADDRESS for w in around)
+            around = [self.context.get(words[j][2], 0.0) for j in range(a, b) if j != i]
+            quoted = (any(q in left for q in QUOTES) and any(q in right for q in QUOTES)) + 0.5 * -min([0.0, *around])
+            abuse = sum(j in at for j in range(a, b) if j != i) / (2 * WINDOW) + 0.25 * max([0.0, *around])
             out.append((*known[words[i][2]], words[i][2], min(1.0, quoted), min(1.0, abuse)))
         return out
 
+    def beside(self, text: str | None) -> set[str]:
+        """Words other than matches in the windows of a text's matches."""
+        words = WORD.findall((text or "").lower())
+        kinds = {w: self.automaton.match(w) for w in set(words)}
+        spots = [i for i, w in enumerate(words) if kinds[w]]
+        return {words[j] for i in spots for j in range(max(0, i - WINDOW), min(len(words), i + WINDOW + 1)) if not kinds[words[j]]}
+
     def sums(self, text: str | None) -> list[float]:
         """Features of the logistic layer."""
         total = strongest = quoted = abuse = plain = 0.0
@@ -191,72 +205,93 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, terms: int = 1500, evidence: float = 25.0) -> Scorer:
-    """Lexicon and layer from a bounded sample: about ``fit_rows`` labelled documents of each class.
+def _labelled(docs: DataFrame, labels: DataFrame, small: int) -> DataFrame:
+    """(doc_id, toxic, text, h) of the texts with a toxic label; copies share h, the least hash of their word triples.
 
-    ``terms`` bounds the lexicon. A term must be at least 20 times as frequent in toxic
-    texts as in others, with a log-likelihood ratio (G squared) of ``evidence`` or more.
+    Labels of at most ``small`` rows are broadcast, more are joined by a shuffle.
     """
-    import numpy as np
-
-    sample = labelled_sample(labels, "toxic", fit_rows)
-    texts = _texts(docs).where("text is not null").join(F.broadcast(sample.withColumn("toxic", F.col("toxic").cast("int"))), "doc_id").select("toxic", "text")
-    # One text of each group of copies teaches: copies share the least hash of their word triples.
-    triples = texts.select("toxic", "text", F.expr("transform(split(lower(text), '\\s+'), w -> xxhash64(w))").alias("h"))
+    marks = materialise(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+                        .where("doc_id is not null and toxic in (0, 1)").distinct(), "toxic-labels")
+    rows = marks.count()
+    texts = _texts(docs).where("text is not null").join(F.broadcast(marks) if rows <= small else marks, "doc_id").select(
+        "doc_id", "toxic", "text", F.expr("transform(split(lower(text), '\\\\s+'), w -> xxhash64(w))").alias("h"))
     for k in (1, 1):
-        triples = triples.withColumn("h", F.expr(f"zip_with(slice(h, 1, greatest(size(h) - {k}, 1)), slice(h, {k + 1}, size(h)), (x, y) -> xxhash64(x, y))"))
-    texts = materialise(triples.select("toxic", "text", F.array_min("h").alias("h")).dropDuplicates(["toxic", "h"]).select("toxic", "text"), "toxic-sample")
-    sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    if not sizes.get(0) or not sizes.get(1):
-        return Scorer({})
+        texts = texts.withColumn("h", F.expr(f"zip_with(slice(h, 1, greatest(size(h) - {k}, 1)), slice(h, {k + 1}, size(h)), (x, y) -> xxhash64(x, y))"))
+    return texts.withColumn("h", F.array_min("h"))
 
-    def words(batches):
-        import pyarrow as pa
-        from collections import Counter
 
-        count: Counter = Counter()
+def _rows(batch, emit, kinds):
+    """One Arrow batch of the rows that ``emit`` makes of each row of ``batch``."""
+    import pyarrow as pa
 
-        def rows():
-            keys = list(count)
-            out = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([count[k] for k in keys], pa.int64())], names=["word", "toxic", "n"])
-            count.clear()
-            return out
+    made = [r for row in zip(*(c.to_pylist() for c in batch.columns)) for r in emit(*row)]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*made)) or [()] * len(kinds), kinds.values())], names=list(kinds))
 
-        for b in batches:
-            for toxic, t in zip(b.column(0).to_pylist(), b.column(1)):
-                count.update((w, toxic) for w in set(WORD.findall(t.as_py().lower())) if len(w) <= 64)
-                if len(count) > 200_000:
-                    yield rows()
-        yield rows()
-
-    both = F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good")
-    # G squared of a term's two counts against one common rate
-    rate = (F.col("bad") + F.col("good")) / (sizes[0] + sizes[1])
-    g2 = 2 * (F.col("bad") * F.log(F.col("bad") / (rate * sizes[1])) + F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") / (rate * sizes[0]))).otherwise(0.0))
-    marked = (texts.mapInArrow(words, "word string, toxic int, n long").groupBy("word").agg(*both)
-              .where((F.col("bad") > 0) & (g2 >= evidence) & (F.col("bad") * sizes[0] >= 20.0 * (F.col("good") + 0.5) * sizes[1]) & (F.length("word") >= 3))
-              .orderBy(F.desc("bad"), "word").limit(terms).collect())
-    odds = lambda bad, good: math.log((bad + 0.5) / (sizes[1] + 1)) - math.log((good + 0.5) / (sizes[0] + 1))
-    lexicon = {r["word"]: odds(r["bad"], r["good"]) for r in marked}
-    if not lexicon:
-        return Scorer({})
-    first = docs.sparkSession.sparkContext.broadcast(Scorer({t: (w, 0.0) for t, w in lexicon.items()}))
 
-    def near(batches):  # misspelt matches of each term, by class: how far a near match is to be believed
+def _by_class(texts: DataFrame, words_of) -> DataFrame:
+    """(word, bad, good): texts of each class that hold each word of ``words_of(text)``, texts of one h once a word."""
+    def run(batches):
         import pyarrow as pa
-        from collections import Counter
 
-        count: Counter = Counter()
+        kinds = {"word": pa.string(), "toxic": pa.int32(), "h": pa.int64()}
         for b in batches:
-            for toxic, t in zip(b.column(0).to_pylist(), b.column(1)):
-                count.update((x, toxic) for x in {m[0] for m in first.value.matches(t.as_py()) if m[1]})
-        keys = list(count)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([count[k] for k in keys], pa.int64())], names=["word", "toxic", "n"])
+            for at in range(0, b.num_rows, 100):
+                yield _rows(b.slice(at, 100), lambda toxic, h, text: ((w, toxic, h) for w in words_of(text)), kinds)
+
+    n = lambda c: F.sum(F.when(F.col("toxic") == c, 1).otherwise(0))
+    return (texts.select("toxic", "h", "text").mapInArrow(run, "word string, toxic int, h long")
+            .distinct().groupBy("word").agg(n(1).alias("bad"), n(0).alias("good")))
+
+
+def _surprise(bad, good, sizes):
+    """G squared of a word's two counts against one common rate."""
+    rate = (bad + good) / (sizes[0] + sizes[1])
+    part = lambda n, of: F.when(n > 0, n * F.log(n / (rate * of))).otherwise(0.0)
+    return 2 * (part(bad, sizes[1]) + part(good, sizes[0]))
+
+
+def _odds(bad, good, sizes) -> float:
+    return math.log((bad + 0.5) / (sizes[1] + 1)) - math.log((good + 0.5) / (sizes[0] + 1))
+
+
+def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, evidence: float = 25.0, small: int = 2_000_000) -> Scorer:
+    """Lexicon from all labelled texts; context words and layer from about ``fit_rows`` labelled documents of each class.
+
+    A term must be at least 20 times as frequent in toxic texts as in others, with a
+    log-likelihood ratio (G squared) of ``evidence`` or more; that alone bounds the lexicon.
+    ``small`` is the number of labels up to which they are broadcast.
+    """
+    import numpy as np
+
+    texts = materialise(_labelled(docs, labels, small), "toxic-texts")
+    sizes = {r["toxic"]: r["n"] for r in texts.select("toxic", "h").distinct().groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not sizes.get(0) or not sizes.get(1):
+        return Scorer({})
+    bad, good = F.col("bad"), F.col("good")
+    marked = (_by_class(texts, lambda text: set(WORD.findall(text.lower())))
+              .where((bad > 0) & (_surprise(bad, good, sizes) >= evidence) & (bad * sizes[0] >= 20.0 * (good + 0.5) * sizes[1]) & (F.length("word") >= 3)).collect())
+    lexicon = {r["word"]: _odds(r["bad"], r["good"], sizes) for r in marked}
+    if not lexicon:
+        return Scorer({})
+
+    sample = labelled_sample(labels.withColumn("toxic", F.col("toxic").cast("int")).where("toxic in (0, 1)"), "toxic", fit_rows)
+    some = materialise(texts.join(F.broadcast(sample), ["doc_id", "toxic"], "left_semi").dropDuplicates(["toxic", "h"]).select("toxic", "h", "text"), "toxic-sample")
+    n = {0: 1, 1: 1, **{r["toxic"]: r["count"] for r in some.groupBy("toxic").count().collect()}}
+    first = docs.sparkSession.sparkContext.broadcast(Scorer({t: (w, 0.0) for t, w in lexicon.items()}))
 
-    seen = {r["word"]: (r["bad"], r["good"]) for r in texts.mapInArrow(near, "word string, toxic int, n long").groupBy("word").agg(*both).collect()}
+    # Misspelt matches of each term, by class: how far a near match is to be believed.
+    near = _by_class(some, lambda text: {m[0] for m in first.value.matches(text) if m[1]})
+    seen = {r["word"]: _odds(r["bad"], r["good"], n) for r in near.collect()}
     # A term never met misspelt is believed at three quarters of its own weight.
-    fuzzy = lambda t, w: min(w, odds(*seen[t])) if t in seen else 0.75 * w
-    model = Scorer({t: (w, fuzzy(t, w)) for t, w in lexicon.items()})
+    lexicon = {t: (w, min(w, seen[t]) if t in seen else 0.75 * w) for t, w in lexicon.items()}
+    # Words beside matches: toxic texts against others, among the texts with a match.
+    beside = materialise(_by_class(some, lambda text: first.value.beside(text) | {""}), "toxic-context")
+    met = {1: 0, 0: 0}
+    for r in beside.where("word = ''").collect():
+        met = {1: r["bad"], 0: r["good"]}
+    found = [] if not met[0] or not met[1] else beside.where((F.col("word") != "") & (_surprise(bad, good, met) >= evidence)).collect()
+    context = {r["word"]: max(-1.0, min(1.0, _odds(r["bad"], r["good"], met) / 3)) for r in found}
+    model = Scorer(lexicon, context=context)
     second = docs.sparkSession.sparkContext.broadcast(model)
 
     def sums(batches):
@@ -265,9 +300,11 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, terms: int
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([second.value.sums(t.as_py()) for t in b.column(1)], pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    rows = texts.mapInArrow(sums, "toxic int, x array<double>").toArrow()
+    rows = some.select("toxic", "text").mapInArrow(sums, "toxic int, x array<double>").toArrow()
     model.layer = logistic(np.array(rows.column("x").to_pylist()), rows.column("toxic").to_pylist())
-    return Scorer(model.lexicon, model.layer)
+    for held in (first, second):
+        held.destroy()
+    return Scorer(model.lexicon, model.layer, context)
 
 
 def score(docs: DataFrame, model: Scorer, cut: float = 0.3) -> DataFrame:
