@@ -559,13 +559,30 @@ def batch_score(spark, sf):
     return flows.scored_prompts(spark, sf).select("q_id", "model_output", "predicted_label")
 
 
-@register("embed_text")
+EMBED_DIMS = 256
+
+# Every stage of the featuriser from its definition: buckets, document frequencies, weights, norm.
+_EMBED_SQL = (
+    f"tok AS (SELECT ctx_id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {EMBED_DIMS} AS dim, count(*) AS tf FROM "
+    f"(SELECT ctx_id, unnest({Q.tokens('text')}) AS t FROM fx_kb) GROUP BY ALL), "
+    f"idf AS (SELECT dim, ln(((SELECT count(*) FROM fx_kb) + 1.0) / (count(*) + 1.0)) AS w FROM tok GROUP BY dim), "
+    f"raw AS (SELECT ctx_id, dim, tf * w AS x FROM tok JOIN idf USING (dim)), "
+    f"unit AS (SELECT ctx_id, dim, CAST(CAST(CASE WHEN len > 0 THEN x / len ELSE 0 END AS FLOAT) AS DOUBLE) AS x FROM "
+    f"(SELECT *, sqrt(sum(x * x) OVER (PARTITION BY ctx_id)) AS len FROM raw)) ")
+
+
+@register("embed_text", Q.with_("fx_kb") + ", " + _EMBED_SQL +
+          f"SELECT k.ctx_id, {EMBED_DIMS} AS dims, count(x) FILTER (x > 0) AS n_nonzero, {Q.r6('sqrt(coalesce(sum(x * x), 0))')} AS norm, "
+          f"round(coalesce(sum(x * (dim + 1)), 0), 4) AS moment FROM fx_kb k LEFT JOIN unit u ON k.ctx_id = u.ctx_id GROUP BY k.ctx_id")
 def embed_text(spark, sf):
+    """The whole vector of every context, condensed: its length, entries, norm and first moment."""
     from tonality.operators.scoring import embed_text as emb
     kb = FX.fx_kb(spark, sf)
-    (e,) = emb(kb, "text")
-    return e.select("ctx_id", F.size("embedding").alias("dims"),
-                    r6(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))
+    (e,) = emb(kb, "text", dims=EMBED_DIMS)
+    e = e.withColumn("x", F.col("embedding").cast("array<double>"))
+    return e.select("ctx_id", F.size("x").alias("dims"), F.size(F.filter("x", lambda v: v > 0)).alias("n_nonzero"),
+                    r6(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))).alias("norm"),
+                    F.round(F.aggregate(F.transform("x", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v), 4).alias("moment"))
 
 
 @register("retrieve_embedded")
@@ -576,3 +593,25 @@ def retrieve_embedded(spark, sf):
 @register("train_classifier")
 def train_classifier(spark, sf):
     return flows.classifier_predictions(spark, sf).select("id", "expected_output", "predicted_label")
+
+
+_COUNTS_SQL = (
+    f"recs AS (SELECT s.dataset, s.id, s.split, s.output, {Q.instruction('t.text')} AS instruction FROM ({_SPLIT_SQL}) s JOIN "
+    f"(SELECT 'fx_text' AS dataset, id, text FROM fx_text UNION ALL SELECT 'fx_num' AS dataset, id, text FROM fx_num) t "
+    f"ON s.dataset = t.dataset AND s.id = t.id WHERE s.output NOT IN ('unknown', 'unmapped')), "
+    f"tok AS (SELECT dataset, id, split, output, unnest({Q.tokens('instruction')}) AS token FROM recs), "
+    f"tr AS (SELECT output AS label, token, count(*) AS n FROM tok WHERE split = 'train' GROUP BY ALL), "
+    f"sz AS (SELECT output AS label, count(*) AS n_rows, ln(count(*) / (sum(count(*)) OVER ())) AS prior FROM recs WHERE split = 'train' GROUP BY output), "
+    f"wd AS (SELECT label, sum(n) + (SELECT count(DISTINCT token) FROM tr) AS room FROM tr GROUP BY label), "
+    f"bag AS (SELECT dataset, id, token, count(*) AS tf FROM tok WHERE split = 'test' AND token IN (SELECT token FROM tr) GROUP BY ALL), "
+    f"gain AS (SELECT r.dataset, r.id, z.label, round(coalesce(sum(b.tf * ln((coalesce(tr.n, 0) + 1.0) / w.room)), 0) + any_value(z.prior), 6) AS score "
+    f"FROM recs r CROSS JOIN sz z JOIN wd w ON w.label = z.label LEFT JOIN bag b ON b.dataset = r.dataset AND b.id = r.id "
+    f"LEFT JOIN tr ON tr.token = b.token AND tr.label = z.label WHERE r.split = 'test' GROUP BY r.dataset, r.id, z.label) ")
+
+
+@register("class_counts", Q.with_("fx_text", "fx_num") + ", " + _COUNTS_SQL +
+          "SELECT dataset, id, label AS predicted_label, score FROM gain "
+          "QUALIFY row_number() OVER (PARTITION BY dataset, id ORDER BY score DESC, label) = 1")
+def class_counts(spark, sf):
+    """X3 beside the regression: smoothed class counts of the train split predict the test split."""
+    return flows.counted_predictions(spark, sf)

@@ -116,6 +116,13 @@ def retrieve_with_embedder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RT.retrieve_two_stage(qs_e, kb_e, "qid", "instruction", "embedding", "ctx_id", "text", "embedding")
 
 
+def counted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smoothed class counts of the train split predict the test split."""
+    recs = instruction_splits(spark, sf_dir)
+    model = SC.fit_class_counts(recs.where(F.col("split") == "train"))
+    return SC.predict_by_counts(model, recs.where(F.col("split") == "test"), ["dataset", "id"])
+
+
 def classifier_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit the text classifier on the train split, predict the test split."""
     recs = instruction_splits(spark, sf_dir)
