@@ -572,7 +572,7 @@ _EMBED_SQL = (
 
 
 @register("embed_text", Q.with_("fx_kb") + ", " + _EMBED_SQL +
-          f"SELECT k.ctx_id, {EMBED_DIMS} AS dims, count(x) FILTER (x > 0) AS n_nonzero, {Q.r6('sqrt(coalesce(sum(x * x), 0))')} AS norm, "
+          f"SELECT k.ctx_id, {EMBED_DIMS} AS dims, CAST(count(x) FILTER (x > 0) AS INTEGER) AS n_nonzero, {Q.r6('sqrt(coalesce(sum(x * x), 0))')} AS norm, "
           f"round(coalesce(sum(x * (dim + 1)), 0), 4) AS moment FROM fx_kb k LEFT JOIN unit u ON k.ctx_id = u.ctx_id GROUP BY k.ctx_id")
 def embed_text(spark, sf):
     """The whole vector of every context, condensed: its length, entries, norm and first moment."""
