@@ -74,6 +74,8 @@ def spellings(tokens):
             ways.append([x for part in arg[1] for x in spellings(part)])
         elif op == "SUBPATTERN":
             ways.append(list(spellings(arg[3])))
+        elif op == "NOT_LITERAL":
+            ways.append(["x"])
         elif op == "MAX_REPEAT":
             one = list(spellings(arg[2]))
             ways.append(["".join(x) for n in range(arg[0], min(arg[1], arg[0] + 1) + 1) for x in itertools.product(one, repeat=n)])
@@ -88,8 +90,9 @@ def test_gates_hold_for_every_spelling_of_every_rule():
         for text in spellings(_parser.parse(rule.find.__self__.pattern)):
             text = text.strip()
             assert any(k in text for k in rule.gates), (rule.label, rule.kind, text)
-            if rule.kind in ("identifier", "page", "name"):  # the other forms have the gates of these
+            if rule.kind in ("identifier", "page", "name", *S.TEXTS):  # the other forms have the gates of these
                 want = [(d[2].label, d[2].kind, text[d[0]:d[1]]) for d in S.detect(text, everything)]
+                assert want and rule.label in S.scan_text(text)["labels"].split(",") or rule.kind not in S.TEXTS, (rule.label, text)
                 assert want and [(g[0], g[1], g[5]) for g in S.scan_text(text)["found"]] == want, text
                 seen += 1
     assert seen > 500
@@ -107,3 +110,21 @@ def test_words_end_at_spaces_only():
         for text in (f"voil{c}mit license", f"{c}apache license 2.0", f"mit license{c}", f"{c}gplv3", f"gplv3{c}"):
             assert S.scan_text(text)["labels"] == "", (c, text)
     assert S.scan_text("à mit license, 国")["labels"] == "mit"
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice
+shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
+BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version {} of the License, or (at your option) any later version."""
+
+
+def test_license_texts_without_a_name():
+    assert len({pattern for *_, pattern in S.SIGNATURES}) == len(S.SIGNATURES) > 150
+    assert S.scan_text(MIT)["labels"] == "mit" and S.scan_text(MIT)["base_labels"] == ""
+    assert S.scan_text(GPL.format(3))["labels"] == "gpl,gpl-3.0" and S.scan_text(GPL.format(2))["labels"] == "gpl,gpl-2.0"
+    bsd = "Neither the name of the ACME Company nor the names of its contributors may be used to endorse or promote products derived from this software"
+    assert S.scan_text(bsd)["labels"] == "bsd-3-clause"
+    assert S.scan_text("you may not use this file, and the software is provided as it is")["labels"] == ""

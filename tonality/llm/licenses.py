@@ -20,6 +20,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonality.llm.license_texts import SIGNATURES
+
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 WORDS = bytes(32 if b <= 0x2F or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in LOWER)
 
@@ -91,6 +93,8 @@ FORMS = (
     ("field", 0.8, r"licen[cs]e(?: is| type| name)? {id}"),
     ("name", 0.7, r"{name}"),
 )
+# Weights of the signatures, which come right after identifiers; shared disclaimers come last of all.
+TEXTS = {"notice": 0.97, "wording": 0.96, "disclaimer": 0.5}
 
 
 class Rule:
@@ -101,9 +105,17 @@ class Rule:
 
 @lru_cache(maxsize=1)
 def rules() -> list[Rule]:
-    """Every way of stating every license, in order of priority: by form, then by table order."""
+    """Every way of stating every license, and every signature, in order of priority: by form, then by table order."""
     out = []
+
+    def texts(*kinds: str) -> None:
+        for label, kind, gate, pattern in SIGNATURES:
+            if kind in kinds:
+                out.append(Rule(len(out), label, kind, TEXTS[kind], pattern, (gate,)))
+
     for kind, weight, form in FORMS:
+        if kind == "grant":
+            texts("notice", "wording")
         for label, gates, name, ident, url in LICENSES:
             fill = {"id": f"(?:{ident})", "name": f"(?:{name})", "url": f"(?:{url})"}
             key = "{id}" if "{id}" in form else "{url}" if "{url}" in form else "{name}"
@@ -113,6 +125,7 @@ def rules() -> list[Rule]:
             elif key == "{url}":
                 need = (url[:8],)
             out.append(Rule(len(out), label, kind, weight, form.replace(key, fill[key[1:-1]]), need))
+    texts("disclaimer")
     return out
 
 
