@@ -50,12 +50,17 @@ def documents(r):
     return docs + [(60, None), (61, ""), (None, base[0]), (62, base[0] + "\n" + base[0] + "\nshort\nshort"), (63, "x" * 5000), (64, "x" * 4999)]
 
 
+def last(place):
+    """Order of places: null ids come last."""
+    return place[0] is None, place[0] or 0, place[1]
+
+
 @pytest.mark.parametrize("edits", [1, 2])
 def test_classes_match_brute_force(spark, edits):
     docs = documents(random.Random(edits))
     df = spark.createDataFrame([(d, t, "c", 1) for d, t in docs], "doc_id long, text string, line string, a int")
     got = {(r.doc_id, r.line_no): r for r in L.classes(df, edits, 20).collect()}
-    places = [(d, i, x) for d, t in docs if d is not None for i, x in enumerate((t or "").split("\n"))]
+    places = [(d, i, x) for d, t in docs for i, x in enumerate((t or "").split("\n"))]
     assert set(got) == {(d, i) for d, i, _ in places}
     texts = sorted({x for _, _, x in places if len(x) >= 20})
     near = {x: {y for y in texts if y != x and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits} for x in texts}
@@ -66,14 +71,14 @@ def test_classes_match_brute_force(spark, edits):
             for y in near[todo.pop()] - seen:
                 seen.add(y)
                 todo.append(y)
-        parent[x] = min((d, i) for d, i, z in places if z in seen)
+        parent[x] = min(((d, i) for d, i, z in places if z in seen), key=last)
     for d, i, x in places:
         r = got[d, i]
         if len(x) < 20:
             assert r.kept and r.n_links == 0
             continue
         assert (r.class_doc_id, r.class_line_no) == parent[x]
-        assert r.n_links == len(near[x]) and r.kept == ((d, i) == parent[x])
+        assert r.n_links == len(near[x]) and r.kept == (d is None or (d, i) == parent[x])
         assert r.n_copies == sum(z == x for _, _, z in places)
     out = {r.doc_id: r for r in L.dedup(df, edits, 20).collect()}
     for d, t in docs:
@@ -92,9 +97,9 @@ def test_short_copies_are_counted_and_stay(spark):
     rows = [(3, "Read more\n\nCookie settings"), (1, "Read more\nRead mora"), (2, "x\nRead more\n"), (None, "Read more")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.n_copies, r.n_links, r.kept) for r in L.classes(df).collect()}
-    places = [(d, i, x) for d, t in rows if d is not None for i, x in enumerate(t.split("\n"))]
-    assert got == {(d, i): (*min(p[:2] for p in places if p[2] == x), sum(p[2] == x for p in places), 0, True) for d, i, x in places}
-    assert got[3, 0] == (1, 0, 3, 0, True)
+    places = [(d, i, x) for d, t in rows for i, x in enumerate(t.split("\n"))]
+    assert got == {(d, i): (*min((p[:2] for p in places if p[2] == x), key=last), sum(p[2] == x for p in places), 0, True) for d, i, x in places}
+    assert got[3, 0] == (1, 0, 4, 0, True)
     assert sorted((r.doc_id or 0, r.text) for r in L.dedup(df).collect()) == sorted((d or 0, t) for d, t in rows)
 
 
@@ -144,3 +149,12 @@ def test_pairs_of_a_hot_template_are_few(spark, monkeypatch):
     one, two = (alike.select(*[alike[x].alias(x + k) for x in "wcg"]) for k in "12")
     passed = one.join(two, L._alike(2)).count() - alike.count()  # brute force, to measure the filter
     assert hits > 100_000 and passed <= hits / 100  # one in a hundred of the pairs that share a key
+
+
+def test_lines_of_null_ids_count_and_stay(spark):
+    line, own = "a line of more than twenty letters", "a wholly different text without an id"
+    rows = [(None, line + "\n" + own), (None, own), (4, line), (9, line)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in L.classes(df).collect()), key=str)
+    assert got == sorted([(None, 0, 4, 0, 3, 0, True), (None, 1, None, 0, 2, 0, True), (None, 0, None, 0, 2, 0, True), (4, 0, 4, 0, 3, 0, True), (9, 0, 4, 0, 3, 0, False)], key=str)
+    assert sorted((tuple(r) for r in L.dedup(df).collect()), key=str) == sorted([*rows[:3], (9, "")], key=str)

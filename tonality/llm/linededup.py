@@ -15,8 +15,8 @@ Defined results
   null or empty text: one empty line; lines of every length, empty ones too, are
   classed and counted with their exact copies; lines shorter than ``min_chars``
   have no other links and are all kept, copies too: list marks, headings and
-  names stand often with good reason, and ``n_copies`` shows them; documents with a null id are left as they are and
-  compared with nothing; rows with equal ids share line places, and a place that
+  names stand often with good reason, and ``n_copies`` shows them; lines of rows with a null id are
+  classed and counted like all others, name a class only if no other id has it, and are all kept; rows with equal ids share line places, and a place that
   is a class's first is kept in all of them; equal places with different lines
   are separate entries, and each row loses its own lines only; an empty table gives no rows. Only the id and text
   columns are read for the decision, so other columns may have any name.
@@ -41,7 +41,7 @@ def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line, a, b): every line that is compared, with its 128-bit content hash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    return rows.where("doc_id is not null").select("*", *(h.alias(n) for h, n in zip(line_hash(F.col("line")), "ab")))
+    return rows.select("*", *(h.alias(n) for h, n in zip(line_hash(F.col("line")), "ab")))
 
 
 def keys(entries: DataFrame, edits: int) -> DataFrame:
@@ -151,7 +151,9 @@ def _judged(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     rows = lines(docs)
     slim = materialise(rows.select("doc_id", "line_no", "a", "b", (F.length("line") >= min_chars).alias("long")), "line-places")
     near = links(rows, edits, min_chars)
-    first = slim.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n_copies"))
+    # a null id comes last
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "line_no")
+    first = slim.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"))
     ends = near.select("a1", "b1").unionByName(near.select(F.col("a2").alias("a1"), F.col("b2").alias("b1")))
     # nodes of the link graph are the first hash alone; lines that agree in it only would have to collide in 64 bits
     comp = connected_components(near.select(F.col("a1").alias("a"), F.col("a2").alias("b")), "line-cc")
@@ -160,9 +162,9 @@ def _judged(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     named = materialise(first.join(linked, ["a", "b"], "left"), "line-classes")
     of_class = named.where("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
     named = named.join(of_class, "component", "left").select("a", "b", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_first", "first").alias("c"))
-    place = F.struct("doc_id", "line_no")
+    stays = ~F.col("long") | F.col("doc_id").isNull() | (place == F.col("c"))
     return slim.join(named, ["a", "b"]).select(
-        "doc_id", "line_no", F.col("c.doc_id").alias("class_doc_id"), F.col("c.line_no").alias("class_line_no"), "n_copies", "n_links", (~F.col("long") | (place == F.col("c"))).alias("kept"), "a", "b")
+        "doc_id", "line_no", F.col("c.doc_id").alias("class_doc_id"), F.col("c.line_no").alias("class_line_no"), "n_copies", "n_links", stays.alias("kept"), "a", "b")
 
 
 def dedup(docs: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
