@@ -113,3 +113,39 @@ def test_joins_on_empty_sides(spark):
     m = retrieve_two_stage(qv, cv, "q", "text", "v", "c", "text", "v", k=1).collect()
     assert [(r["q_id"], r["c_id"], r["rank"]) for r in m] == [(1, 7, 1)]
     assert retrieve_two_stage(qv.limit(0), cv, "q", "text", "v", "c", "text", "v", k=1).count() == 0
+
+
+def _frames(monkeypatch, module):
+    """Column types of every frame that ``module`` writes."""
+    seen, write = [], module.materialize
+
+    def spy(df):
+        seen.append(dict(df.dtypes))
+        return write(df)
+
+    monkeypatch.setattr(module, "materialize", spy)
+    return seen
+
+
+def test_pairs_are_counted_once_a_set_and_written_without_token_sets(spark, monkeypatch):
+    words = "alpha beta gamma delta epsilon".split()
+    q = spark.createDataFrame([(i, "alpha beta gamma delta") for i in range(20)] + [(20, "alpha zeta eta theta iota")], "q int, text string")
+    c = spark.createDataFrame([(i, " ".join(words)) for i in range(30)] + [(30, "kappa alpha")], "c int, text string")
+    counted, count = [], SIM.count_shared
+    seen = _frames(monkeypatch, SIM)
+    monkeypatch.setattr(SIM, "count_shared", lambda *a: counted.append(count(*a)) or counted[-1])
+    got = {(r["q"], r["c"], r["n_shared"]) for r in SIM.overlap_join(q, c, "q", "c", threshold=0.8).collect()}
+    assert got == {(i, j, 4) for i in range(20) for j in range(30)}
+    assert counted[0].count() == 1
+    assert seen and not [t for d in seen for t in d.values() if t == "array<string>"]
+
+
+@pytest.mark.parametrize("t", [0.5, 0.8])
+def test_sketches_lose_no_pair_of_large_sets(spark, t):
+    import random
+    r = random.Random(3)
+    pool = [f"w{i}" for i in range(3000)]
+    cs = [(i, " ".join(r.sample(pool, r.choice([5, 40, 600, 2500])))) for i in range(40)]
+    qs = [(i, " ".join(r.sample(cs[i][1].split(), max(3, len(cs[i][1].split()) // 2)) + r.sample(pool, 3))) for i in range(30)]
+    q, c = spark.createDataFrame(qs, "q int, text string"), spark.createDataFrame(cs, "c int, text string")
+    assert {(x["q"], x["c"], x["n_shared"]) for x in SIM.overlap_join(q, c, "q", "c", threshold=t).collect()} == brute(qs, cs, t)
