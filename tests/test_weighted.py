@@ -143,3 +143,12 @@ def test_weighted_join_equals_brute_force(spark, t):
     assert {tuple(x) for x in pairs.collect()} >= set(want)  # the bounds are proven: nothing is lost
     if t >= 0.6:
         assert pairs.count() <= 3 * len(want)
+
+
+def test_near_copies_are_written_without_token_sets(spark, monkeypatch):
+    seen, write = [], W.materialize
+    monkeypatch.setattr(W, "materialize", lambda df: seen.append(dict(df.dtypes)) or write(df))
+    rows = [(1, "a b c d e"), (2, "e d c b a"), (3, "a b c d f"), (4, "x y"), (5, ""), (6, None), (7, "a b c d e g")]
+    got = {tuple(r) for r in W.near_copy_pairs(spark.createDataFrame(rows, "id long, text string"), "id", "text", 0.8).collect()}
+    assert got == {(1, 2), (1, 7)}
+    assert seen and not [t for d in seen for t in d.values() if t == "array<string>"]
