@@ -2,8 +2,8 @@
 
 Passages (overlapping word windows) and benchmark items are TF-IDF vectors
 over the words of the benchmark; the document frequencies cover every passage.
-A randomised SVD of those vectors, computed by Spark over a bounded sample of
-documents with the items joined in at equal weight, gives a latent space. Every
+A randomised SVD of those vectors, computed by Spark over every passage of every
+document with the items joined in at equal weight, gives a latent space. Every
 passage of every document is projected, and the items whose cosine reaches
 ``cosine`` are candidates. An item no longer than a passage shares it with other
 words, which lower the cosine: it is also a candidate where the passage holds
@@ -227,21 +227,17 @@ def frequencies(docs: DataFrame, space: Space):
     return df[:-1], int(df[-1])
 
 
-def fit(docs: DataFrame, space: Space, rank: int, fit_docs: int, rounds: int = 2, seed: int = 7) -> None:
+def fit(docs: DataFrame, space: Space, rank: int, rounds: int = 2, seed: int = 7) -> None:
     """Randomised SVD: the range of A'A from random starts, by ``rounds`` distributed products.
 
-    A has the passages of about ``fit_docs`` documents (by hash of the text) and
-    the items, scaled to the same total weight. Each task adds its passages into
-    one matrix of vocabulary x rank, which Spark sums row by row; that matrix, not
-    the passages, reaches the driver.
+    A has the passages of all documents and the items, scaled to the same total
+    weight. Each task adds its passages into one matrix of vocabulary x rank, which
+    Spark sums row by row; that matrix, not the passages, reaches the driver.
     """
     import numpy as np
 
     spark = docs.sparkSession
-    texts = _texts(docs)
-    total = texts.count()
-    part = min(1.0, fit_docs / max(1, total))
-    sample = materialise(texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < part * (1 << 20)).select("text"), "decontam-sample")
+    texts = _texts(docs).select("text")
     size, own = len(space.vocab), space.item_vectors()
     width = min(rank + 16, size)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0].astype(np.float32)
@@ -275,14 +271,15 @@ def fit(docs: DataFrame, space: Space, rank: int, fit_docs: int, rounds: int = 2
                     out[ids[order][first]] += np.add.reduceat(add[order], first, axis=0)
                     mass += float((weight[ids] ** 2 * (hi - lo)).sum())
             keep = np.flatnonzero(np.abs(out).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array([-1, *keep], pa.int32()), pa.array([[mass], *out[keep].tolist()], pa.list_(pa.float64()))], names=["w", "y"])
+            ends = np.concatenate([[0], 1 + out.shape[1] * np.arange(len(keep) + 1)])
+            sums = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([[mass], out[keep].ravel()])))
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *keep], pa.int32()), sums], names=["w", "y"])
 
-        sums = (sample.mapInArrow(run, "w int, y array<double>").select("w", F.posexplode("y").alias("k", "y"))
-                .groupBy("w", "k").agg(F.sum("y").alias("y")).toArrow())
-        w, k, part = (sums.column(c).to_numpy() for c in ("w", "k", "y"))
+        sums = texts.mapInArrow(run, "w int, y array<double>").groupBy("w").agg(*[F.sum(F.get("y", F.lit(k))).alias(f"y{k}") for k in range(width)]).toArrow()
+        w, part = sums.column("w").to_numpy(), np.nan_to_num(np.array([sums.column(f"y{k}").to_numpy() for k in range(width)], dtype=np.float64).T)
         y = np.zeros((size, width))
-        y[w[w >= 0], k[w >= 0]] = part[w >= 0]
-        mass = float(part[w < 0].sum())
+        y[w[w >= 0]] = part[w >= 0]
+        mass = float(part[w < 0, 0].sum())
         scale = mass / max(1e-9, sum(float((x ** 2).sum()) for _, x in own)) if mass else 1.0
         for ids, x in own:
             y[ids] += scale * np.outer(x, x @ q[ids])
@@ -365,7 +362,7 @@ def search_text(space: Space, text: str | None, limits: Limits) -> list[tuple]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim: float = 0.8, paraphrase: float = 0.6, answer: float = 0.8,
-          short: int = 8, answer_words: int = 8, rank: int = 128, fit_docs: int = 5000) -> DataFrame:
+          short: int = 8, answer_words: int = 8, rank: int = 128) -> DataFrame:
     """(doc_id, item_id, kind, cosine, lcs_share, answer_share, first_word): one row a document and item that leaks.
 
     The benchmark is the stated query set. It is searched in passes of bounded items
@@ -374,13 +371,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim:
     kinds = "doc_id long, item_id long, kind string, cosine double, lcs_share double, answer_share double, first_word long"
     out = docs.sparkSession.createDataFrame([], kinds)
     limits = Limits(cosine, verbatim, paraphrase, answer, short)
-    for space in _spaces(docs, benchmark, answer_words, rank, fit_docs):
+    for space in _spaces(docs, benchmark, answer_words, rank):
         out = out.unionByName(_search(docs, space, limits, kinds))
     strongest = F.max_by(F.struct("kind", "cosine", "lcs_share", "answer_share", "first_word"), F.struct("lcs_share", -F.col("first_word"))).alias("s")
     return out.groupBy("doc_id", "item_id").agg(strongest).select("doc_id", "item_id", "s.*")
 
 
-def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int, fit_docs: int, least_words: int = 1):
+def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int, least_words: int = 1):
     """The fitted space of every pass over the items, which are dealt out so that a pass has ``ITEMS`` items and ``VOCABULARY`` words at most."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     items = materialise(rows.withColumn("name", F.xxhash64("item_id", "text")).withColumn("size", F.regexp_count(F.lower("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))), "decontam-items")
@@ -391,7 +388,7 @@ def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int,
         if not space.vocab:
             continue
         space.set_frequencies(*frequencies(docs, space))
-        fit(docs, space, rank, fit_docs)
+        fit(docs, space, rank)
         yield space
 
 
@@ -424,14 +421,14 @@ def _search(docs: DataFrame, space: Space, limits: Limits, kinds: str) -> DataFr
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim: float = 0.8, paraphrase: float = 0.6, answer: float = 0.8,
-          short: int = 8, answer_words: int = 8, rank: int = 128, fit_docs: int = 5000, least_words: int = 4) -> DataFrame:
+          short: int = 8, answer_words: int = 8, rank: int = 128, least_words: int = 4) -> DataFrame:
     """The rows of ``docs`` in whose text no item of ``least_words`` words or more leaks; every column stays, and there is no shuffle.
 
     A leak depends on the text alone, so each batch is filtered where it is: ids are not looked at.
     """
     out, at = docs, docs.columns.index("text")
     limits = Limits(cosine, verbatim, paraphrase, answer, short)
-    for space in _spaces(docs, benchmark, answer_words, rank, fit_docs, least_words):
+    for space in _spaces(docs, benchmark, answer_words, rank, least_words):
         shared = docs.sparkSession.sparkContext.broadcast((space, limits))
 
         def run(batches, shared=shared):
