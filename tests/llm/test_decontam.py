@@ -156,3 +156,25 @@ def test_item_vectors_equal_a_dense_matrix():
             dense[k, s.vocab[w]] += s.weight[s.vocab[w]]
     q = np.random.default_rng(1).standard_normal((len(s.vocab), 5)).astype(np.float32)
     assert np.allclose(s.project(q), dense @ q, atol=1e-3)
+
+
+def test_space_is_fitted_on_the_passages_of_every_document(spark):
+    r = random.Random(11)
+    pool = [f"word{i}" for i in range(40)]
+    items = [D.Item(i, D.words(" ".join(r.sample(pool, 12))), 8) for i in range(20)]
+    texts = [" ".join(r.sample(pool, 3) + [f"x{i}"] * 4) for i in range(10000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    s = D.Space(items)
+    s.set_frequencies(*D.frequencies(docs, s))
+    D.fit(docs, s, rank=len(s.vocab))
+    a = np.zeros((len(texts), len(s.vocab)))
+    for row, t in zip(a, texts):
+        for w in D.words(t):
+            if w in s.vocab:
+                row[s.vocab[w]] += s.weight[s.vocab[w]]
+    own = np.zeros((len(items), len(s.vocab)))
+    for row, (ids, x) in zip(own, s.item_vectors()):
+        row[ids] = x
+    whole = a.T @ a + (a ** 2).sum() / (own ** 2).sum() * (own.T @ own)
+    got = s.basis.T.astype(float) @ whole @ s.basis
+    assert np.abs(got - np.diag(np.diag(got))).max() < 1e-4 * got.max()
