@@ -227,17 +227,21 @@ def frequencies(docs: DataFrame, space: Space):
     return df[:-1], int(df[-1])
 
 
-def fit(docs: DataFrame, space: Space, rank: int, rounds: int = 2, seed: int = 7) -> None:
+def fit(docs: DataFrame, space: Space, rank: int, fit_docs: int | None = None, rounds: int = 2, seed: int = 7) -> None:
     """Randomised SVD: the range of A'A from random starts, by ``rounds`` distributed products.
 
     A has the passages of all documents and the items, scaled to the same total
-    weight. Each task adds its passages into one matrix of vocabulary x rank, which
-    Spark sums row by row; that matrix, not the passages, reaches the driver.
+    weight; only a caller that gives ``fit_docs`` has about so many documents (by
+    hash of the text). Each task adds its passages into one matrix of vocabulary x
+    rank, which Spark sums row by row; that matrix, not the passages, reaches the driver.
     """
     import numpy as np
 
     spark = docs.sparkSession
     texts = _texts(docs).select("text")
+    if fit_docs is not None:
+        part = min(1.0, fit_docs / max(1, texts.count()))
+        texts = materialise(texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < part * (1 << 20)), "decontam-sample")
     size, own = len(space.vocab), space.item_vectors()
     width = min(rank + 16, size)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0].astype(np.float32)
@@ -362,7 +366,7 @@ def search_text(space: Space, text: str | None, limits: Limits) -> list[tuple]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim: float = 0.8, paraphrase: float = 0.6, answer: float = 0.8,
-          short: int = 8, answer_words: int = 8, rank: int = 128) -> DataFrame:
+          short: int = 8, answer_words: int = 8, rank: int = 128, fit_docs: int | None = None) -> DataFrame:
     """(doc_id, item_id, kind, cosine, lcs_share, answer_share, first_word): one row a document and item that leaks.
 
     The benchmark is the stated query set. It is searched in passes of bounded items
@@ -371,13 +375,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim:
     kinds = "doc_id long, item_id long, kind string, cosine double, lcs_share double, answer_share double, first_word long"
     out = docs.sparkSession.createDataFrame([], kinds)
     limits = Limits(cosine, verbatim, paraphrase, answer, short)
-    for space in _spaces(docs, benchmark, answer_words, rank):
+    for space in _spaces(docs, benchmark, answer_words, rank, fit_docs):
         out = out.unionByName(_search(docs, space, limits, kinds))
     strongest = F.max_by(F.struct("kind", "cosine", "lcs_share", "answer_share", "first_word"), F.struct("lcs_share", -F.col("first_word"))).alias("s")
     return out.groupBy("doc_id", "item_id").agg(strongest).select("doc_id", "item_id", "s.*")
 
 
-def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int, least_words: int = 1):
+def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int, fit_docs: int | None, least_words: int = 1):
     """The fitted space of every pass over the items, which are dealt out so that a pass has ``ITEMS`` items and ``VOCABULARY`` words at most."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     items = materialise(rows.withColumn("name", F.xxhash64("item_id", "text")).withColumn("size", F.regexp_count(F.lower("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))), "decontam-items")
@@ -388,7 +392,7 @@ def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int,
         if not space.vocab:
             continue
         space.set_frequencies(*frequencies(docs, space))
-        fit(docs, space, rank)
+        fit(docs, space, rank, fit_docs)
         yield space
 
 
@@ -421,14 +425,14 @@ def _search(docs: DataFrame, space: Space, limits: Limits, kinds: str) -> DataFr
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim: float = 0.8, paraphrase: float = 0.6, answer: float = 0.8,
-          short: int = 8, answer_words: int = 8, rank: int = 128, least_words: int = 4) -> DataFrame:
+          short: int = 8, answer_words: int = 8, rank: int = 128, fit_docs: int | None = None, least_words: int = 4) -> DataFrame:
     """The rows of ``docs`` in whose text no item of ``least_words`` words or more leaks; every column stays, and there is no shuffle.
 
     A leak depends on the text alone, so each batch is filtered where it is: ids are not looked at.
     """
     out, at = docs, docs.columns.index("text")
     limits = Limits(cosine, verbatim, paraphrase, answer, short)
-    for space in _spaces(docs, benchmark, answer_words, rank, least_words):
+    for space in _spaces(docs, benchmark, answer_words, rank, fit_docs, least_words):
         shared = docs.sparkSession.sparkContext.broadcast((space, limits))
 
         def run(batches, shared=shared):
