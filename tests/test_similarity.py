@@ -91,6 +91,28 @@ def test_knn_ties_go_to_the_smallest_ids(spark):
     assert SIM.knn_exact(q, c.limit(2), "q", "c", "w", "v", 3).count() == 4
 
 
+def test_nearest_rows_leave_out_none_and_few_others():
+    r = np.random.default_rng(3)
+    c, q = r.standard_normal((6000, 16)).astype(np.float32) * 50, r.standard_normal((40, 16)).astype(np.float32) * 50
+    c[7], c[8, 2] = c[9], np.nan
+    got = [(int(a), int(b)) for rows, cols in SIM.nearest_rows(q, c, 5) for a, b in zip(rows, cols)]
+    d = ((q[:, None, :].astype(np.float64) - c[None]) ** 2).sum(axis=2)
+    want = {(i, int(j)) for i in range(len(q)) for j in np.argsort(d[i])[:5]}
+    assert want <= set(got) and len(got) < 3 * len(want) and 8 not in {b for _, b in got}
+
+
+def test_a_query_row_is_not_sent_to_every_cell(spark):
+    """Queries go to blocks of near cells: about SIDES rows a query where nothing can be skipped, not one a cell."""
+    r = np.random.default_rng(4)
+    pivots = r.standard_normal((900, 32))
+    count = np.full(900, 100)
+    block_of = SIM._blocks_of(pivots, count, 90_000 // SIM.SIDES)
+    assert sorted(np.unique(block_of)) == list(range(block_of.max() + 1)) and block_of.max() + 1 <= 2 * SIM.SIDES
+    assert (np.bincount(block_of, weights=count) <= 90_000 // SIM.SIDES).all()
+    alone = SIM._blocks_of(pivots[:4], np.array([5, 50, 5, 5]), 20)
+    assert (np.bincount(alone, weights=[5, 50, 5, 5]) <= 50).all() and block_of.max() >= 1
+
+
 def test_two_stage_cut(spark):
     from tonality.operators.retrieval import retrieve_two_stage
     qv = spark.createDataFrame([(1, "a b c", [0.0, 0.0])], "q long, text string, v array<float>")
