@@ -116,3 +116,12 @@ def test_ranks_on_empty_and_tiny_inputs(spark):
     assert S.shuffle_rows(spark.range(0), "id").count() == 0
     one = spark.range(1).withColumnRenamed("id", "k")
     assert [(r["position"], r["batch_id"]) for r in S.batch_ids(one, "k", 32).collect()] == [(1, 0)]
+
+
+def test_rows_of_a_group_do_not_meet_in_one_task(spark):
+    """The cuts, a row a group, travel to the rows: no shuffle of the rows by their group."""
+    df = spark.range(4000).repartition(7).select("id", F.when(F.col("id") % 40 == 0, "negative").otherwise("neutral").alias("sentiment"))
+    for out in (S.split_exact(df, "id", "sentiment", 0.8), S.balance_undersample(df, "id")):
+        rows = out.withColumn("at", F.spark_partition_id()).groupBy("sentiment").agg(F.countDistinct("at").alias("n")).collect()
+        assert rows and all(r["n"] == 7 for r in rows if r["sentiment"] == "neutral")
+        assert "hashpartitioning(sentiment" not in out._jdf.queryExecution().executedPlan().toString()
