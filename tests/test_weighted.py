@@ -145,6 +145,22 @@ def test_weighted_join_equals_brute_force(spark, t):
         assert pairs.count() <= 3 * len(want)
 
 
+def test_weights_of_whole_tables_are_added_up_without_a_window(spark, monkeypatch):
+    """Only contexts lighter than the heaviest query are sorted by weight; the long ones are added up where they are read."""
+    long = " ".join(f"w{i}" for i in range(400))
+    cs = [(1, "a b c"), (2, "a b c d"), (3, long + " a b c"), (4, ""), (5, None), (6, long)]
+    c, q = spark.createDataFrame(cs, "c long, text string"), spark.createDataFrame([(9, "a b c x"), (8, "w1 w2 w3")], "q long, text string")
+    seen, rows = [], WS.weighted_rows
+    monkeypatch.setattr(WS, "weighted_rows", lambda df, id_col, *a: seen.append({r[id_col] for r in df.collect()}) or rows(df, id_col, *a))
+    got = {(x["q"], x["c"]): x["shared_weight"] for x in WS.weighted_overlap_join(q, c, "q", "c", threshold=0.6).collect()}
+    assert got == plain_weighted([(9, "a b c x"), (8, "w1 w2 w3")], cs, 0.6) and (9, 1) in got and (8, 6) in got
+    assert seen[0] == {8, 9} and len(seen) == 2 and {1} <= seen[1] <= {1, 2}
+    weights, n = WS.token_weights(c, "c", "text")
+    totals = {r["sid"]: r["total"] for r in WS.total_weights(c, "c", "text", WS.materialize(weights), n).collect()}
+    windowed = {r["sid"]: r["total"] for r in rows(c, "c", "text", WS.materialize(weights), n).collect()}
+    assert totals == windowed and set(totals) == {1, 2, 3, 6}
+
+
 def test_near_copies_are_written_without_token_sets(spark, monkeypatch):
     seen, write = [], W.materialize
     monkeypatch.setattr(W, "materialize", lambda df: seen.append(dict(df.dtypes)) or write(df))
