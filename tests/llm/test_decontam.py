@@ -178,3 +178,68 @@ def test_space_is_fitted_on_the_passages_of_every_document(spark):
     whole = a.T @ a + (a ** 2).sum() / (own ** 2).sum() * (own.T @ own)
     got = s.basis.T.astype(float) @ whole @ s.basis
     assert np.abs(got - np.diag(np.diag(got))).max() < 1e-4 * got.max()
+
+
+def test_texts_are_read_and_split_once_a_pass(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = spark.createDataFrame([(i, f"alpha beta gamma delta epsilon zeta eta theta w{i}") for i in range(300)], "doc_id long, text string").mapInArrow(count, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta")], "item_id long, text string")
+    assert len(D.leaks(docs, bench).collect()) == 300
+    assert read.value == 300
+
+
+ODD = ["", None, "  ,. ", "one", " One\tTWO\n\x00three ", "Ärger ΣΑΣ İ ñ 漢字 Ärger", "x " * 40, "a b c d e f g h i j k l m n o p", "q r one two " * 30, " nbsp one two"]
+
+
+def odd_space():
+    s = D.Space([D.Item(k, D.words(t), 8) for k, t in enumerate(["one two three", "ärger σας 漢字", "p q r", "x a b c d e f g h i j k l m", "i̇ ñ", ""])])
+    s.set_frequencies([3 + k % 5 for k in range(len(s.vocab))], 5000)
+    return s
+
+
+def test_codes_are_the_words_in_whole_blocks():
+    s = odd_space()
+    for texts in (ODD, ODD[:3], [], ODD * 40):
+        flat, sizes = s.code(texts, s.words())
+        want = [[s.vocab.get(w, len(s.vocab)) for w in D.words(t)] for t in texts]
+        assert sizes.tolist() == [-(-len(ws) // D.BLOCK) for ws in want]
+        padded = [x for ws, n in zip(want, sizes.tolist()) for x in ws + [len(s.vocab) + 1] * (n * D.BLOCK - len(ws))]
+        assert flat.tolist() == padded
+
+
+def test_copies_end_with_their_text():
+    s = odd_space()
+    plain = [D.words(t) for t in ODD]  # one text ends in "p" on a block's end, the next begins with "q r"
+    want = {(d, k): i for d, ws in enumerate(plain) for k, it in enumerate(s.items) if it.words for i in reversed(range(len(ws))) if ws[i:i + len(it.words)] == it.words}
+    got = s.copies(*s.code(ODD, s.words()))
+    assert len(plain[7]) == D.BLOCK and len(got) == len(want) and {(d, k): i for d, k, i in got} == want
+
+
+def test_group_sums_passages_and_their_transpose():
+    r = np.random.default_rng(4)
+    rows = r.standard_normal((50, 3)).astype(np.float32)
+    counts = np.array([0, 1, 700, 16, 17, 0, 33, 2])
+    at = r.integers(0, 50, counts.sum())
+    ends = np.cumsum(counts)
+    assert np.allclose(D.sums(rows, at, counts), [rows[at[e - n:e]].sum(axis=0) for e, n in zip(ends, counts)], atol=1e-3)
+    sizes = np.array([1, 0, 2, 5, 1, 3])
+    for span in (1, 2, 3):
+        blocks = r.standard_normal((sizes.sum(), 3)).astype(np.float32)
+        own = [D.passages(b, span) for b in np.split(blocks, np.cumsum(sizes)[:-1])]
+        z = D.passages(blocks, span, sizes)
+        assert np.allclose(z, np.concatenate(own), atol=1e-5) and len(z) == D.windows(sizes, span).sum()
+        y = r.standard_normal(z.shape).astype(np.float32)
+        assert np.isclose((z * y).sum(), (blocks * D.spread(y, span, sizes)).sum(), atol=1e-3)
+
+
+def test_frequencies_count_blocks_that_hold_a_word(spark):
+    s = odd_space()
+    df, n = D.frequencies(spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string"), s)
+    blocks = [ws[a:a + D.BLOCK] for ws in map(D.words, ODD) for a in range(0, len(ws), D.BLOCK)]
+    assert n == len(blocks) and df.tolist() == [sum(w in b for b in blocks) for w in s.vocab]

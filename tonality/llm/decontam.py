@@ -13,6 +13,10 @@ the item's rarest word. A candidate is a leak if the longest common
 subsequence of words covers enough of the item, or, for paraphrases, a smaller
 share together with the item's answer, its last words.
 
+Texts are split once a pass: each becomes the numbers of its words in the
+vocabulary of the pass, in whole blocks of words, and every later step reads those
+numbers, many texts at a time.
+
 Defined results
   null or empty text: no passage, no leak; items without a word never match, and
   items of fewer than ``short`` words match only as they stand; items under
@@ -27,8 +31,7 @@ Defined results
 
 from __future__ import annotations
 
-from itertools import repeat
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,7 @@ SPAN = 2
 HOLDS = 0.5            # share of an item's weight in a passage that makes it a candidate, for items within a passage
 ITEMS = 2000           # items searched in one pass over the documents
 VOCABULARY = 1 << 16   # words that the items of one pass have together (an item with more has a pass of its own)
+AT_ONCE = 1 << 11      # blocks of words that a task works on at once (a longer text is worked on whole)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -67,9 +71,14 @@ class Item:
         # an item that lies half in the passage is seen whole; whole blocks, so that items share regions
         self.pad = -(-max(len(ws) - SPAN * BLOCK // 2, 2 * BLOCK) // BLOCK) * BLOCK
         # the answer is the end of the item: at most ``answer_words`` words, a third of a short item
+        self.answer_words = answer_words
         self.answer = ws[-max(1, min(answer_words, len(ws) // 3)):] if ws else []
         self.answer_masks = places(self.answer)
 
+    def coded(self, vocab: dict[bytes, int]) -> Item:
+        """The same item with the numbers of its words for words."""
+        return Item(self.id, [vocab[w] for w in self.words], self.answer_words)
+
 
 def places(ws: list[bytes]) -> dict[bytes, int]:
     out: dict[bytes, int] = {}
@@ -88,8 +97,14 @@ class Space:
         self.vocab = {w: i for i, w in enumerate(sorted({w for it in items for w in it.words}))}
         self.weight = np.ones(len(self.vocab), dtype=np.float32)
         self.basis = None  # words x rank
+        self.coded = [it.coded(self.vocab) for it in items]
+        self.bytes = [np.array(it.words, dtype=self.dtype).tobytes() for it in self.coded]
         self.anchored: dict[int, list[tuple[int, int]]] = {}  # word -> (item index, place) of the items whose rarest it is
-        self.anchor = np.zeros(len(self.vocab), dtype=bool)
+
+    @property
+    def dtype(self) -> str:
+        """Of word numbers: those of the vocabulary, then one for all other words and one that fills the last block."""
+        return "<u2" if len(self.vocab) + 2 <= 1 << 16 else "<u4"
 
     def set_frequencies(self, df, n: int) -> None:
         """IDF; words in more than about one passage in seven weigh nothing unless an item has no other."""
@@ -101,7 +116,6 @@ class Space:
                 own = [self.vocab[w] for w in it.words]
                 place = int(np.argmax(idf[own]))
                 self.anchored.setdefault(own[place], []).append((k, place))
-                self.anchor[own[place]] = True
         self.weight = np.maximum(idf - 2, 0).astype(np.float32)
         for it in self.items:
             own = [self.vocab[w] for w in it.words]
@@ -136,93 +150,197 @@ class Space:
         # the product with a passage at which the passage holds enough of the item
         self.holds = np.where(within & (norm[:, 0] > 1e-6), HOLDS * norm[:, 0], np.inf).astype(np.float32)
 
-    def known(self, ws: list[bytes]):
-        """(places, vocabulary ids) of the words that are in the vocabulary."""
+    def code(self, texts: list[str | None], vocab):
+        """(numbers of all words, each text in whole blocks; blocks of each text); ``vocab``: the words as an Arrow array."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        plain = [(t or "").lower().encode("utf-8", "replace").translate(WORDS).strip() or None for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.string()))
+        n = pc.fill_null(pc.list_value_length(split), 0).to_numpy().astype(np.int64)
+        sizes = -(-n // BLOCK)
+        flat = np.full(sizes.sum() * BLOCK, len(vocab) + 1, dtype=self.dtype)
+        at = np.arange(n.sum()) + np.repeat((np.cumsum(sizes) - sizes) * BLOCK - (np.cumsum(n) - n), n)
+        flat[at] = pc.fill_null(pc.index_in(split.flatten(), value_set=vocab), len(vocab)).to_numpy()
+        return flat, sizes
+
+    def words(self):
+        import pyarrow as pa
 
-        all_ids = np.fromiter(map(self.vocab.get, ws, repeat(-1)), dtype=np.int32, count=len(ws))
-        at = np.flatnonzero(all_ids >= 0)
-        return at, all_ids[at]
-
-    def weighted(self, at, ids):
-        keep = self.weight[ids] > 0
-        return at[keep], ids[keep]
+        return pa.array([w.decode() for w in self.vocab], pa.string())
 
-    def ids(self, ws: list[bytes]):
-        """(places, vocabulary ids) of the words that have a weight."""
-        return self.weighted(*self.known(ws))
+    def copies(self, flat, sizes) -> list[tuple[int, int, int]]:
+        """(text, item index, first word) of the first exact copy of every item."""
+        import numpy as np
 
-    def copies(self, ws: list[bytes], at, ids) -> list[tuple[int, int]]:
-        """(item index, first word) of the first exact copy of every item; ``at`` and ``ids`` from ``known``."""
-        mark = self.anchor[ids]
-        out: dict[int, int] = {}
-        for p, w in zip(at[mark].tolist(), ids[mark].tolist()):
+        anchor = np.zeros(len(self.vocab) + 2, dtype=bool)
+        anchor[list(self.anchored)] = True
+        at, end = np.flatnonzero(anchor[flat]), np.cumsum(sizes) * BLOCK
+        text = np.searchsorted(end, at, side="right")
+        out, size, whole = {}, flat.itemsize, flat.tobytes()
+        for d, p, w, lo in zip(text.tolist(), at.tolist(), flat[at].tolist(), (end - sizes * BLOCK)[text].tolist()):
             for k, place in self.anchored[w]:
-                own = self.items[k].words
-                if k not in out and p >= place and ws[p - place:p - place + len(own)] == own:
-                    out[k] = p - place
-        return list(out.items())
+                # a copy cannot run into the next text: a text's last block is filled up, or ends where the next begins
+                first, own = p - place, self.bytes[k]
+                if (d, k) not in out and first >= lo and first * size + len(own) <= end[d] * size and whole.startswith(own, first * size):
+                    out[d, k] = first - lo
+        return [(d, k, first) for (d, k), first in out.items()]
 
 
-def windows(n: int, span: int) -> int:
+def windows(n, span: int):
     """Passages of ``span`` blocks in ``n`` blocks: one at every block, one where the text is shorter."""
-    return max(1, n - span + 1) if n else 0
+    import numpy as np
+
+    return np.where(n > 0, np.maximum(1, n - span + 1), 0)
+
+
+def within(sizes):
+    """Place of every block in its text, for texts of ``sizes`` blocks."""
+    import numpy as np
+
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def sums(rows, at, counts):
+    """Sum of ``rows[at]`` over consecutive groups of ``counts`` entries; the k-th rows of all groups are added at once."""
+    import numpy as np
+
+    most = int(counts.max(initial=0))
+    if most > BLOCK:  # long groups in pieces, then the pieces
+        pieces = -(-counts // BLOCK)
+        size = np.full(pieces.sum(), BLOCK)
+        some = counts > 0
+        size[np.cumsum(pieces)[some] - 1] = (counts - (pieces - 1) * BLOCK)[some]
+        part = sums(rows, at, size)
+        return sums(part, np.arange(len(part)), pieces)
+    order = np.argsort(-counts, kind="stable")
+    first, left = (np.cumsum(counts) - counts)[order], counts[order]
+    total = np.zeros((len(counts), rows.shape[1]), dtype=np.float32)
+    for k in range(most):
+        n = np.searchsorted(-left, -k)
+        total[:n] += rows.take(at[first[:n] + k], axis=0)
+    out = np.empty_like(total)
+    out[order] = total
+    return out
 
 
 def block_sums(at, ids, n_words: int, rows):
-    """Sum of ``rows[id]`` over each block of words."""
+    """Sum of ``rows[id]`` over each block of words; ``at``: places of the ids, ascending."""
+    import numpy as np
+
+    return sums(rows, ids, np.bincount(at // BLOCK, minlength=-(-n_words // BLOCK)))
+
+
+def passages(blocks, span: int, sizes=None):
+    """Rows of ``span`` consecutive blocks, summed, of texts of ``sizes`` blocks (one text if not given)."""
     import numpy as np
 
-    n = -(-n_words // BLOCK)
-    out = np.zeros((n, rows.shape[1]), dtype=np.float32)
-    if len(at):
-        block = at // BLOCK
-        first = np.flatnonzero(np.diff(block, prepend=-1))
-        for a in range(0, len(first), 4096):  # bounded memory for very long texts
-            part = first[a:a + 4096]
-            end = first[a + 4096] if a + 4096 < len(first) else len(at)
-            out[block[part]] = np.add.reduceat(rows[ids[part[0]:end]], part - part[0], axis=0)
+    sizes = np.array([len(blocks)]) if sizes is None else sizes
+    place, left = within(sizes), np.repeat(sizes, sizes)
+    at = np.flatnonzero(place < windows(left, span))
+    out, left = blocks[at], (left - place)[at]
+    for k in range(1, span):
+        more = np.flatnonzero(left > k)
+        out[more] += blocks[at[more] + k]
     return out
 
 
-def passages(blocks, span: int):
-    """Rows of ``span`` consecutive blocks, summed."""
-    n = windows(len(blocks), span)
-    out = blocks[:n].copy()
-    for k in range(1, min(span, len(blocks))):
-        out += blocks[k:k + n]
+def spread(z, span: int, sizes):
+    """Sum of the rows ``z`` of the passages that hold each block: ``passages`` transposed."""
+    import numpy as np
+
+    place, left = within(sizes), np.repeat(sizes, sizes)
+    at = np.flatnonzero(place < windows(left, span))
+    out, left = np.zeros((len(place), z.shape[1]), dtype=z.dtype), (left - place)[at]
+    for k in range(span):
+        more = np.flatnonzero(left > k)
+        out[at[more] + k] += z[more]
     return out
 
 
+def _runs(sizes: list[int], most: int):
+    """(first, end) of consecutive texts that have ``most`` together, or of one longer text."""
+    a = total = 0
+    for b, n in enumerate(sizes):
+        if b > a and total + n > most:
+            yield a, b
+            a = b
+            total = 0
+        total += n
+    if a < len(sizes):
+        yield a, len(sizes)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
 
 
+def encoded(docs: DataFrame, space: Space) -> DataFrame:
+    """(doc_id, codes): the word numbers of every text that is not null, in whole blocks, as bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(space)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        s = shared.value
+        vocab = s.words()
+        for b in batches:
+            for (flat, sizes), a, e in _code(s, b.column(1), vocab):
+                ends = np.concatenate([[0], np.cumsum(sizes) * BLOCK * flat.itemsize]).astype(np.int32)
+                codes = pa.Array.from_buffers(pa.binary(), e - a, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([b.column(0)[a:e], codes], names=["doc_id", "codes"])
+
+    return _texts(docs).mapInArrow(run, "doc_id long, codes binary")
+
+
+def _code(space: Space, column, vocab):
+    """(numbers and blocks of texts, first and end of them) for parts of a column of texts that are small enough to split together."""
+    import pyarrow.compute as pc
+
+    for a, e in _runs(pc.fill_null(pc.binary_length(column), 0).to_pylist(), 1 << 24):
+        yield space.code(column[a:e].to_pylist(), vocab), a, e
+
+
+def _decoded(column, dtype: str):
+    """(numbers of all words, blocks of each text, first and end of the texts) of about ``AT_ONCE`` blocks each."""
+    import numpy as np
+
+    codes = column.to_pylist()
+    sizes = np.array([len(c) for c in codes], dtype=np.int64) // (BLOCK * np.dtype(dtype).itemsize)
+    for a, e in _runs(sizes.tolist(), AT_ONCE):
+        yield np.frombuffer(b"".join(codes[a:e]), dtype=dtype), sizes[a:e], a, e
+
+
 def frequencies(docs: DataFrame, space: Space):
     """(document frequency of each vocabulary word, count) over all blocks of all documents."""
+    return _frequencies(encoded(docs, space), space)
+
+
+def _frequencies(codes: DataFrame, space: Space):
     import numpy as np
 
-    shared = docs.sparkSession.sparkContext.broadcast(space)
+    size, dtype = len(space.vocab), space.dtype
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        s = shared.value
-        df, n = np.zeros(len(s.vocab) + 1, dtype=np.int64), 0
+        df, n = np.zeros(size + 1, dtype=np.int64), 0
         for b in batches:
-            for t in b.column(0):
-                ws = words(t.as_py())
-                at, ids = s.ids(ws)
-                n += -(-len(ws) // BLOCK)
-                pairs = np.unique((at // BLOCK).astype(np.int64) * len(s.vocab) + ids)
-                df[:-1] += np.bincount(pairs % max(1, len(s.vocab)), minlength=len(s.vocab))
+            for flat, sizes, _, _ in _decoded(b.column(0), dtype):
+                blocks = np.sort(flat.reshape(-1, BLOCK), axis=1)
+                first = np.ones(blocks.shape, dtype=bool)
+                np.not_equal(blocks[:, 1:], blocks[:, :-1], out=first[:, 1:])
+                df[:-1] += np.bincount(blocks[first], minlength=size + 2)[:size]
+                n += len(blocks)
         df[-1] = n
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], names=["w", "n"])
 
-    got = _texts(docs).select("text").mapInArrow(run, "w int, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(space.vocab) + 1, dtype=np.int64)
+    got = codes.select("codes").mapInArrow(run, "w int, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(size + 1, dtype=np.int64)
     df[got["w"].to_numpy()] = got["n"].to_numpy()
     return df[:-1], int(df[-1])
 
@@ -235,52 +353,51 @@ def fit(docs: DataFrame, space: Space, rank: int, fit_docs: int | None = None, r
     hash of the text). Each task adds its passages into one matrix of vocabulary x
     rank, which Spark sums row by row; that matrix, not the passages, reaches the driver.
     """
-    import numpy as np
-
-    spark = docs.sparkSession
-    texts = _texts(docs).select("text")
     if fit_docs is not None:
+        texts = _texts(docs)
         part = min(1.0, fit_docs / max(1, texts.count()))
-        texts = materialise(texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < part * (1 << 20)), "decontam-sample")
-    size, own = len(space.vocab), space.item_vectors()
+        docs = materialise(texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < part * (1 << 20)), "decontam-sample")
+    codes = encoded(docs, space).persist(StorageLevel.DISK_ONLY)
+    _fit(codes, space, rank, rounds, seed)
+    codes.unpersist()
+
+
+def _fit(codes: DataFrame, space: Space, rank: int, rounds: int = 2, seed: int = 7) -> None:
+    import numpy as np
+
+    size, own, dtype = len(space.vocab), space.item_vectors(), space.dtype
     width = min(rank + 16, size)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0].astype(np.float32)
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((space.vocab, space.weight, q))
+        shared = codes.sparkSession.sparkContext.broadcast((space.weight, q))
 
         def run(batches, shared=shared):
             import numpy as np
             import pyarrow as pa
 
-            vocab, weight, q = shared.value
-            s = Space([])
-            s.vocab, s.weight = vocab, weight
-            rows = weight[:, None] * q
-            out, mass = np.zeros_like(q, dtype=np.float64), 0.0
+            weight, q = shared.value
+            rows, weight = weight[:, None] * q, np.append(weight, [0, 0]).astype(np.float64)
+            weighs = weight > 0
+            out, mass = np.zeros(q.shape, dtype=np.float64), 0.0
             for batch in batches:
-                for t in batch.column(0):
-                    ws = words(t.as_py())
-                    at, ids = s.ids(ws)
-                    if not len(at):
-                        continue
-                    z = passages(block_sums(at, ids, len(ws), rows), SPAN)
+                for flat, sizes, _, _ in _decoded(batch.column(0), dtype):
+                    at = np.flatnonzero(weighs[flat])
+                    ids, block = flat[at], at // BLOCK
                     # A' z: every word adds the sum of z over the passages that hold it
-                    n, block = len(z), at // BLOCK
-                    run_sum = np.concatenate([np.zeros((1, z.shape[1])), np.cumsum(z, axis=0, dtype=np.float64)])
-                    lo, hi = np.maximum(block - SPAN + 1, 0), np.minimum(block, n - 1) + 1
-                    lo = np.minimum(lo, hi - 1)
-                    add = (run_sum[hi] - run_sum[lo]) * weight[ids][:, None]
-                    order = np.argsort(ids, kind="stable")
-                    first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-                    out[ids[order][first]] += np.add.reduceat(add[order], first, axis=0)
-                    mass += float((weight[ids] ** 2 * (hi - lo)).sum())
+                    z = spread(passages(block_sums(at, ids, len(flat), rows), SPAN, sizes), SPAN, sizes)
+                    order, n = np.argsort(ids, kind="stable"), np.bincount(ids, minlength=size)
+                    some = np.flatnonzero(n)
+                    out[some] += sums(z, block[order], n[some])
+                    held = spread(np.ones((windows(sizes, SPAN).sum(), 1)), SPAN, sizes)[:, 0]
+                    mass += float(weight[ids] ** 2 @ held[block])
+            out *= weight[:-2, None]
             keep = np.flatnonzero(np.abs(out).sum(axis=1))
             ends = np.concatenate([[0], 1 + out.shape[1] * np.arange(len(keep) + 1)])
-            sums = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([[mass], out[keep].ravel()])))
-            yield pa.RecordBatch.from_arrays([pa.array([-1, *keep], pa.int32()), sums], names=["w", "y"])
+            values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([[mass], out[keep].ravel()])))
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *keep], pa.int32()), values], names=["w", "y"])
 
-        sums = texts.mapInArrow(run, "w int, y array<double>").groupBy("w").agg(*[F.sum(F.get("y", F.lit(k))).alias(f"y{k}") for k in range(width)]).toArrow()
-        w, part = sums.column("w").to_numpy(), np.nan_to_num(np.array([sums.column(f"y{k}").to_numpy() for k in range(width)], dtype=np.float64).T)
+        got = codes.select("codes").mapInArrow(run, "w int, y array<double>").groupBy("w").agg(*[F.sum(F.get("y", F.lit(k))).alias(f"y{k}") for k in range(width)]).toArrow()
+        w, part = got.column("w").to_numpy(), np.nan_to_num(np.array([got.column(f"y{k}").to_numpy() for k in range(width)], dtype=np.float64).T)
         y = np.zeros((size, width))
         y[w[w >= 0]] = part[w >= 0]
         mass = float(part[w < 0, 0].sum())
@@ -319,36 +436,55 @@ def verify(item: Item, region: list[bytes], here: set[bytes], limits: Limits) ->
     return ("paraphrase", share, answer) if answer >= limits.answer else None
 
 
-def candidates(space: Space, ws: list[bytes], cosine: float) -> list[tuple[int, int, int, float]]:
-    """(item index, first word, end word, cosine) of every passage and item that are close enough, and of exact copies."""
+def candidates(space: Space, flat, sizes, cosine: float) -> dict[int, list[tuple[int, int, int, float]]]:
+    """text -> (item index, first word, end word, cosine) of every passage and item that are close enough, and of exact copies."""
     import numpy as np
 
-    known = space.known(ws)
-    at, ids = space.weighted(*known)
+    at = np.flatnonzero(np.append(space.weight > 0, [False, False])[flat])
     if not len(at):
-        return []
-    z, out = passages(block_sums(at, ids, len(ws), space.rows), SPAN), []
+        return {}
+    z, n = passages(block_sums(at, flat[at], len(flat), space.rows), SPAN, sizes), windows(sizes, SPAN)
+    text, place, end = np.repeat(np.arange(len(sizes)), n), within(n), np.cumsum(sizes)
+    n_words = BLOCK * sizes - np.where(sizes > 0, (flat.reshape(-1, BLOCK)[end - 1] == len(space.vocab) + 1).sum(axis=1), 0)
+    some = np.zeros(len(sizes), dtype=bool)  # texts with a word that weighs
+    some[np.searchsorted(end, at // BLOCK, side="right")] = True
     size = np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-9)
+    out: dict[int, list[tuple[int, int, int, float]]] = {}
     for a in range(0, len(z), 8192):
         near, by = z[a:a + 8192] @ space.latent.T, size[a:a + 8192]
         # of the two limits the lower decides
         hit, item = np.nonzero(near >= np.minimum(cosine * by[:, None], space.holds))
-        first = (hit + a) * BLOCK
-        out += zip(item.tolist(), first.tolist(), np.minimum(first + SPAN * BLOCK, len(ws)).tolist(), (near[hit, item] / by[hit]).tolist())
-    for k, first in space.copies(ws, *known):
-        i = min(first // BLOCK, len(z) - 1)
-        out.append((k, i * BLOCK, min(len(ws), (i + SPAN) * BLOCK), float(z[i] @ space.latent[k] / size[i])))
+        row = hit + a
+        first = place[row] * BLOCK
+        for d, *found in zip(text[row].tolist(), item.tolist(), first.tolist(), np.minimum(first + SPAN * BLOCK, n_words[text[row]]).tolist(), (near[hit, item] / by[hit]).tolist()):
+            if some[d]:
+                out.setdefault(d, []).append(tuple(found))
+    start = np.cumsum(n) - n
+    for d, k, first in space.copies(flat, sizes):
+        if some[d]:
+            i = min(first // BLOCK, int(n[d]) - 1)
+            row = start[d] + i
+            out.setdefault(d, []).append((k, i * BLOCK, min(int(n_words[d]), (i + SPAN) * BLOCK), float(z[row] @ space.latent[k] / size[row])))
     return out
 
 
-def search_text(space: Space, text: str | None, limits: Limits) -> list[tuple]:
-    """(item id, kind, cosine, share, answer share, first word) of the strongest leak of every item."""
-    ws = words(text)
+def search(space: Space, flat, sizes, limits: Limits):
+    """(text, item id, kind, cosine, share, answer share, first word) of the strongest leak of every item in every text."""
+    import numpy as np
+
+    end = np.cumsum(sizes) * BLOCK
+    for d, found in sorted(candidates(space, flat, sizes, limits.cosine).items()):
+        ws = flat[end[d] - sizes[d] * BLOCK:end[d]]
+        for x in _strongest(space, ws[ws <= len(space.vocab)].tolist(), found, limits):
+            yield (d, *x)
+
+
+def _strongest(space: Space, ws: list[int], found: list[tuple[int, int, int, float]], limits: Limits) -> list[tuple]:
     best: dict[int, tuple] = {}
     seen: dict[int, int] = {}
-    regions: dict[tuple[int, int], tuple[list[bytes], set[bytes]]] = {}
-    for k, a, b, cos in sorted(candidates(space, ws, limits.cosine)):
-        item = space.items[k]
+    regions: dict[tuple[int, int], tuple[list[int], set[int]]] = {}
+    for k, a, b, cos in sorted(found):
+        item = space.coded[k]
         to = b + item.pad
         known = seen.get(k, -1)
         if known >= to or known >= len(ws):  # the last region of this item reached as far
@@ -359,9 +495,9 @@ def search_text(space: Space, text: str | None, limits: Limits) -> list[tuple]:
         if part is None:
             region = ws[lo:to]
             part = regions[lo, to] = region, set(region)
-        found = verify(item, *part, limits)
-        if found and (k not in best or found[1] > best[k][3]):
-            best[k] = (item.id, found[0], cos, found[1], found[2], lo)
+        leak = verify(item, *part, limits)
+        if leak and (k not in best or leak[1] > best[k][3]):
+            best[k] = (item.id, leak[0], cos, leak[1], leak[2], lo)
     return list(best.values())
 
 
@@ -370,19 +506,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim:
     """(doc_id, item_id, kind, cosine, lcs_share, answer_share, first_word): one row a document and item that leaks.
 
     The benchmark is the stated query set. It is searched in passes of bounded items
-    and words, so what is broadcast is bounded; every pass reads all documents.
+    and words, so what is broadcast is bounded; every pass reads all documents. Their
+    word numbers are on the executors' disks until the pass is over.
     """
     kinds = "doc_id long, item_id long, kind string, cosine double, lcs_share double, answer_share double, first_word long"
     out = docs.sparkSession.createDataFrame([], kinds)
     limits = Limits(cosine, verbatim, paraphrase, answer, short)
-    for space in _spaces(docs, benchmark, answer_words, rank, fit_docs):
-        out = out.unionByName(_search(docs, space, limits, kinds))
+    for space, codes in _coded_spaces(docs, benchmark, answer_words, rank, fit_docs):
+        out = out.unionByName(materialise(_search(codes, space, limits, kinds), "decontam-leaks"))
     strongest = F.max_by(F.struct("kind", "cosine", "lcs_share", "answer_share", "first_word"), F.struct("lcs_share", -F.col("first_word"))).alias("s")
     return out.groupBy("doc_id", "item_id").agg(strongest).select("doc_id", "item_id", "s.*")
 
 
 def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int, fit_docs: int | None, least_words: int = 1):
-    """The fitted space of every pass over the items, which are dealt out so that a pass has ``ITEMS`` items and ``VOCABULARY`` words at most."""
+    """The fitted space of every pass over the items."""
+    for space, _ in _coded_spaces(docs, benchmark, answer_words, rank, fit_docs, least_words):
+        yield space
+
+
+def _coded_spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int, fit_docs: int | None, least_words: int = 1):
+    """The fitted space of every pass over the items and the documents' word numbers in it.
+
+    Items are dealt out so that a pass has ``ITEMS`` items and ``VOCABULARY`` words at most.
+    """
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     items = materialise(rows.withColumn("name", F.xxhash64("item_id", "text")).withColumn("size", F.regexp_count(F.lower("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))), "decontam-items")
     for names in _passes(items.select("name", "size").toArrow()):
@@ -391,9 +537,16 @@ def _spaces(docs: DataFrame, benchmark: DataFrame, answer_words: int, rank: int,
         space = Space([it for it in found if len(it.words) >= least_words])
         if not space.vocab:
             continue
-        space.set_frequencies(*frequencies(docs, space))
-        fit(docs, space, rank, fit_docs)
-        yield space
+        codes = encoded(docs, space).persist(StorageLevel.DISK_ONLY)
+        space.set_frequencies(*_frequencies(codes, space))
+        if fit_docs is None:
+            _fit(codes, space, rank)
+        else:
+            fit(docs, space, rank, fit_docs)
+        try:
+            yield space, codes
+        finally:
+            codes.unpersist()
 
 
 def _passes(sizes) -> list[list[int]]:
@@ -408,8 +561,8 @@ def _passes(sizes) -> list[list[int]]:
     return out
 
 
-def _search(docs: DataFrame, space: Space, limits: Limits, kinds: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((space, limits))
+def _search(codes: DataFrame, space: Space, limits: Limits, kinds: str) -> DataFrame:
+    shared = codes.sparkSession.sparkContext.broadcast((space, limits))
 
     def run(batches):
         import pyarrow as pa
@@ -417,11 +570,12 @@ def _search(docs: DataFrame, space: Space, limits: Limits, kinds: str) -> DataFr
         space, limits = shared.value
         types = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
         for b in batches:
-            rows = [(d, *x) for d, t in zip(b.column(0).to_pylist(), b.column(1)) for x in search_text(space, t.as_py(), limits)]
+            ids = b.column(0).to_pylist()
+            rows = [(ids[a + d], *x) for flat, sizes, a, _ in _decoded(b.column(1), space.dtype) for d, *x in search(space, flat, sizes, limits)]
             cols = list(zip(*rows)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["doc_id", "item_id", "kind", "cosine", "lcs_share", "answer_share", "first_word"])
 
-    return _texts(docs).mapInArrow(run, kinds)
+    return codes.mapInArrow(run, kinds)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim: float = 0.8, paraphrase: float = 0.6, answer: float = 0.8,
@@ -436,10 +590,19 @@ def clean(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.65, verbatim:
         shared = docs.sparkSession.sparkContext.broadcast((space, limits))
 
         def run(batches, shared=shared):
+            import numpy as np
             import pyarrow as pa
 
+            space, limits = shared.value
+            vocab = space.words()
             for b in batches:
-                yield b.filter(pa.array([not search_text(shared.value[0], t.as_py(), shared.value[1]) for t in b.column(at)], pa.bool_()))
+                kept = np.ones(b.num_rows, dtype=bool)
+                for (flat, sizes), a, _ in _code(space, b.column(at), vocab):
+                    first = np.cumsum(sizes) - sizes
+                    for lo, hi in _runs(sizes.tolist(), AT_ONCE):
+                        part = flat[first[lo] * BLOCK:(first[lo] + sizes[lo:hi].sum()) * BLOCK]
+                        kept[[a + lo + d for d, *_ in search(space, part, sizes[lo:hi], limits)]] = False
+                yield b.filter(pa.array(kept))
 
         out = out.mapInArrow(run, out.schema)
     return out
