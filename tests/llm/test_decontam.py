@@ -243,3 +243,14 @@ def test_frequencies_count_blocks_that_hold_a_word(spark):
     df, n = D.frequencies(spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string"), s)
     blocks = [ws[a:a + D.BLOCK] for ws in map(D.words, ODD) for a in range(0, len(ws), D.BLOCK)]
     assert n == len(blocks) and df.tolist() == [sum(w in b for b in blocks) for w in s.vocab]
+
+
+def test_a_text_has_the_same_leaks_whatever_texts_are_worked_on_with_it():
+    items, docs, _ = planted_copies(random.Random(8), per_length=2)
+    s = D.Space([D.Item(k, D.words(t), 8) for k, t in items])
+    s.set_frequencies(np.random.default_rng(2).integers(1, 60, len(s.vocab)), 5000)
+    s.set_basis(np.linalg.qr(np.random.default_rng(3).standard_normal((len(s.vocab), 40)))[0])
+    texts, limits = [t for _, t in docs] + ODD, D.Limits(0.4, 0.8, 0.6, 0.8, 8)
+    at_once = list(D.search(s, *s.code(texts, s.words()), limits))
+    alone = [(d, *x) for d, t in enumerate(texts) for _, *x in D.search(s, *s.code([t], s.words()), limits)]
+    assert len(alone) > 50 and sorted(at_once, key=str) == sorted(alone, key=str)

@@ -43,6 +43,7 @@ SPAN = 2
 HOLDS = 0.5            # share of an item's weight in a passage that makes it a candidate, for items within a passage
 ITEMS = 2000           # items searched in one pass over the documents
 VOCABULARY = 1 << 16   # words that the items of one pass have together (an item with more has a pass of its own)
+ROUNDING = 1e-4        # more than single precision changes a cosine
 AT_ONCE = 1 << 11      # blocks of words that a task works on at once (a longer text is worked on whole)
 
 
@@ -376,7 +377,7 @@ def _fit(codes: DataFrame, space: Space, rank: int, rounds: int = 2, seed: int =
             import pyarrow as pa
 
             weight, q = shared.value
-            rows, weight = weight[:, None] * q, np.append(weight, [0, 0]).astype(np.float64)
+            rows, weight = weight[:, None] * q, np.append(weight, [0, 0]).astype(np.float32)
             weighs = weight > 0
             out, mass = np.zeros(q.shape, dtype=np.float64), 0.0
             for batch in batches:
@@ -389,7 +390,7 @@ def _fit(codes: DataFrame, space: Space, rank: int, rounds: int = 2, seed: int =
                     some = np.flatnonzero(n)
                     out[some] += sums(z, block[order], n[some])
                     held = spread(np.ones((windows(sizes, SPAN).sum(), 1)), SPAN, sizes)[:, 0]
-                    mass += float(weight[ids] ** 2 @ held[block])
+                    mass += float((weight[ids] ** 2 * held[block]).sum())
             out *= weight[:-2, None]
             keep = np.flatnonzero(np.abs(out).sum(axis=1))
             ends = np.concatenate([[0], 1 + out.shape[1] * np.arange(len(keep) + 1)])
@@ -450,16 +451,21 @@ def candidates(space: Space, flat, sizes, cosine: float) -> dict[int, list[tuple
     some[np.searchsorted(end, at // BLOCK, side="right")] = True
     size = np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-9)
     out: dict[int, list[tuple[int, int, int, float]]] = {}
+    # one product for all texts finds those that come near a limit; the product of a text alone decides, so its
+    # results are the same whatever texts are worked on with it
+    close = np.zeros(len(z), dtype=bool)
     for a in range(0, len(z), 8192):
-        near, by = z[a:a + 8192] @ space.latent.T, size[a:a + 8192]
-        # of the two limits the lower decides
-        hit, item = np.nonzero(near >= np.minimum(cosine * by[:, None], space.holds))
-        row = hit + a
-        first = place[row] * BLOCK
-        for d, *found in zip(text[row].tolist(), item.tolist(), first.tolist(), np.minimum(first + SPAN * BLOCK, n_words[text[row]]).tolist(), (near[hit, item] / by[hit]).tolist()):
-            if some[d]:
-                out.setdefault(d, []).append(tuple(found))
+        by = size[a:a + 8192, None]
+        close[a:a + 8192] = (z[a:a + 8192] @ space.latent.T >= np.minimum(cosine * by, space.holds) - ROUNDING * by).any(axis=1)
     start = np.cumsum(n) - n
+    for d in np.unique(text[close]).tolist():
+        for a in range(start[d], start[d] + n[d], 8192) if some[d] else ():
+            b = min(a + 8192, start[d] + n[d])
+            near, by = z[a:b] @ space.latent.T, size[a:b]
+            # of the two limits the lower decides
+            hit, item = np.nonzero(near >= np.minimum(cosine * by[:, None], space.holds))
+            first = place[hit + a] * BLOCK
+            out.setdefault(d, []).extend(zip(item.tolist(), first.tolist(), np.minimum(first + SPAN * BLOCK, n_words[d]).tolist(), (near[hit, item] / by[hit]).tolist()))
     for d, k, first in space.copies(flat, sizes):
         if some[d]:
             i = min(first // BLOCK, int(n[d]) - 1)
