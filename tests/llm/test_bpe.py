@@ -91,3 +91,37 @@ def test_query_columns_and_defined_cases(spark, lib, monkeypatch):
     back = {r.doc_id: r.text for r in B.decode(B.encode(df, PATH), PATH).collect()}
     assert all(back[i if i else None] == (t or "") for i, t in enumerate(texts))
     assert B.digests(df.limit(0), PATH).collect() == []
+
+
+def test_short_words_walk_to_the_same_tokens(lib, own):
+    r = random.Random(5)
+    some = [b for b in own.ids if len(b) < 12]
+    for _ in range(4000):
+        w = b"".join(r.choice(some) for _ in range(r.randint(1, 9))) if r.random() < 0.6 else r.randbytes(r.randint(1, B.SHORT)) if r.random() < 0.5 else bytes(r.choice(b"aeinrst") for _ in range(r.randint(1, B.SHORT)))
+        assert own.short(w) == list(own.word(w)), w
+    for _ in range(2000):
+        t = " " + "".join(r.choice(["a", "b", "th", "ing", "s", "é", "ß", "er", "qu", "日", "ci", "ón"]) for _ in range(r.randint(1, 16)))
+        assert own.encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids, t
+
+
+def test_caches_stay_small_over_many_words(own):
+    own.forget()
+    r = random.Random(6)
+    for _ in range(450_000):
+        own._packed(" " + "".join(r.choices("aeinrstéoucdlm", k=9)))
+    held = 0
+    for cache in (own._young, own._old, own._stable, own._tails, own._heads):
+        held += sys.getsizeof(cache) + sum(sys.getsizeof(k) + (0 if isinstance(v, bool) else sys.getsizeof(v)) for k, v in cache.items())
+    own.forget()
+    assert held < 60e6, held
+    assert not (own._young or own._old or own._stable or own._tails or own._heads)
+
+
+def test_what_pairs_and_edges_remember_is_bounded(lib, own, monkeypatch):
+    monkeypatch.setattr(B, "PAIRS", 50)
+    monkeypatch.setattr(B, "EDGES", 20)
+    own.forget()
+    for t in samples():
+        assert own.encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids, t
+        assert len(own._stable) <= 50 and len(own._tails) <= 20 and len(own._heads) <= 20
+    own.forget()

@@ -88,3 +88,15 @@ def test_defined_cases_run_through(spark, tmp_path):
             out = materialise(stage(spark, out, str(tmp_path)), "test-cases")
         got = sorted(r.doc_id or 0 for r in out.collect())
         assert got == ([0, 1, 1, 4] if rows is docs else [])
+
+
+def test_stages_send_small_batches_on_any_session(spark):
+    own = spark.conf.get(P.ROWS)
+    docs = spark.createDataFrame([(1, "a b c d " * 30, "en", "web", 240), (2, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        for name, stage in P.STAGES:
+            spark.conf.set(P.ROWS, "10000")
+            stage(spark, docs, SF_SMALL)
+            assert spark.conf.get(P.ROWS) == "2000", name
+    finally:
+        spark.conf.set(P.ROWS, own)

@@ -6,7 +6,8 @@ is stable (no merge across the boundary fires before both neighbours are
 complete). So the encoding of each prefix is the encoding of a shorter prefix plus
 one token, and the encodings of all prefixes form a tree. Only the last
 ``longest`` positions can be extended; what all of them have in common is final
-and is emitted at once. ``lookahead`` bounds how far behind the input that can be.
+and is emitted at once. ``lookahead`` bounds how far behind the input that can be. Of a short word
+only the part of the tree is built that leads to its end.
 
 Defined results
   null text: as the empty text, no token, both digests of nothing; very long texts
@@ -30,8 +31,10 @@ from tonality.llm.common import hold
 
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 STRETCH = 1 << 16  # characters encoded at a time
-CACHE = 400_000  # words remembered by each of two generations (about 100 MB each when full)
-PAIRS = 1 << 20  # stable pairs remembered
+SHORT = 64  # bytes of a word whose tree is walked from the root
+CACHE = 100_000  # words remembered by each of two generations (about 15 MB each when full)
+PAIRS = 1 << 18  # stable pairs remembered (about 20 MB when full)
+EDGES = 1 << 16  # first and last three bytes whose token lengths are remembered
 
 
 def byte_letters() -> dict[str, int]:
@@ -64,11 +67,15 @@ class Bpe:
         self.lookahead = self._lookahead()
         reached = self._reached()
         self.ids = {b: i for b, i in self.ids.items() if i in reached}
-        self._lengths: dict[bytes, list[int]] = {}
+        self._ending: dict[bytes, set[int]] = {}
+        self._starting: dict[bytes, set[int]] = {}
         for b in self.ids:
-            self._lengths.setdefault(b[-3:], []).append(len(b))
+            self._ending.setdefault(b[-3:], set()).add(len(b))
+            self._starting.setdefault(b[:3], set()).add(len(b))
         self._tails: dict[bytes, list[int]] = {}
-        self._stable: dict[tuple[int, int], bool] = {}
+        self._heads: dict[bytes, list[int]] = {}
+        self._base = max(self.bytes) + 1
+        self._stable: dict[int, bool] = {}  # by a * _base + b
         self._split = regex.compile(SPLIT)
         self._cut = regex.compile(r"(?<=\S) (?=\S)").search
         self._marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
@@ -101,11 +108,12 @@ class Bpe:
 
     def stable(self, a: int, b: int) -> bool:
         """No merge joins a piece of ``a``'s right edge to one of ``b``'s left edge while both exist."""
-        known = self._stable.get((a, b))
+        pair = a * self._base + b
+        known = self._stable.get(pair)
         if known is None:
-            if len(self._stable) > PAIRS:
+            if len(self._stable) >= PAIRS:
                 self._stable.clear()
-            known = self._stable[a, b] = self._meet(a, b)
+            known = self._stable[pair] = self._meet(a, b)
         return known
 
     def _meet(self, a: int, b: int, own: bool = False) -> bool:
@@ -135,13 +143,21 @@ class Bpe:
 
     def _tail(self, tail: bytes) -> list[int]:
         """Lengths, longest first, of the tokens that may end in these last three bytes (fewer at a word's start)."""
-        sizes = {n for k in (tail[-1:], tail[-2:], tail[-3:]) for n in self._lengths.get(k, ())}
-        self._tails[tail] = sorted(sizes, reverse=True)
-        return self._tails[tail]
+        return self._sizes(self._tails, tail, [self._ending.get(k, ()) for k in (tail[-1:], tail[-2:], tail)])
+
+    def _head(self, head: bytes) -> list[int]:
+        """Lengths, longest first, of the tokens that may begin with these three bytes (fewer at a word's end)."""
+        return self._sizes(self._heads, head, [self._starting.get(k, ()) for k in (head[:1], head[:2], head)])
+
+    def _sizes(self, known: dict, edge: bytes, found: list) -> list[int]:
+        if len(known) >= EDGES:
+            known.clear()
+        known[edge] = sorted(set().union(*found), reverse=True)
+        return known[edge]
 
     def word(self, w: bytes):
         """Tokens of one split word, each yielded once it is final."""
-        get, tails, known, longest, size = self.ids.get, self._tails.get, self._stable.get, self.longest, self.bytes
+        get, tails, known, longest, size, many = self.ids.get, self._tails.get, self._stable.get, self.longest, self.bytes, self._base
         base, ends, check = 0, [None], 4 * longest  # ends[k]: last token of the prefix up to base + k
         for i in range(1, len(w) + 1):
             tail = w[i - 3:i] if i > 2 else w[:i]
@@ -152,7 +168,7 @@ class Bpe:
                 if t is not None:
                     before = ends[i - n - base]
                     if before is not None:
-                        ok = known((before, t))
+                        ok = known(before * many + t)
                         if not (self.stable(before, t) if ok is None else ok):
                             continue
                     ends.append(t)
@@ -176,11 +192,39 @@ class Bpe:
             k -= len(self.bytes[ends[k]])
         return out[::-1]
 
+    def short(self, w: bytes) -> list[int]:
+        """Tokens of one split word, by the same tree walked from its root: the longest stable token first, back from dead ends.
+
+        A prefix has one encoding, so what can follow it does not depend on how it was come to, and no prefix is entered twice in vain.
+        """
+        get, heads, known, many, end = self.ids.get, self._heads.get, self._stable.get, self._base, len(w)
+        path, at, dead = [], 0, set()
+        while at < end:
+            head = w[at:at + 3]
+            for n in heads(head) or self._head(head):
+                to = at + n
+                if to > end or to in dead:
+                    continue
+                t = get(w[at:to])
+                if t is not None:
+                    if path:
+                        ok = known(path[-1] * many + t)
+                        if not (self.stable(path[-1], t) if ok is None else ok):
+                            continue
+                    path.append(t)
+                    at = to
+                    break
+            else:
+                dead.add(at)
+                at -= len(self.bytes[path.pop()])
+        return path
+
     def _packed(self, w: str) -> bytes:
         """A word's tokens as little-endian 32-bit ids, remembered in two generations of bounded size."""
         got = self._old.get(w)
         if got is None:
-            ids = array("I", self.word(w.encode()))
+            raw = w.encode()
+            ids = array("I", self.short(raw) if len(raw) <= SHORT else self.word(raw))
             if ids.itemsize != 4 or array("H", [1]).tobytes()[0] != 1:
                 raise RuntimeError("needs little-endian 32-bit integers")
             got = ids.tobytes()
@@ -217,7 +261,7 @@ class Bpe:
 
     def forget(self) -> None:
         """Empty the caches (see ``common.hold``)."""
-        for cache in (self._old, self._young, self._stable, self._tails):
+        for cache in (self._old, self._young, self._stable, self._tails, self._heads):
             cache.clear()
 
 
